@@ -41,7 +41,7 @@ class EntityResult:
 @dataclass
 class Migration:
     spark: SparkSession
-    folder: str | None
+    folder: str
     results: dict[str, EntityResult] = field(default_factory=dict)
 
     def __getitem__(self, name: str) -> EntityResult:
@@ -53,6 +53,7 @@ def migrate(
     sources: Mapping[str, DataFrame],
     spec: Mapping[str, Entity] | None = None,
     folder: str | None = None,
+    run: Migration | None = None,
     order_by: Mapping[str, Sequence[str]] | None = None,
     entities: Sequence[str] | None = None,
     strict: bool = False,
@@ -62,12 +63,12 @@ def migrate(
 
     Each entity is classified and written once, partitioned by ``status``; parents, checks and
     reports all read that table. ``sources`` maps extract names to DataFrames and ``order_by``
-    extract names to the columns that give source order. ``strict`` stops at the first entity
-    with an unreadable number instead of quarantining the row.
+    extract names to the columns that give source order. ``entities`` restricts the run and
+    ``run`` continues an earlier one. ``strict`` stops at the first entity with an unreadable
+    number instead of quarantining the row.
     """
     spec = spec or load_spec()
-    folder = folder or new_folder(spark, "migration")
-    run = Migration(spark, folder)
+    run = run or Migration(spark, folder or new_folder(spark, "migration"))
     for name in entities or spec:
         entity = spec[name]
         source = sources[entity.source]
@@ -77,7 +78,7 @@ def migrate(
         }
         order = tuple((order_by or {}).get(entity.source, (SOURCE_ROW,)))
         plan = classify(entity, source, parents, order, budget)
-        path = f"{folder}/{name}"
+        path = f"{run.folder}/{name}"
         plan.write.mode("overwrite").partitionBy(STATUS).parquet(path)
         written = spark.read.schema(plan.schema).parquet(path)
         run.results[name] = EntityResult(entity, source, written)

@@ -10,8 +10,9 @@ beyond that.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -199,8 +200,28 @@ VIEW_FUNCTIONS = {
 }
 
 
-def build_views(tables: Tables) -> dict[str, DataFrame]:
-    return {name: view(tables) for name, view in VIEW_FUNCTIONS.items()}
+class LazyFrames(Mapping):
+    """DataFrames by name, each built when it is first asked for."""
+
+    def __init__(self, builders: Mapping[str, Callable[[], DataFrame]]) -> None:
+        self._builders = dict(builders)
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._builders[name]()
+        return self._built[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
+
+
+def build_views(tables: Tables) -> Mapping[str, DataFrame]:
+    """All views over the tables, by view name."""
+    return LazyFrames({name: partial(view, tables) for name, view in VIEW_FUNCTIONS.items()})
 
 
 def view_statements(schema: str = "ax", source: str = "dbo") -> dict[str, str]:

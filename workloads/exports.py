@@ -6,9 +6,13 @@ an invoice entry; an order with status F is paid and yields the payment side as
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallybridge.plans.views import LazyFrames
 from workloads.extracts import _select, expand, read_table
 
 COMPANY_CODES = {"AFRICA": "afr", "AMERICA": "ame", "ASIA": "asi", "EUROPE": "eur"}
@@ -171,10 +175,10 @@ def export(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
     return expand(_relation(spark, sf_dir, base), variants)
 
 
-def exports(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def exports(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
     """Every exported table under its table name, and the company map."""
-    tables = {n.replace("-", "_"): export(spark, sf_dir, n) for n in EXPORTS}
-    return {**tables, "company_map": company_map(spark, sf_dir)}
+    tables = {n.replace("-", "_"): partial(export, spark, sf_dir, n) for n in EXPORTS}
+    return LazyFrames({**tables, "company_map": partial(company_map, spark, sf_dir)})
 
 
 def oracle_ctes() -> dict[str, str]:

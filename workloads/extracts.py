@@ -7,9 +7,14 @@ variants of a row are produced in one pass; the oracle unions them.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallybridge.plans.views import LazyFrames
+
 COPY_OFFSET = 1_000_000_000_000_000
 
 _CURRENCY = "CASE WHEN {k}%75=11 THEN NULL WHEN {k}%5=3 THEN 'USD' WHEN {k}%5=4 THEN 'AED' ELSE 'INR' END"
@@ -161,8 +166,10 @@ def _ledger_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return balances.select(*[F.expr(e).alias(c) for c, e in _LEDGER.items()])
 
 
-def extracts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {n: extract(spark, sf_dir, n) for n in (*EXTRACTS, "LEDGERBALANCE")}
+def extracts(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
+    """Every extract under its name."""
+    names = (*EXTRACTS, "LEDGERBALANCE")
+    return LazyFrames({n: partial(extract, spark, sf_dir, n) for n in names})
 
 
 def _select(values: dict[str, str], relation: str, cond: str) -> str:
