@@ -1,4 +1,4 @@
-"""Order-free checksum of a key column.
+"""Order-free checksum of a key.
 
 A digest over all sorted keys needs them in one place. Here every key is hashed by itself and the
 hashes are counted and added up: the result does not depend on order, a changed key, a lost key and
@@ -7,7 +7,7 @@ a doubled key all change it, and each task keeps two numbers.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,37 +21,21 @@ DIGEST_DIGITS = 12
 BUCKET_DIGITS = 2
 
 
-def key_digest(columns: Sequence[str]) -> Column:
+def key_digest(parts: Sequence[Column]) -> Column:
     """md5 of the key; the parts of a composite key are joined by a separator."""
-    parts = [F.coalesce(col(c).cast("string"), F.lit(NULL_PART)) for c in columns]
-    return F.md5((parts[0] if len(parts) == 1 else F.concat_ws(SEPARATOR, *parts)).cast("binary"))
+    texts = [F.coalesce(p.cast("string"), F.lit(NULL_PART)) for p in parts]
+    return F.md5((texts[0] if len(texts) == 1 else F.concat_ws(SEPARATOR, *texts)).cast("binary"))
 
 
-def _addend(digest: Column) -> Column:
-    return F.conv(F.substring(digest, 1, DIGEST_DIGITS), 16, 10).cast("decimal(18,0)")
+def digest_bucket(digest: Column) -> Column:
+    """Bucket of a digest; checksums per bucket tell *where* two key sets differ."""
+    return F.substring(digest, 1, BUCKET_DIGITS)
 
 
-def side_checksums(sides: Mapping[str, DataFrame], per_bucket: bool = False) -> DataFrame:
-    """Number of keys and sum of their digests per side, in one aggregation.
-
-    ``per_bucket`` gives them per digest bucket, to tell *where* two key sets differ.
-    """
-    tagged = None
-    for side, keys in sides.items():
-        part = keys.select(key_digest(keys.columns).alias("digest"), F.lit(side).alias("side"))
-        tagged = part if tagged is None else tagged.unionByName(part)
-    zero = F.lit(0).cast("decimal(28,0)")
-    aggregates = []
-    for side in sides:
-        here = F.col("side") == side
-        aggregates += [
-            F.count_if(here).alias(f"{side}_keys"),
-            F.coalesce(F.sum(F.when(here, _addend(F.col("digest")))), zero).alias(
-                f"{side}_checksum"
-            ),
-        ]
-    bucket = F.substring("digest", 1, BUCKET_DIGITS).alias("bucket")
-    return tagged.groupBy(*([bucket] if per_bucket else [])).agg(*aggregates)
+def digest_sum(digest: Column) -> Column:
+    """Aggregate: sum of the leading digits of all digests (0 for none)."""
+    number = F.conv(F.substring(digest, 1, DIGEST_DIGITS), 16, 10).cast("decimal(18,0)")
+    return F.coalesce(F.sum(number), F.lit(0).cast("decimal(28,0)"))
 
 
 def differing_keys(
@@ -59,16 +43,15 @@ def differing_keys(
 ) -> DataFrame:
     """Keys whose number of rows differs between the sides, with the surplus on the source side.
 
-    ``buckets`` (a ``bucket`` column, e.g. the failed rows of :func:`bucket_checksums`) restricts
-    the search to those buckets.
+    ``buckets`` (a ``bucket`` column, e.g. the failed rows of a bucketed checksum) restricts the
+    search to those buckets.
     """
-    names = source.columns
+    keys = [col(c) for c in source.columns]
     sides = source.withColumn("surplus", F.lit(1)).union(target.withColumn("surplus", F.lit(-1)))
     if buckets is not None:
-        bucket = F.substring(key_digest(names), 1, BUCKET_DIGITS)
-        sides = sides.withColumn("bucket", bucket).join(buckets.select("bucket"), "bucket", "left_semi")
+        sides = sides.withColumn("bucket", digest_bucket(key_digest(keys))).join(
+            buckets.select("bucket"), "bucket", "left_semi"
+        )
     return (
-        sides.groupBy(*[col(c) for c in names])
-        .agg(F.sum("surplus").alias("surplus"))
-        .filter(F.col("surplus") != 0)
+        sides.groupBy(*keys).agg(F.sum("surplus").alias("surplus")).filter(F.col("surplus") != 0)
     )

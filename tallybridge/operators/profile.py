@@ -34,25 +34,15 @@ MISSING = "missing values"
 DUPLICATE_KEYS = "duplicate keys after trim/upper"
 
 
-def value_counts(
-    df: DataFrame, order: str = SOURCE_ROW, columns: Sequence[str] | None = None
-) -> DataFrame:
-    """``column, value, n, first_row`` for every distinct value (null included) of every column."""
-    columns = columns or [c for c in df.columns if c != order]
-    cells = F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("position"),
-                F.lit(c).alias("column"),
-                col(c).cast("string").alias("value"),
-            )
-            for i, c in enumerate(columns)
-        ]
-    )
+def value_counts(df: DataFrame, columns: Sequence[str], order: str = SOURCE_ROW) -> DataFrame:
+    """``position, value, n, first_row`` for every distinct value (null included) of the columns.
+
+    ``position`` is the place of the column in ``columns``.
+    """
+    cells = F.array(*[col(c).cast("string") for c in columns])
     return (
-        df.select(F.col(order).alias("row"), F.explode(cells).alias("cell"))
-        .select("row", "cell.*")
-        .groupBy("position", "column", "value")
+        df.select(F.col(order).alias("row"), F.posexplode(cells).alias("position", "value"))
+        .groupBy("position", "value")
         .agg(F.count(F.lit(1)).alias("n"), F.min("row").alias("first_row"))
     )
 
@@ -63,13 +53,14 @@ def _count(test: Column) -> Column:
 
 def column_metrics(df: DataFrame, table: str, order: str = SOURCE_ROW) -> DataFrame:
     """One row per column: rows, nulls, distinct values, first value and the issue counts."""
-    value = F.col("value")
+    columns = [c for c in df.columns if c != order]
+    position, value = F.col("position"), F.col("value")
     stripped = trim(value)
-    is_code = F.col("column").endswith(CODE_SUFFIX)
-    is_email = F.col("column").contains(EMAIL_PART)
+    is_code = position.isin([i for i, c in enumerate(columns) if c.endswith(CODE_SUFFIX)])
+    is_email = position.isin([i for i, c in enumerate(columns) if EMAIL_PART in c])
     return (
-        value_counts(df, order)
-        .groupBy("position", "column")
+        value_counts(df, columns, order)
+        .groupBy("position")
         .agg(
             F.sum("n").alias("n_rows"),
             _count(value.isNull()).alias("n_null"),
@@ -81,7 +72,11 @@ def column_metrics(df: DataFrame, table: str, order: str = SOURCE_ROW) -> DataFr
             ),
             _count(is_email & ~value.rlike(EMAIL_PATTERN)).alias("n_bad_email"),
         )
-        .select(F.lit(table).alias("table"), "*")
+        .select(
+            F.lit(table).alias("table"),
+            F.get(F.array(*[F.lit(c) for c in columns]), position).alias("column"),
+            "*",
+        )
     )
 
 

@@ -1,21 +1,20 @@
 """Checks that prove a migration: nothing lost, nothing changed.
 
 The source side of every check is computed from the extract, the target side from the table the
-migration wrote. Each check is a DataFrame; :func:`check_rows` puts them in one report shape.
+migration wrote. Row counts, key checksums and gaps of an entity come out of one scan of each side.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallybridge.functions.rules import MONEY
-from tallybridge.operators.checksum import key_digest, side_checksums
-from tallybridge.operators.compare import totals_by_side, within
-from tallybridge.operators.quarantine import LOADED, REASON, STATUS
+from tallybridge.operators.checksum import digest_bucket, digest_sum, key_digest
+from tallybridge.operators.compare import totals_by_side, union_all, within
+from tallybridge.operators.quarantine import LOADED, REASON, SOURCE, STATUS
 from tallybridge.plans.migration import EntityResult, Migration
 from tallybridge.plans.spec import Entity, col
 
@@ -32,28 +31,106 @@ class CheckFailed(RuntimeError):
     """At least one check did not pass."""
 
 
-def union_all(parts: Sequence[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, parts)
+def _source_digest(entity: Entity) -> Column:
+    """Digest of the key that a source row should arrive with."""
+    return key_digest([entity.field(k).value() for k in entity.key_target])
 
 
-def row_accounting(result: EntityResult) -> DataFrame:
+def _target_digest(entity: Entity) -> Column:
+    """Digest of the key that arrived: as loaded, or as cleansed from the quarantined source row."""
+    quarantined = key_digest([entity.field(k).value(SOURCE) for k in entity.key_target])
+    loaded = key_digest([col(k) for k in entity.key_target])
+    return F.when(F.col(STATUS) == LOADED, loaded).otherwise(quarantined)
+
+
+def _no_currency(entity: Entity) -> Column:
+    currency = entity.currency_field()
+    return F.lit(False) if currency is None else col(currency.source).isNull()
+
+
+def missing_currency(entity: Entity, source: DataFrame) -> DataFrame:
+    """Source rows without a currency; they default to the local one."""
+    return source.agg(F.count_if(_no_currency(entity)).alias("missing_currency")).select(
+        F.lit(entity.name).alias("entity"), "missing_currency"
+    )
+
+
+def _totals(result: EntityResult, per_bucket: bool) -> list[DataFrame]:
+    """Counts and checksum of the extract, and of what was written."""
+    entity, loaded = result.entity, F.col(STATUS) == LOADED
+    digest = F.col("digest")
+    bucket = [digest_bucket(digest).alias("bucket")] if per_bucket else []
+    source = (
+        result.source.withColumn("digest", _source_digest(entity))
+        .groupBy(*bucket)
+        .agg(
+            F.count(F.lit(1)).alias("source_rows"),
+            F.count_if(_no_currency(entity)).alias("missing_currency"),
+            digest_sum(digest).alias("source_checksum"),
+        )
+    )
+    target = (
+        result.classified.withColumn("digest", _target_digest(entity))
+        .groupBy(*bucket)
+        .agg(
+            F.count_if(loaded).alias("loaded_rows"),
+            F.count_if(~loaded).alias("rejected_rows"),
+            digest_sum(digest).alias("target_checksum"),
+        )
+    )
+    return [side.withColumn("entity", F.lit(entity.name)) for side in (source, target)]
+
+
+def entity_totals(run: Migration, per_bucket: bool = False) -> DataFrame:
+    """Row counts, key checksums and currency gaps per entity (and digest bucket)."""
+    sides = union_all(
+        [side for r in run.results.values() for side in _totals(r, per_bucket)], partial_columns=True
+    )
+    keys = ["entity", "bucket"] if per_bucket else ["entity"]
+    return sides.groupBy(*keys).agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in sides.columns if c not in keys]
+    )
+
+
+def _rows_accounted() -> Column:
+    return F.col("source_rows") == F.col("loaded_rows") + F.col("rejected_rows")
+
+
+def row_accounting(run: Migration) -> DataFrame:
     """Rows in the extract against rows written, split into loaded and rejected."""
-    one = F.lit(1).alias("n")
-    sides = totals_by_side(
-        {
-            "source_rows": result.source.select(one),
-            "loaded_rows": result.classified.filter(F.col(STATUS) == LOADED).select(one),
-            "rejected_rows": result.classified.filter(F.col(STATUS) != LOADED).select(one),
-        },
-        [],
-        "n",
+    return entity_totals(run).select(
+        "entity", "source_rows", "loaded_rows", "rejected_rows", _rows_accounted().alias("passed")
+    )
+
+
+def entity_summary(run: Migration) -> DataFrame:
+    """Source, loaded and rejected rows per entity, and rows that fell back to local currency."""
+    return entity_totals(run).select(
+        "entity", "source_rows", "loaded_rows", "rejected_rows", "missing_currency"
+    )
+
+
+def _key_columns(totals: DataFrame) -> DataFrame:
+    keys = [c for c in ("entity", "bucket") if c in totals.columns]
+    target_keys = F.col("loaded_rows") + F.col("rejected_rows")
+    same = (F.col("source_rows") == target_keys) & (
+        F.col("source_checksum") == F.col("target_checksum")
     )
-    filled = [F.coalesce(F.col(c), F.lit(0)).alias(c) for c in sides.columns]
-    return sides.select(F.lit(result.entity.name).alias("entity"), *filled).withColumn(
-        "passed", F.col("source_rows") == F.col("loaded_rows") + F.col("rejected_rows")
+    return totals.select(
+        *keys,
+        F.col("source_rows").alias("source_keys"),
+        "source_checksum",
+        target_keys.alias("target_keys"),
+        "target_checksum",
+        same.alias("passed"),
     )
 
 
+def key_checksums(run: Migration, per_bucket: bool = False) -> DataFrame:
+    """Key count and checksum of both sides, per entity or per entity and digest bucket."""
+    return _key_columns(entity_totals(run, per_bucket))
+
+
 def source_keys(result: EntityResult) -> DataFrame:
     return result.source.select(*result.entity.key_from_source())
 
@@ -65,73 +142,91 @@ def target_keys(result: EntityResult) -> DataFrame:
     )
 
 
-def key_checksums(result: EntityResult, per_bucket: bool = False) -> DataFrame:
-    """Key count and checksum of both sides, in total or per digest bucket."""
-    sides = {"source": source_keys(result), "target": target_keys(result)}
-    return (
-        side_checksums(sides, per_bucket)
-        .select(F.lit(result.entity.name).alias("entity"), "*")
-        .withColumn(
-            "passed",
-            (F.col("source_keys") == F.col("target_keys"))
-            & (F.col("source_checksum") == F.col("target_checksum")),
+def amount_by_currency(result: EntityResult, amount: str = "Amount") -> DataFrame:
+    """Source amount per currency against loaded plus rejected amount, over all currencies seen."""
+    entity, loaded = result.entity, F.col(STATUS) == LOADED
+    money, currency = entity.field(amount), entity.currency_field()
+
+    def per_currency(rows: DataFrame, code: Column, sums: dict[str, Column]) -> DataFrame:
+        named = F.when(code == "", LOCAL).otherwise(code).alias("currency")
+        found = rows.groupBy(named).agg(*[F.sum(v).alias(n) for n, v in sums.items()])
+        zero = F.lit(0).cast("decimal(28,2)")
+        return found.select(
+            "currency",
+            *[
+                F.coalesce(F.col(n) if n in sums else zero, zero).alias(n)
+                for n in ("source_amount", "loaded_amount", "rejected_amount")
+            ],
         )
-    )
-
 
-def _money_by_currency(rows: DataFrame, amount, currency) -> DataFrame:
-    return rows.select(
-        F.when(currency == "", LOCAL).otherwise(currency).alias("currency"),
-        amount.cast(MONEY).alias("amount"),
+    source = per_currency(
+        result.source, currency.value(), {"source_amount": money.value().cast(MONEY)}
     )
-
-
-def amount_by_currency(result: EntityResult, amount: str = "Amount") -> DataFrame:
-    """Source amount per currency against loaded plus rejected amount, over all currencies seen."""
-    entity = result.entity
-    currency = entity.currency_field()
-    raw = (entity.field(amount).value(), currency.value())
-    sides = totals_by_side(
+    target = per_currency(
+        result.classified,
+        F.when(loaded, col(currency.target)).otherwise(currency.value(SOURCE)),
         {
-            "source_amount": _money_by_currency(result.source, *raw),
-            "loaded_amount": _money_by_currency(result.loaded, col(amount), col(currency.target)),
-            "rejected_amount": _money_by_currency(result.rejects, *raw),
+            "loaded_amount": F.when(loaded, col(amount).cast(MONEY)),
+            "rejected_amount": F.when(~loaded, money.value(SOURCE).cast(MONEY)),
         },
-        ["currency"],
-        "amount",
     )
-    zero = F.lit(0).cast(MONEY)
-    filled = [F.coalesce(F.col(c), zero).alias(c) for c in sides.columns if c != "currency"]
-    return sides.select(F.lit(entity.name).alias("entity"), "currency", *filled).withColumn(
-        "passed",
-        within(
-            F.col("source_amount"),
-            F.col("loaded_amount") + F.col("rejected_amount"),
-            TOLERANCE,
-            strict=True,
-        ),
+    return (
+        source.unionByName(target)
+        .groupBy("currency")
+        .agg(*[F.sum(n).alias(n) for n in source.columns if n != "currency"])
+        .select(F.lit(entity.name).alias("entity"), "*")
+        .withColumn(
+            "passed",
+            within(
+                F.col("source_amount"),
+                F.col("loaded_amount") + F.col("rejected_amount"),
+                TOLERANCE,
+                strict=True,
+            ),
+        )
     )
 
 
-def account_totals(result: EntityResult, amount: str = "Amount (LCY)") -> DataFrame:
+def account_totals(
+    result: EntityResult,
+    amount: str = "Amount (LCY)",
+    accounts: Sequence[str] | None = None,
+) -> DataFrame:
     """Total per account in the extract and in the loaded rows; an account on one side fails."""
-    account = result.entity.key_target[0]
+    entity, account = result.entity, result.entity.key_target[0]
     source = result.source.select(
-        result.entity.field(account).value().alias("account"),
-        result.entity.field(amount).value().alias("amount"),
+        entity.field(account).value().alias("account"),
+        entity.field(amount).value().alias("amount"),
     )
     loaded = result.loaded.select(col(account).alias("account"), col(amount).alias("amount"))
+    sides = {"source_amount": source, "loaded_amount": loaded}
+    if accounts is not None:
+        wanted = F.col("account").isin(list(accounts))
+        sides = {side: rows.filter(wanted) for side, rows in sides.items()}
     return (
-        totals_by_side(
-            {"source_amount": source, "loaded_amount": loaded}, ["account"], "amount"
-        )
-        .select(F.lit(result.entity.name).alias("entity"), "*")
+        totals_by_side(sides, ["account"], "amount")
+        .select(F.lit(entity.name).alias("entity"), "*")
         .withColumn(
             "passed", F.coalesce(F.col("source_amount") == F.col("loaded_amount"), F.lit(False))
         )
     )
 
 
+def _net(totals: DataFrame, entity: str) -> DataFrame:
+    zero = F.lit(0).cast(MONEY)
+    return totals.agg(
+        F.coalesce(F.sum("source_amount"), zero).alias("source_net"),
+        F.coalesce(F.sum("loaded_amount"), zero).alias("loaded_net"),
+        F.count("source_amount").alias("n_accounts"),
+        F.count_if("passed").alias("n_match"),
+        F.coalesce(F.bool_and("passed"), F.lit(True)).alias("accounts_match"),
+    ).select(
+        F.lit(entity).alias("entity"),
+        "*",
+        within(F.col("loaded_net"), zero, TOLERANCE, strict=True).alias("nets_to_zero"),
+    )
+
+
 def trial_balance(
     result: EntityResult,
     amount: str = "Amount (LCY)",
@@ -141,86 +236,82 @@ def trial_balance(
 
     ``accounts`` restricts the check, e.g. to the suspense account of the cut-over.
     """
-    account = result.entity.key_target[0]
-    source = result.source.select(
-        result.entity.field(account).value().alias("account"),
-        result.entity.field(amount).value().alias("amount"),
-    )
-    loaded = result.loaded.select(col(account).alias("account"), col(amount).alias("amount"))
-    if accounts is not None:
-        source, loaded = (df.filter(F.col("account").isin(list(accounts))) for df in (source, loaded))
-    zero = F.lit(0).cast(MONEY)
-    sides = totals_by_side({"source_net": source, "loaded_net": loaded}, [], "amount")
-    filled = [F.coalesce(F.col(c), zero).alias(c) for c in sides.columns]
-    return sides.select(F.lit(result.entity.name).alias("entity"), *filled).withColumn(
-        "passed", within(F.col("loaded_net"), zero, TOLERANCE, strict=True)
-    )
+    net = _net(account_totals(result, amount, accounts), result.entity.name)
+    return net.select("entity", "source_net", "loaded_net", F.col("nets_to_zero").alias("passed"))
 
 
-def _whole(c: str):
+def _whole(c: str) -> Column:
     return F.format_number(F.col(c), 0)
 
 
-def _money(c: str):
+def _money(c: str) -> Column:
     return F.format_number(F.col(c), 2)
 
 
+def _line(check: Column | str, source: Column, target: Column, passed: Column) -> Column:
+    title = F.lit(check) if isinstance(check, str) else check
+    return F.struct(
+        F.col("entity"),
+        title.alias("check"),
+        source.alias("source"),
+        target.alias("target"),
+        passed.alias("passed"),
+    )
+
+
+def _lines(rows: DataFrame, *lines: Column) -> DataFrame:
+    return rows.select(F.explode(F.array(*lines)).alias("line")).select("line.*")
+
+
 def check_rows(
     run: Migration, invoices: str = "open_invoice", ledger: str = "gl_opening_balance"
 ) -> DataFrame:
     """All checks of a run as ``entity, check, source, target, passed``."""
-    entity, passed = F.col("entity"), F.col("passed")
-    accounted = union_all([row_accounting(r) for r in run.results.values()]).select(
-        entity,
-        F.lit(ROW_ACCOUNTING).alias("check"),
-        _whole("source_rows").alias("source"),
-        F.concat_ws(" + ", _whole("loaded_rows"), _whole("rejected_rows")).alias("target"),
-        passed,
-    )
-    keys = union_all([key_checksums(r) for r in run.results.values()]).select(
-        entity,
-        F.lit(KEY_CHECKSUM).alias("check"),
-        F.concat_ws(":", "source_keys", "source_checksum").alias("source"),
-        F.concat_ws(":", "target_keys", "target_checksum").alias("target"),
-        passed,
-    )
-    parts = [accounted, keys]
+    target_keys_text = (F.col("loaded_rows") + F.col("rejected_rows")).cast("string")
+    parts = [
+        _lines(
+            entity_totals(run),
+            _line(
+                ROW_ACCOUNTING,
+                _whole("source_rows"),
+                F.concat_ws(" + ", _whole("loaded_rows"), _whole("rejected_rows")),
+                _rows_accounted(),
+            ),
+            _line(
+                KEY_CHECKSUM,
+                F.concat_ws(":", "source_rows", "source_checksum"),
+                F.concat_ws(":", target_keys_text, "target_checksum"),
+                _rows_accounted() & (F.col("source_checksum") == F.col("target_checksum")),
+            ),
+        )
+    ]
     if invoices in run.results:
         parts.append(
-            amount_by_currency(run[invoices]).select(
-                entity,
-                F.concat(
-                    F.lit("amount total "), F.col("currency"), F.lit(" (loaded + rejected)")
-                ).alias("check"),
-                _money("source_amount").alias("source"),
-                F.concat_ws(" + ", _money("loaded_amount"), _money("rejected_amount")).alias(
-                    "target"
+            _lines(
+                amount_by_currency(run[invoices]),
+                _line(
+                    F.concat(
+                        F.lit("amount total "), F.col("currency"), F.lit(" (loaded + rejected)")
+                    ),
+                    _money("source_amount"),
+                    F.concat_ws(" + ", _money("loaded_amount"), _money("rejected_amount")),
+                    F.col("passed"),
                 ),
-                passed,
             )
         )
     if ledger in run.results:
-        totals = account_totals(run[ledger]).agg(
-            F.count("source_amount").alias("n_source"),
-            F.count_if("passed").alias("n_match"),
-            F.coalesce(F.bool_and("passed"), F.lit(True)).alias("passed"),
-        )
-        parts.append(
-            totals.select(
-                F.lit(ledger).alias("entity"),
-                F.lit(ACCOUNT_TOTALS).alias("check"),
-                F.concat(F.col("n_source").cast("string"), F.lit(" accounts")).alias("source"),
-                F.concat(F.col("n_match").cast("string"), F.lit(" match")).alias("target"),
-                passed,
-            )
-        )
         parts.append(
-            trial_balance(run[ledger]).select(
-                entity,
-                F.lit(TRIAL_BALANCE).alias("check"),
-                _money("source_net").alias("source"),
-                _money("loaded_net").alias("target"),
-                passed,
+            _lines(
+                _net(account_totals(run[ledger]), ledger),
+                _line(
+                    ACCOUNT_TOTALS,
+                    F.concat_ws(" ", F.col("n_accounts").cast("string"), F.lit("accounts")),
+                    F.concat_ws(" ", F.col("n_match").cast("string"), F.lit("match")),
+                    F.col("accounts_match"),
+                ),
+                _line(
+                    TRIAL_BALANCE, _money("source_net"), _money("loaded_net"), F.col("nets_to_zero")
+                ),
             )
         )
     return union_all(parts)
@@ -242,57 +333,13 @@ def gate(checks: DataFrame) -> None:
         raise CheckFailed("; ".join(str(row.asDict()) for row in failed))
 
 
-def _no_currency(entity: Entity) -> Column:
-    currency = entity.currency_field()
-    return F.lit(False) if currency is None else col(currency.source).isNull()
-
-
-def missing_currency(entity: Entity, source: DataFrame) -> DataFrame:
-    """Source rows without a currency; they default to the local one."""
-    return source.agg(F.count_if(_no_currency(entity)).alias("missing_currency")).select(
-        F.lit(entity.name).alias("entity"), "missing_currency"
-    )
-
-
-def entity_summary(run: Migration) -> DataFrame:
-    """Source, loaded and rejected rows per entity, and rows that fell back to local currency."""
-    parts = []
-    for name, result in run.results.items():
-        status = F.col(STATUS)
-        parts.append(
-            result.source.agg(
-                F.count(F.lit(1)).alias("source_rows"),
-                F.lit(0).cast("bigint").alias("loaded_rows"),
-                F.lit(0).cast("bigint").alias("rejected_rows"),
-                F.count_if(_no_currency(result.entity)).alias("missing_currency"),
-            ).select(F.lit(name).alias("entity"), "*")
-        )
-        parts.append(
-            result.classified.agg(
-                F.lit(0).cast("bigint").alias("source_rows"),
-                F.count_if(status == LOADED).alias("loaded_rows"),
-                F.count_if(status != LOADED).alias("rejected_rows"),
-                F.lit(0).cast("bigint").alias("missing_currency"),
-            ).select(F.lit(name).alias("entity"), "*")
-        )
-    numbers = [c for c in parts[0].columns if c != "entity"]
-    return union_all(parts).groupBy("entity").agg(*[F.sum(c).alias(c) for c in numbers])
-
-
 def reject_summary(run: Migration) -> DataFrame:
     """Rejected rows per entity and reason."""
-    return (
-        union_all(
-            [
-                r.classified.filter(F.col(STATUS) != LOADED).select(
-                    F.lit(name).alias("entity"), REASON
-                )
-                for name, r in run.results.items()
-            ]
-        )
-        .groupBy("entity", REASON)
-        .agg(F.count(F.lit(1)).alias("rows"))
-    )
+    parts = [
+        r.classified.filter(F.col(STATUS) != LOADED).select(F.lit(name).alias("entity"), REASON)
+        for name, r in run.results.items()
+    ]
+    return union_all(parts).groupBy("entity", REASON).agg(F.count(F.lit(1)).alias("rows"))
 
 
 def reject_value(result: EntityResult, amount: str = "Amount") -> DataFrame:
@@ -305,4 +352,5 @@ def reject_value(result: EntityResult, amount: str = "Amount") -> DataFrame:
 
 def audit_sample(result: EntityResult, size: int = 25) -> DataFrame:
     """Repeatable random sample of loaded records: the ``size`` smallest key digests."""
-    return result.loaded.orderBy(key_digest(result.entity.key_target)).limit(size)
+    digest = key_digest([col(k) for k in result.entity.key_target])
+    return result.loaded.orderBy(digest).limit(size)

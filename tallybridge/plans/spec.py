@@ -44,9 +44,9 @@ class Field:
     def is_number(self) -> bool:
         return self.source in NUMERIC_FIELDS or any(r in NUMERIC_RULES for r in self.rules)
 
-    def value(self) -> Column:
-        """Cleansed value of the field, from the raw source column."""
-        raw = col(self.source)
+    def value(self, parent: str | None = None) -> Column:
+        """Cleansed value of the field, from the raw source column (a field of struct ``parent``)."""
+        raw = col(self.source) if parent is None else F.col(parent).getField(self.source)
         if self.is_number and not self.rules:
             return raw.try_cast("bigint")
         return apply_rules(raw, self.rules)

@@ -2,17 +2,22 @@
 
 The source side translates companies through the *distinct* company map: a company listed twice
 doubles every view row, and then shows here as a difference instead of inflating both sides.
+
+Every view and table is read once, whatever the number of checks that look at it: it is summed per
+company, the sums become rows ``check, item, side, value``, and one small group-by over all of them
+brings the two sides of each check together.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybridge.operators.compare import totals_by_side, within
-from tallybridge.plans.reconcile import union_all
+from tallybridge.operators.compare import union_all, within
+from tallybridge.plans.spec import col
 from tallybridge.plans.views import COMPANY, INITIAL, VIEWS
 
 Frames = Mapping[str, DataFrame]
@@ -30,151 +35,161 @@ LEDGER_ZERO = "LEDGERTRANS nets to zero per company (double entry)"
 NULL_COMPANY = "No NULL DATAAREAID in any view"
 UNMAPPED = "DQ view reports the expected unmapped companies"
 
+VIEW, SOURCE = "view_value", "source_value"
 
-def _per_company(rows: DataFrame, measure: Column) -> DataFrame:
-    """Sum per company before the two sides meet or the company map is joined."""
-    return rows.groupBy("company").agg(F.sum(measure).alias("measure"))
 
+@dataclass(frozen=True)
+class Measure:
+    """Sum of ``value`` over the rows that meet ``where``; no such row, no measure."""
 
-def _mapped(tables: Frames, table: str, measure: Column, where: str = "true") -> DataFrame:
-    """Measure per company code, over the rows of an exported table that have one."""
-    sums = _per_company(
-        tables[table].filter(where).withColumnRenamed(COMPANY.strip("`"), "company"), measure
-    )
-    codes = tables["company_map"].select("CompanyName", "DATAAREAID").distinct()
-    return sums.join(codes, F.col("company") == F.col("CompanyName")).select(
-        F.col("DATAAREAID").alias("company"), "measure"
-    )
+    check: str
+    value: str = "1"
+    where: str = "true"
 
 
-def _view(views: Frames, view: str, measure: Column) -> DataFrame:
-    return _per_company(views[view].withColumnRenamed("DATAAREAID", "company"), measure)
-
-
-def _compare(check: str, view_side: DataFrame, source_side: DataFrame) -> DataFrame:
-    sides = totals_by_side(
-        {"view_value": view_side, "source_value": source_side}, ["company"], "measure"
-    )
-    return _row(
-        check,
-        F.col("company"),
-        within(F.col("view_value"), F.col("source_value"), TOLERANCE),
-        sides,
-    )
-
-
-def _row(check: str, item: Column, passed: Column, rows: DataFrame) -> DataFrame:
-    return rows.select(
+VIEW_MEASURES = {
+    "CUSTTABLE": [Measure(CUSTTABLE_ROWS)],
+    "CUSTTRANS": [Measure(CUSTTRANS_ROWS), Measure(INITIAL_AMOUNT, "AMOUNTCUR")],
+    "CUSTTRANSOPEN": [Measure(OPEN_BALANCE, "AMOUNTCUR"), Measure(OPEN_ITEMS)],
+    "BANKACCOUNTTRANS": [Measure(BANK_AMOUNT, "AMOUNTCUR")],
+    "LEDGERTRANS": [Measure(LEDGER_ZERO, "AMOUNTMST")],
+}
+# The open balance sums all detailed entries, also of types that the views do not know.
+SOURCE_MEASURES = {
+    "Customer_18": [Measure(CUSTTABLE_ROWS)],
+    "CustLedgerEntry_21": [Measure(CUSTTRANS_ROWS), Measure(OPEN_ITEMS, where="`Open-36`")],
+    "DetailedCustLedgEntry_379": [
+        Measure(INITIAL_AMOUNT, "`Amount-7`", f"`EntryType-3` = '{INITIAL}'"),
+        Measure(OPEN_BALANCE, "`Amount-7`"),
+    ],
+    "BankAccountLedgerEntry_271": [Measure(BANK_AMOUNT, "`Amount-13`")],
+}
+ALL_CHECKS = (
+    MAP_UNIQUE,
+    CUSTTABLE_ROWS,
+    CUSTTRANS_ROWS,
+    INITIAL_AMOUNT,
+    OPEN_BALANCE,
+    OPEN_ITEMS,
+    BANK_AMOUNT,
+    LEDGER_ZERO,
+    NULL_COMPANY,
+    UNMAPPED,
+)
+
+
+def _entry(check: str, item: Column, side: str, value: Column) -> Column:
+    return F.struct(
         F.lit(check).alias("check"),
-        item.alias("item"),
-        F.col("view_value").cast("decimal(28,2)").alias("view_value"),
-        F.col("source_value").cast("decimal(28,2)").alias("source_value"),
-        passed.alias("passed"),
-    )
-
-
-def map_unique(tables: Frames, views: Frames) -> DataFrame:
-    doubled = (
-        tables["company_map"].groupBy("CompanyName").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    )
-    counts = doubled.agg(F.count(F.lit(1)).alias("view_value"), F.lit(0).alias("source_value"))
-    return _row(MAP_UNIQUE, F.lit("company_map"), F.col("view_value") == 0, counts)
-
-
-def custtable_rows(tables: Frames, views: Frames) -> DataFrame:
-    one = F.lit(1)
-    return _compare(
-        CUSTTABLE_ROWS, _view(views, "CUSTTABLE", one), _mapped(tables, "Customer_18", one)
-    )
-
-
-def custtrans_rows(tables: Frames, views: Frames) -> DataFrame:
-    one = F.lit(1)
-    return _compare(
-        CUSTTRANS_ROWS, _view(views, "CUSTTRANS", one), _mapped(tables, "CustLedgerEntry_21", one)
-    )
-
-
-def initial_amount(tables: Frames, views: Frames) -> DataFrame:
-    return _compare(
-        INITIAL_AMOUNT,
-        _view(views, "CUSTTRANS", F.col("AMOUNTCUR")),
-        _mapped(
-            tables, "DetailedCustLedgEntry_379", F.col("`Amount-7`"), f"`EntryType-3` = '{INITIAL}'"
-        ),
-    )
-
-
-def open_balance(tables: Frames, views: Frames) -> DataFrame:
-    """All detailed entries count on the source side, also types the view does not know."""
-    return _compare(
-        OPEN_BALANCE,
-        _view(views, "CUSTTRANSOPEN", F.col("AMOUNTCUR")),
-        _mapped(tables, "DetailedCustLedgEntry_379", F.col("`Amount-7`")),
+        item.cast("string").alias("item"),
+        F.lit(side).alias("side"),
+        value.cast("decimal(28,2)").alias("value"),
     )
 
 
-def open_items(tables: Frames, views: Frames) -> DataFrame:
-    one = F.lit(1)
-    return _compare(
-        OPEN_ITEMS,
-        _view(views, "CUSTTRANSOPEN", one),
-        _mapped(tables, "CustLedgerEntry_21", one, "`Open-36`"),
-    )
+def _entries(rows: DataFrame, entries: Sequence[Column]) -> DataFrame:
+    return rows.select(F.explode(F.array_compact(F.array(*entries))).alias("e")).select("e.*")
 
 
-def bank_amount(tables: Frames, views: Frames) -> DataFrame:
-    return _compare(
-        BANK_AMOUNT,
-        _view(views, "BANKACCOUNTTRANS", F.col("AMOUNTCUR")),
-        _mapped(tables, "BankAccountLedgerEntry_271", F.col("`Amount-13`")),
-    )
+def _per_company(rows: DataFrame, company: str, measures: Sequence[Measure]) -> DataFrame:
+    aggregates = [F.count(F.lit(1)).alias("n_rows")]
+    for i, m in enumerate(measures):
+        where = F.expr(m.where)
+        aggregates += [
+            F.count_if(where).alias(f"n_{i}"),
+            F.sum(F.when(where, F.expr(m.value))).alias(f"sum_{i}"),
+        ]
+    return rows.groupBy(col(company).alias("company")).agg(*aggregates)
+
+
+def _measured(measures: Sequence[Measure], item: Column, side: str) -> list[Column]:
+    return [
+        F.when(F.col(f"n_{i}") > 0, _entry(m.check, item, side, F.col(f"sum_{i}")))
+        for i, m in enumerate(measures)
+    ]
+
+
+def _literal_entries(spark: SparkSession, entries: Sequence[Column]) -> DataFrame:
+    return _entries(spark.range(1), entries)
+
+
+def check_views(
+    tables: Frames,
+    views: Frames,
+    expected_unmapped: Sequence[str] = (),
+    checks: Sequence[str] = ALL_CHECKS,
+) -> DataFrame:
+    """``check, item, view_value, source_value, passed`` for the named checks.
+
+    ``item`` is the company code, or for checks that are not per company the view, the map or the
+    company name. A value that is missing on one side is null and fails.
+    """
+    spark = tables["company_map"].sparkSession
+    nothing = F.lit(0)
+    parts: list[DataFrame] = []
+    literals: list[Column] = []
+
+    for view in VIEWS:
+        measures = [m for m in VIEW_MEASURES[view] if m.check in checks]
+        if not measures and NULL_COMPANY not in checks:
+            continue
+        company = F.col("company")
+        entries = _measured(measures, company, VIEW)
+        if LEDGER_ZERO in [m.check for m in measures]:
+            entries.append(_entry(LEDGER_ZERO, company, SOURCE, nothing))
+        if NULL_COMPANY in checks:
+            without = F.when(
+                company.isNull(), _entry(NULL_COMPANY, F.lit(view), VIEW, F.col("n_rows"))
+            )
+            entries.append(without)
+            literals += [
+                _entry(NULL_COMPANY, F.lit(view), side, nothing) for side in (VIEW, SOURCE)
+            ]
+        parts.append(_entries(_per_company(views[view], "DATAAREAID", measures), entries))
 
+    codes = tables["company_map"].select("CompanyName", "DATAAREAID").distinct()
+    for table, all_measures in SOURCE_MEASURES.items():
+        measures = [m for m in all_measures if m.check in checks]
+        if measures:
+            sums = _per_company(tables[table], COMPANY.strip("`"), measures)
+            mapped = sums.join(codes, F.col("company") == F.col("CompanyName"))
+            parts.append(_entries(mapped, _measured(measures, F.col("DATAAREAID"), SOURCE)))
+
+    if MAP_UNIQUE in checks:
+        item = F.lit("company_map")
+        repeated = tables["company_map"].groupBy("CompanyName").count().filter("count > 1")
+        parts.append(_entries(repeated, [_entry(MAP_UNIQUE, item, VIEW, F.lit(1))]))
+        literals += [_entry(MAP_UNIQUE, item, side, nothing) for side in (VIEW, SOURCE)]
+    if UNMAPPED in checks:
+        company = F.col("CompanyName")
+        reported = unmapped_companies(views)
+        parts.append(_entries(reported, [_entry(UNMAPPED, company, VIEW, F.lit(1))]))
+        literals += [
+            _entry(UNMAPPED, F.lit(c), SOURCE, F.lit(1)) for c in sorted(set(expected_unmapped))
+        ]
+    if literals:
+        parts.append(_literal_entries(spark, literals))
 
-def ledger_zero(tables: Frames, views: Frames) -> DataFrame:
-    net = _view(views, "LEDGERTRANS", F.col("AMOUNTMST")).select(
-        "company",
-        F.col("measure").alias("view_value"),
-        F.lit(0).cast("decimal(28,2)").alias("source_value"),
+    sides = (
+        union_all(parts)
+        .groupBy("check", "item")
+        .agg(*[F.sum(F.when(F.col("side") == s, F.col("value"))).alias(s) for s in (VIEW, SOURCE)])
     )
-    passed = within(F.col("view_value"), F.col("source_value"), TOLERANCE)
-    return _row(LEDGER_ZERO, F.col("company"), passed, net)
+    return sides.withColumn("passed", within(F.col(VIEW), F.col(SOURCE), TOLERANCE))
 
 
-def null_company(tables: Frames, views: Frames) -> DataFrame:
-    counts = union_all(
-        [
-            views[v]
-            .agg(F.count_if(F.col("DATAAREAID").isNull()).alias("view_value"))
-            .select(F.lit(v).alias("item"), "view_value", F.lit(0).alias("source_value"))
-            for v in VIEWS
-        ]
+def check_summary(rows: DataFrame) -> DataFrame:
+    """One row per check: it passes when all its rows do."""
+    return rows.groupBy("check").agg(
+        F.count(F.lit(1)).alias("items"), F.bool_and("passed").alias("passed")
     )
-    return _row(NULL_COMPANY, F.col("item"), F.col("view_value") == 0, counts)
 
 
 def unmapped_companies(views: Frames) -> DataFrame:
+    """Companies whose rows the views leave out."""
     return views["DQ_UNMAPPED_COMPANIES"].select("CompanyName").distinct()
 
 
-def unmapped_set(tables: Frames, views: Frames, expected: Sequence[str]) -> DataFrame:
-    """One row per company that is reported or expected; 1 marks on which side it is."""
-    reported = unmapped_companies(views)
-    names = F.array(*[F.lit(c) for c in sorted(set(expected))]).cast("array<string>")
-    listed = reported.sparkSession.range(1).select(F.explode(names).alias("CompanyName"))
-    one = F.lit(1).alias("measure")
-    sides = totals_by_side(
-        {
-            "view_value": reported.select(F.col("CompanyName").alias("company"), one),
-            "source_value": listed.select(F.col("CompanyName").alias("company"), one),
-        },
-        ["company"],
-        "measure",
-    )
-    both = F.col("view_value").isNotNull() & F.col("source_value").isNotNull()
-    return _row(UNMAPPED, F.col("company"), both, sides)
-
-
 def open_item_differences(tables: Frames, views: Frames) -> DataFrame:
     """Entries that are open in the view or by flag, but not both; empty when they agree."""
     mapped = tables["CustLedgerEntry_21"].join(
@@ -191,29 +206,3 @@ def open_item_differences(tables: Frames, views: Frames) -> DataFrame:
         .agg(F.max("in_view").alias("in_view"), F.max("in_source").alias("in_source"))
         .filter(F.col("in_view") != F.col("in_source"))
     )
-
-
-CHECKS: dict[str, Callable[[Frames, Frames], DataFrame]] = {
-    "map_unique": map_unique,
-    "custtable_rows": custtable_rows,
-    "custtrans_rows": custtrans_rows,
-    "initial_amount": initial_amount,
-    "open_balance": open_balance,
-    "open_items": open_items,
-    "bank_amount": bank_amount,
-    "ledger_zero": ledger_zero,
-    "null_company": null_company,
-}
-
-
-def check_views(tables: Frames, views: Frames, expected_unmapped: Sequence[str] = ()) -> DataFrame:
-    """All checks as ``check, item, view_value, source_value, passed``."""
-    parts = [check(tables, views) for check in CHECKS.values()]
-    return union_all([*parts, unmapped_set(tables, views, expected_unmapped)])
-
-
-def check_summary(rows: DataFrame) -> DataFrame:
-    """One row per check: it passes when all its rows do."""
-    return rows.groupBy("check").agg(
-        F.count(F.lit(1)).alias("items"), F.bool_and("passed").alias("passed")
-    )

@@ -1,8 +1,8 @@
 """Old-system extracts, derived from the given tables.
 
 Every value is an SQL expression that Spark and the SQL oracle read alike. A source row is written
-as one or more *variants*: the row itself and, for some keys, a re-typed copy of it. In Spark the
-variants of a row are produced in one pass; the oracle unions them.
+as one or more *variants*: the row itself and, for some keys, a re-typed copy of it. Spark produces
+the variants of a row in one pass; the oracle unions them.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallybridge.plans.views import LazyFrames
@@ -121,16 +121,24 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def expand(base: DataFrame, variants: list[tuple[str, dict[str, str]]]) -> DataFrame:
-    """All variants of every base row, in one pass over the base."""
+    """All variants of every base row, in one pass over the base.
+
+    Only the variant number is exploded. Columns are computed from it afterwards, so that columns
+    nobody asks for are neither computed nor read.
+    """
     if len(variants) == 1 and variants[0][0] == "TRUE":
         return base.select(*[F.expr(e).alias(c) for c, e in variants[0][1].items()])
-    rows = [
-        F.when(F.expr(cond), F.struct(*[F.expr(e).alias(c) for c, e in values.items()]))
-        for cond, values in variants
-    ]
-    columns = list(variants[0][1])
-    exploded = base.select(F.explode(F.filter(F.array(*rows), lambda r: r.isNotNull())).alias("r"))
-    return exploded.select(*[F.col("r").getField(c).alias(c) for c in columns])
+    numbers = [F.when(F.expr(cond), F.lit(i)) for i, (cond, _) in enumerate(variants)]
+    rows = base.select("*", F.explode(F.array_compact(F.array(*numbers))).alias("variant"))
+    return rows.select(*[_cell(c, variants).alias(c) for c in variants[0][1]])
+
+
+def _cell(column: str, variants: list[tuple[str, dict[str, str]]]) -> Column:
+    values = [v[column] for _, v in variants]
+    if len(set(values)) == 1:
+        return F.expr(values[0])
+    cases = " ".join(f"WHEN {i} THEN {value}" for i, value in enumerate(values))
+    return F.expr(f"CASE variant {cases} END")
 
 
 def extract(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tallybridge import sinks
 from tallybridge.functions import rules
 from tallybridge.operators import profile
+from tallybridge.operators.compare import union_all
 from tallybridge.operators.quarantine import (
     REASON,
     SOURCE_ROW,
@@ -299,7 +300,7 @@ def entity_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("missing_currency_warnings")
 def missing_currency_warnings(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = load_spec()
-    return reconcile.union_all(
+    return union_all(
         [
             reconcile.missing_currency(e, extract(spark, sf_dir, e.source))
             for e in spec.values()
@@ -321,7 +322,7 @@ def reject_value(spark: SparkSession, sf_dir: str) -> DataFrame:
 def audit_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """25 customers, vendors and items for a field-by-field review."""
     run = migrated(spark, sf_dir, "customer", "vendor", "item")
-    return reconcile.union_all(
+    return union_all(
         [
             reconcile.audit_sample(r).select(F.lit(n).alias("entity"), F.col("`No.`").alias("no"))
             for n, r in run.results.items()
@@ -331,9 +332,7 @@ def audit_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("recon_row_accounting")
 def recon_row_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reconcile.union_all(
-        [reconcile.row_accounting(r) for r in migrated(spark, sf_dir).results.values()]
-    )
+    return reconcile.row_accounting(migrated(spark, sf_dir))
 
 
 def _text_checksums(df: DataFrame) -> DataFrame:
@@ -344,18 +343,13 @@ def _text_checksums(df: DataFrame) -> DataFrame:
 
 @query("recon_key_checksum")
 def recon_key_checksum(spark: SparkSession, sf_dir: str) -> DataFrame:
-    run = migrated(spark, sf_dir)
-    return _text_checksums(
-        reconcile.union_all([reconcile.key_checksums(r) for r in run.results.values()])
-    )
+    return _text_checksums(reconcile.key_checksums(migrated(spark, sf_dir)))
 
 
 @query("recon_key_buckets")
 def recon_key_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = migrated(spark, sf_dir, "customer", "open_invoice")
-    return _text_checksums(
-        reconcile.union_all([reconcile.key_checksums(r, True) for r in run.results.values()])
-    )
+    return _text_checksums(reconcile.key_checksums(run, per_bucket=True))
 
 
 @query("recon_amount_by_currency")
@@ -399,7 +393,7 @@ def recon_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("profile_columns")
 def profile_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = extracts(spark, sf_dir)
-    return reconcile.union_all(
+    return union_all(
         [profile.profile_columns(df, name).drop("position") for name, df in sorted(tables.items())]
     )
 
@@ -420,7 +414,7 @@ def profile_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("profile_missing")
 def profile_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reconcile.union_all(
+    return union_all(
         [
             profile.missing_values(df, name)
             for name, df in sorted(extracts(spark, sf_dir).items())
@@ -430,7 +424,7 @@ def profile_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("profile_duplicate_keys")
 def profile_duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reconcile.union_all(
+    return union_all(
         [
             profile.duplicate_keys(extract(spark, sf_dir, name), name, key)
             for name, key in profile.PROFILE_KEYS.items()
@@ -475,7 +469,7 @@ def export_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = ["Customer-18", "CustLedgerEntry-21", "BankAccountLedgerEntry-271"]
     folder = new_folder(spark, "export")
     sinks.write_exports({n: export(spark, sf_dir, n) for n in names}, folder)
-    return reconcile.union_all(
+    return union_all(
         [
             df.groupBy(F.col("`$Company`").alias("company"))
             .agg(F.count(F.lit(1)).alias("rows"))
@@ -543,22 +537,42 @@ def ledger_entries_by_company(spark: SparkSession, sf_dir: str) -> DataFrame:
     return view_reports.ledger_entries_by_company(export(spark, sf_dir, "CustLedgerEntry-21"))
 
 
-def _check_query(key: str, check: Callable[..., DataFrame], *args) -> None:
+def _check_query(key: str, check: str) -> None:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         tables = exports(spark, sf_dir)
-        return doubles(check(tables, views.build_views(tables), *args))
+        return doubles(
+            view_checks.check_views(
+                tables, views.build_views(tables), [UNMAPPED_COMPANY], checks=[check]
+            )
+        )
+
+    QUERIES[f"vcheck_{key}"] = run
 
-    QUERIES[key] = run
 
+for _key, _check in (
+    ("map_unique", view_checks.MAP_UNIQUE),
+    ("custtable_rows", view_checks.CUSTTABLE_ROWS),
+    ("custtrans_rows", view_checks.CUSTTRANS_ROWS),
+    ("initial_amount", view_checks.INITIAL_AMOUNT),
+    ("open_balance", view_checks.OPEN_BALANCE),
+    ("open_items", view_checks.OPEN_ITEMS),
+    ("bank_amount", view_checks.BANK_AMOUNT),
+    ("ledger_zero", view_checks.LEDGER_ZERO),
+    ("null_company", view_checks.NULL_COMPANY),
+    ("unmapped_set", view_checks.UNMAPPED),
+):
+    _check_query(_key, _check)
 
-for _name, _check in view_checks.CHECKS.items():
-    _check_query(f"vcheck_{_name}", _check)
-_check_query("vcheck_unmapped_set", view_checks.unmapped_set, [UNMAPPED_COMPANY])
-_check_query("vcheck_open_item_set", view_checks.open_item_differences)
+
+@query("vcheck_open_item_set")
+def vcheck_open_item_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = exports(spark, sf_dir)
+    return view_checks.open_item_differences(tables, views.build_views(tables))
 
 
 @query("vcheck_summary")
 def vcheck_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All view checks in one plan, one row per check."""
     tables = exports(spark, sf_dir)
     return view_checks.check_summary(
         view_checks.check_views(tables, views.build_views(tables), [UNMAPPED_COMPANY])
