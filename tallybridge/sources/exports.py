@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-FOLDER = r"/([A-Za-z]+-[0-9]+)/"
+FOLDER = r"^([A-Za-z]+-[0-9]+)/"
 
 
 def table_name(folder: str) -> str:
@@ -20,7 +21,9 @@ def export_folders(spark: SparkSession, base: str) -> list[str]:
     files = (
         spark.read.format("binaryFile").option("recursiveFileLookup", True).load(base).select("path")
     )
-    names = files.select(F.regexp_extract("path", FOLDER, 1).alias("folder")).distinct()
+    root = re.sub(r"^[a-z0-9]+:/+", "/", base).rstrip("/") + "/"
+    below = F.substring_index("path", root, -1)
+    names = files.select(F.regexp_extract(below, FOLDER, 1).alias("folder")).distinct()
     return sorted(row.folder for row in names.collect() if row.folder)
 
 

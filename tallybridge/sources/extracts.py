@@ -8,6 +8,7 @@ column.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -87,17 +88,18 @@ def land_extract(
     row_in_task = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << TASK_BITS) - 1))
     rows = raw.select(
         *[col(c) for c in names],
-        F.col("_metadata.file_path").alias("source_file"),
+        F.input_file_name().alias("source_file"),
         (F.col("_metadata.file_block_start") + row_in_task).alias(SOURCE_ROW),
     )
-    files = sorted(raw.inputFiles())
+    files = sorted(raw.inputFiles(), key=unquote)
     if len(files) >= 1 << (63 - FILE_BITS):
         raise ValueError(f"{path}: too many files to number their rows")
     if len(files) > 1:
         starts = [i << FILE_BITS for i in range(len(files))]
         index = spark.createDataFrame(pa.table({"source_file": files, "start": starts}))
-        rows = rows.join(index, "source_file").withColumn(
-            SOURCE_ROW, F.col(SOURCE_ROW) + F.col("start")
+        unlisted = F.raise_error(F.concat(F.lit("file was not listed: "), F.col("source_file")))
+        rows = rows.join(F.broadcast(index), "source_file", "left").withColumn(
+            SOURCE_ROW, F.col(SOURCE_ROW) + F.coalesce(F.col("start"), unlisted.cast("bigint"))
         )
     landed = _with_nulls(rows.select(*[col(c) for c in names], SOURCE_ROW), names, null_tokens)
     landed.write.mode("overwrite").parquet(target)
