@@ -19,8 +19,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
 
-from tallybridge.plans.spec import col
+from tallybridge.plans.spec import col, quoted
 from tallybridge.session import materialise
 
 
@@ -41,14 +42,65 @@ def _null_safe(left: Sequence[str], right: Sequence[str]) -> Column:
     return on
 
 
-def repeated_keys(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+def _row_bytes(schema: StructType, parent: str = "") -> Column:
+    """Upper estimate of the memory a row takes, from the lengths of its texts."""
+    total = F.lit(16)
+    for field in schema.fields:
+        path = f"{parent}{quoted(field.name)}"
+        if isinstance(field.dataType, StructType):
+            total = total + _row_bytes(field.dataType, f"{path}.")
+        elif isinstance(field.dataType, StringType):
+            total = total + 16 + F.coalesce(F.octet_length(F.col(path)), F.lit(0))
+        else:
+            total = total + 16
+    return total
+
+
+@dataclass(frozen=True)
+class Measured:
+    """A materialised key set, its size and the number of rows that its keys stand for."""
+
+    keys: DataFrame
+    rows: int
+    bytes: int
+    labelled: int
+
+    def fits(self, budget: Budget) -> bool:
+        return self.rows <= budget.rows and self.bytes <= budget.bytes
+
+
+def measure(keys: DataFrame) -> Measured:
+    """Compute a key set (with its ``n_rows``) once and find out how large it is."""
+    keys = materialise(keys)
+    zero = F.lit(0).cast("bigint")
+    size = keys.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.coalesce(F.sum(_row_bytes(keys.schema)), zero).alias("bytes"),
+        F.coalesce(F.sum("n_rows"), zero).alias("labelled"),
+    ).first()
+    return Measured(keys, size["rows"], size["bytes"], size["labelled"])
+
+
+def repeated_keys(
+    rows: DataFrame, keys: Sequence[str], order: Sequence[str], budget: Budget = Budget()
+) -> DataFrame:
     """Keys that occur more than once, with the position of their first row.
 
-    Null parts of a key equal each other. ``order`` must tell the rows of a key apart.
+    Null parts of a key equal each other. ``order`` must tell the rows of a key apart. If it has
+    several columns, they are looked at only in rows whose key is repeated, so that the shuffle
+    carries keys and counts instead of whole rows - as long as the repeated keys can be broadcast.
     """
     position = col(order[0]) if len(order) == 1 else F.struct(*[col(c) for c in order])
+    by = [col(k) for k in keys]
+    if len(order) > 1:
+        counts = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n_rows")).filter("n_rows > 1")
+        names = [f"repeated_key_{i}" for i in range(len(keys))]
+        found = measure(counts)
+        if found.fits(budget):
+            repeated = found.keys.toDF(*names, "n_rows").select(*names)
+            rows = rows.join(F.broadcast(repeated), _null_safe(keys, names), "left_semi")
     return (
-        rows.groupBy(*[col(k) for k in keys])
+        rows.groupBy(*by)
         .agg(F.count(F.lit(1)).alias("n_rows"), F.min(position).alias("verdict"))
         .filter(F.col("n_rows") > 1)
     )
@@ -85,33 +137,26 @@ def label_rows(
     evenly over the shuffle join.
     """
     names = [f"verdict_key_{i}" for i in range(len(keys))]
-    verdicts = materialise(
-        verdicts.select(
-            *[col(k).alias(n) for k, n in zip(keys, names)], "n_rows", "verdict"
-        )
-    )
-    key_bytes = sum(
-        (F.coalesce(F.octet_length(F.col(n).cast("string")), F.lit(0)) for n in names), F.lit(0)
+    measured = measure(
+        verdicts.select(*[col(k).alias(n) for k, n in zip(keys, names)], "n_rows", "verdict")
     )
-    size = verdicts.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.coalesce(F.sum(key_bytes + 32), F.lit(0)).alias("bytes"),
-        F.coalesce(F.sum("n_rows"), F.lit(0)).alias("labelled"),
-    ).first()
+    verdicts = measured.keys
 
-    if size["rows"] <= budget.rows and size["bytes"] <= budget.bytes:
+    if measured.fits(budget):
         found = verdicts.select(*names, F.col("verdict").alias(label))
         return rows.join(F.broadcast(found), _null_safe(keys, names), "left").drop(*names)
 
     # More than labelled / hot_keys rows per key: fewer than hot_keys keys can reach that.
-    floor = max(budget.hot_rows, size["labelled"] // budget.hot_keys)
+    floor = max(budget.hot_rows, measured.labelled // budget.hot_keys)
     hot = verdicts.filter(F.col("n_rows") > floor).select(
         *names, F.struct("verdict").alias("hot_verdict")
     )
     cold_names = [f"cold_key_{i}" for i in range(len(keys))]
     cold = verdicts.filter(F.col("n_rows") <= floor).select(
         *[F.col(n).alias(c) for n, c in zip(names, cold_names)],
-        F.lit(-1).cast("bigint").alias("cold_lane"),
+        # Always -1, but not a constant: a constant would be folded into the join condition, and
+        # the lane would no longer take part in the partitioning.
+        F.least(F.col("n_rows"), F.lit(-1)).cast("bigint").alias("cold_lane"),
         F.col("verdict").alias("cold_verdict"),
     )
     answered = F.col("hot_verdict").isNotNull()

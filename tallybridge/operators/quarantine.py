@@ -46,7 +46,8 @@ def mark_duplicates(
     """Add ``flag``: true for every row of a key but its first in ``order``."""
     first = "first_position"
     position = col(order[0]) if len(order) == 1 else F.struct(*[col(c) for c in order])
-    labelled = label_rows(rows, keys, repeated_keys(rows, keys, order), first, order, budget)
+    repeated = repeated_keys(rows, keys, order, budget)
+    labelled = label_rows(rows, keys, repeated, first, order, budget)
     return labelled.withColumn(
         flag, F.col(first).isNotNull() & ~position.eqNullSafe(F.col(first))
     ).drop(first)

@@ -143,3 +143,21 @@ def test_wide_rows_are_not_shuffled_when_verdicts_are_few(spark, sf_dir):
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in text
     assert "Exchange hashpartitioning" not in text
+
+
+def test_rows_of_frequent_keys_are_spread(spark):
+    """A key with a third of all rows must not end up in one partition of the fallback join."""
+    rows = spark.range(3000).selectExpr(
+        "id AS _source_row", "IF(id % 3 = 0, 'hot', concat('k', cast(id % 1000 AS string))) AS key"
+    )
+    budget = Budget(rows=0, bytes=0, hot_keys=10**6, hot_rows=100)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        marked = mark_duplicates(rows.repartition(4), ["key"], budget=budget)
+        sizes = [r["count"] for r in marked.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum(sizes) == 3000
+    assert max(sizes) < 800

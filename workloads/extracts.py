@@ -12,6 +12,7 @@ from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tallybridge.plans.views import LazyFrames
 
@@ -116,8 +117,15 @@ _LEDGER = {
 }
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table. Its schema is read from the files once per process, not once per query."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def expand(base: DataFrame, variants: list[tuple[str, dict[str, str]]]) -> DataFrame:
