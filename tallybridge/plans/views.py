@@ -3,9 +3,9 @@
 Each view is declared once as output column -> Spark SQL expression. The declaration serves both
 the DataFrame functions and the ``CREATE OR REPLACE VIEW`` statements.
 
-Companies are translated by ``company_map``. It is left to the optimizer to broadcast it: Spark
-does so while its size is below ``spark.sql.autoBroadcastJoinThreshold`` and joins by shuffle
-beyond that.
+Companies are translated by ``company_map``. :func:`build_views` counts its rows and broadcasts it
+while they are few; a larger one is joined by shuffle. In the created views the decision is
+Spark's, from the size of the stored table.
 """
 
 from __future__ import annotations
@@ -115,6 +115,8 @@ DQ_TABLES = {
     "GLEntry_17": "GLEntry",
 }
 INITIAL, APPLIED = "Initial Entry", "Application"
+# Largest company map that is broadcast, in rows.
+MAP_ROWS = 100_000
 _DETAIL_SUM = "sum(CASE WHEN `EntryType-3` = '{kind}' THEN `Amount-7` ELSE 0BD END)"
 
 Tables = Mapping[str, DataFrame]
@@ -219,9 +221,17 @@ class LazyFrames(Mapping):
         return len(self._builders)
 
 
+def broadcast_if_small(df: DataFrame, max_rows: int = MAP_ROWS) -> DataFrame:
+    """Hint ``df`` for broadcast if counting shows that it has at most ``max_rows`` rows."""
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
 def build_views(tables: Tables) -> Mapping[str, DataFrame]:
     """All views over the tables, by view name."""
-    return LazyFrames({name: partial(view, tables) for name, view in VIEW_FUNCTIONS.items()})
+    sides = {name: partial(tables.__getitem__, name) for name in tables}
+    sides["company_map"] = lambda: broadcast_if_small(tables["company_map"])
+    measured = LazyFrames(sides)
+    return LazyFrames({name: partial(view, measured) for name, view in VIEW_FUNCTIONS.items()})
 
 
 def view_statements(schema: str = "ax", source: str = "dbo") -> dict[str, str]:

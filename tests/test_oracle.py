@@ -39,6 +39,9 @@ def test_every_query_has_an_oracle():
 @pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_query(spark, sf_dir, oracle, name):
     df = registry.queries()[name](spark, sf_dir)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas"):
+        assert operator not in plan
     result = oracle.execute(registry.oracle_sql()[name])
     columns = [d[0] for d in result.description]
     assert table(df.columns, df.collect()) == table(columns, result.fetchall())

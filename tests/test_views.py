@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from tallybridge import build_views, check_views, create_views, gate
 from tallybridge.plans import view_checks, view_reports
-from tallybridge.plans.views import VIEWS
+from tallybridge.plans.views import VIEWS, broadcast_if_small
 from tallybridge.sources.exports import load_tables
 from workloads.exports import OVERDUE_BEFORE, UNMAPPED_COMPANY, exports
 
@@ -104,6 +104,35 @@ def test_report_queries(tables):
     assert amounts == sorted(amounts, reverse=True)
 
 
+def test_float_amounts(tables):
+    """Exports that hold amounts as floating point numbers reconcile within the tolerance."""
+    amounts = {
+        "DetailedCustLedgEntry_379": "Amount-7",
+        "BankAccountLedgerEntry_271": "Amount-13",
+        "GLEntry_17": "Amount-17",
+    }
+    floats = {
+        t: tables[t].withColumn(c, F.col(f"`{c}`").cast("double")) for t, c in amounts.items()
+    }
+    assert failed({**tables, **floats}) == set()
+
+
+def test_company_map_made_from_python_rows_is_broadcast(spark, tables):
+    """Spark does not know the size of such a map; it is counted and broadcast."""
+    rows = [tuple(r) for r in tables["company_map"].collect()]
+    made = spark.createDataFrame(rows, "CompanyName string, DATAAREAID string")
+    view = build_views({**tables, "company_map": made})["LEDGERTRANS"]
+    plan = view._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_large_company_map_is_joined_by_shuffle(spark, tables):
+    large = broadcast_if_small(tables["company_map"], max_rows=2)
+    assert "hint" not in large._jdf.queryExecution().logical().toString().lower()
+    small = broadcast_if_small(tables["company_map"], max_rows=4)
+    assert "hint" in small._jdf.queryExecution().logical().toString().lower()
+
+
 def test_created_views_equal_the_dataframe_views(spark, tables):
     buckets = {
         "CustLedgerEntry_21": (4, ["EntryNo-1", "$Company"]),

@@ -494,7 +494,7 @@ def load_tables_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _view_query(key: str, name: str) -> None:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return doubles(views.VIEW_FUNCTIONS[name](exports(spark, sf_dir)))
+        return doubles(views.build_views(exports(spark, sf_dir))[name])
 
     QUERIES[key] = run
 
