@@ -43,7 +43,10 @@ def mark_duplicates(
     flag: str = "is_duplicate",
     budget: Budget = Budget(),
 ) -> DataFrame:
-    """Add ``flag``: true for every row of a key but its first in ``order``."""
+    """Add ``flag``: true for every row of a key but its first in ``order``.
+
+    ``order`` must give the rows of a key different positions (see :func:`refuse_ties`).
+    """
     first = "first_position"
     position = col(order[0]) if len(order) == 1 else F.struct(*[col(c) for c in order])
     repeated = repeated_keys(rows, keys, order, budget)
@@ -53,6 +56,19 @@ def mark_duplicates(
     ).drop(first)
 
 
+def refuse_ties(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> None:
+    """Raise if two rows of a key share a position, for then neither would be the first alone."""
+    tied = (
+        rows.groupBy(*[col(c) for c in (*keys, *order)])
+        .agg(F.count(F.lit(1)).alias("n_rows"))
+        .filter(F.col("n_rows") > 1)
+        .limit(1)
+        .collect()
+    )
+    if tied:
+        raise ValueError(f"order columns {list(order)} do not tell rows apart: {tied[0].asDict()}")
+
+
 def mark_orphans(
     rows: DataFrame,
     key: str,
@@ -71,15 +87,16 @@ def mark_orphans(
 def classify(
     entity: Entity,
     source: DataFrame,
-    parents: Mapping[str, DataFrame] | None = None,
+    parents: Mapping[str, tuple[DataFrame, str]] | None = None,
     order_by: Sequence[str] = (SOURCE_ROW,),
     budget: Budget = Budget(),
 ) -> DataFrame:
     """One row per source row: cleansed target fields, ``reject_reason`` (null when loadable),
     ``status``, the lineage columns and, for rejects only, the untouched source columns.
 
-    ``parents`` maps parent entities to their loaded rows. ``order_by`` names source columns that
-    give every row its own place in the source; "keep first" follows them.
+    ``parents`` maps parent entities to their loaded rows and the name of their key. ``order_by``
+    names source columns that give every row its own place in the source; "keep first" follows
+    them. Columns other than the position stored by landing are checked for ties first.
     """
     check_source(entity, source.columns)
     absent = [c for c in order_by if c not in source.columns]
@@ -102,6 +119,8 @@ def classify(
 
     reasons = [missing_required(entity.required)]
     if entity.dedupe_on:
+        if tuple(order_by) != (SOURCE_ROW,):
+            refuse_ties(rows, entity.dedupe_on, order)
         rows = mark_duplicates(rows, entity.dedupe_on, order, "is_duplicate", budget)
         reasons.append(F.when(F.col("is_duplicate"), DUPLICATE))
     for i, (child, parent) in enumerate(entity.foreign_keys):

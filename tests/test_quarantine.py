@@ -134,6 +134,18 @@ def test_source_without_order_is_refused(spark):
         classify(SPEC["parent"], df)
 
 
+def test_order_columns_of_the_user(spark):
+    rows = [("a", "x", 2, "u"), ("A", "y", 1, "v"), ("b", "z", 1, "u")]
+    df = spark.createDataFrame(rows, "ID string, NAME string, day int, batch string")
+    done = classify(SPEC["parent"], df, order_by=["day", "batch"])
+    assert {tuple(r) for r in loaded_rows(done, SPEC["parent"]).collect()} == {
+        ("A", "y"), ("B", "z"),
+    }
+    again = df.union(df.limit(1))
+    with pytest.raises(ValueError):
+        classify(SPEC["parent"], again, order_by=["day", "batch"])
+
+
 def test_wide_rows_are_not_shuffled_when_verdicts_are_few(spark, sf_dir):
     from tallybridge import load_spec
     from workloads.extracts import extract
