@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ from tallybridge.operators.quarantine import (
     rejected_rows,
 )
 from tallybridge.plans.spec import Entity, load_spec
-from tallybridge.session import new_folder
+from tallybridge.session import new_folder, run_jobs
 
 
 @dataclass(frozen=True)
@@ -62,14 +63,16 @@ def migrate(
     """Migrate every entity of ``spec``, parents first.
 
     Each entity is classified and written once, partitioned by ``status``; parents, checks and
-    reports all read that table. ``sources`` maps extract names to DataFrames and ``order_by``
+    reports all read that table. Entities that do not depend on each other run side by side. ``sources`` maps extract names to DataFrames and ``order_by``
     extract names to the columns that give source order. ``entities`` restricts the run and
     ``run`` continues an earlier one. ``strict`` stops at the first entity with an unreadable
     number instead of quarantining the row.
     """
     spec = spec or load_spec()
     run = run or Migration(spark, folder or new_folder(spark, "migration"))
-    for name in entities or spec:
+    names = list(entities or spec)
+
+    def one(name: str) -> None:
         entity = spec[name]
         source = sources[entity.source]
         parents = {
@@ -81,9 +84,17 @@ def migrate(
         path = f"{run.folder}/{name}"
         plan.write.mode("overwrite").partitionBy(STATUS).parquet(path)
         written = spark.read.schema(plan.schema).parquet(path)
-        run.results[name] = EntityResult(entity, source, written)
+        result = EntityResult(entity, source, written)
         if strict:
-            _stop_on_bad_numbers(run[name])
+            _stop_on_bad_numbers(result)
+        run.results[name] = result
+
+    run_jobs(
+        spark,
+        {name: partial(one, name) for name in names},
+        after={name: {parent for _, parent in spec[name].foreign_keys} for name in names},
+    )
+    run.results = {name: run[name] for name in spec if name in run.results}
     return run
 
 

@@ -4,9 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Mapping
+from concurrent.futures import Future, ThreadPoolExecutor
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+T = TypeVar("T")
+
 
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can read: ``spark.checkpoint.dir``.
@@ -37,3 +43,27 @@ def materialise(df: DataFrame) -> DataFrame:
     """Compute ``df`` once, keep it in the shared folder and cut its lineage."""
     shared_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def run_jobs(
+    spark: SparkSession,
+    jobs: Mapping[str, Callable[[], T]],
+    after: Mapping[str, set[str]] | None = None,
+    at_once: int = 8,
+) -> dict[str, T]:
+    """Run independent Spark jobs side by side, so that one's last tasks leave no cores idle.
+
+    A job starts when those that ``after`` names for it are done; list them before it.
+    """
+    futures: dict[str, Future] = {}
+
+    def run(name: str) -> T:
+        for earlier in (after or {}).get(name, ()):
+            if earlier in futures:
+                futures[earlier].result()
+        return jobs[name]()
+
+    with ThreadPoolExecutor(at_once) as pool:
+        for name in jobs:
+            futures[name] = pool.submit(inheritable_thread_target(spark)(run), name)
+        return {name: future.result() for name, future in futures.items()}

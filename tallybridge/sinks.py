@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallybridge.plans.migration import Migration
+from tallybridge.session import run_jobs
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
@@ -27,15 +29,17 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
 
 def write_results(run: Migration, target: str, rejects: str, fmt: str = "parquet") -> None:
     """Loaded rows to ``target/<entity>``, rejects with their reason to ``rejects/<entity>``."""
+    jobs = {}
     for name, result in run.results.items():
-        write_table(result.loaded, f"{target}/{name}", fmt)
-        write_table(result.rejects, f"{rejects}/{name}", fmt)
+        jobs[f"{name} loaded"] = partial(write_table, result.loaded, f"{target}/{name}", fmt)
+        jobs[f"{name} rejects"] = partial(write_table, result.rejects, f"{rejects}/{name}", fmt)
+    run_jobs(run.spark, jobs)
 
 
 def write_exports(tables: Mapping[str, DataFrame], base: str, fmt: str = "parquet") -> None:
     """One folder per table, named as given (``<Table>-<Id>``)."""
-    for name, df in tables.items():
-        write_table(df, f"{base}/{name}", fmt)
+    jobs = {name: partial(write_table, df, f"{base}/{name}", fmt) for name, df in tables.items()}
+    run_jobs(next(iter(tables.values())).sparkSession, jobs)
 
 
 def write_checks(checks: DataFrame, path: str) -> None:

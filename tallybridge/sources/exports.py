@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping, Sequence
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallybridge.session import run_jobs
+
 FOLDER = r"^([A-Za-z]+-[0-9]+)/"
 
 
@@ -47,9 +49,9 @@ def load_tables(
     columns, such as ledger entries and their details, then meet without a shuffle.
     """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema}")
-    names = []
-    for name, df in tables.items():
-        writer = df.write.mode("overwrite").format(fmt)
+
+    def load(name: str) -> str:
+        writer = tables[name].write.mode("overwrite").format(fmt)
         if fmt == "delta":
             writer = writer.option("overwriteSchema", "true").option(
                 "delta.columnMapping.mode", "name"
@@ -58,8 +60,9 @@ def load_tables(
             number, columns = buckets[name]
             writer = writer.bucketBy(number, *columns)
         writer.saveAsTable(f"{schema}.{name}")
-        names.append(f"{schema}.{name}")
-    return names
+        return f"{schema}.{name}"
+
+    return list(run_jobs(spark, {name: partial(load, name) for name in tables}).values())
 
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
