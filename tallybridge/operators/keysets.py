@@ -1,4 +1,4 @@
-"""Label wide rows by a verdict on their key without shuffling the wide rows.
+"""Label wide rows by a verdict on their key, shuffling them only if there is no other way.
 
 Questions such as "is this key used twice?" or "does the parent exist?" are answered once per key
 on a narrow projection: the group-by combines copies of a key before the shuffle, so one key that
@@ -6,8 +6,9 @@ owns a third of all rows costs one partial row per task. Only keys with somethin
 kept. That set is measured, and the rows are then labelled
 
 * by a broadcast join while the set fits ``Budget``: the wide rows are not shuffled at all;
-* beyond it by two joins: frequent keys are broadcast (by counting, fewer than ``hot_keys`` keys
-  can be that frequent), the others meet their rows in a shuffle join in which no key is frequent.
+* beyond it, by broadcast for frequent keys (by counting, fewer than ``hot_keys`` keys can be that
+  frequent) and by one shuffle of the rows for all others. Rows of frequent keys are answered
+  before that shuffle; a lane spreads them over all partitions.
 
 Both ways label every row.
 """
@@ -17,7 +18,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
@@ -68,6 +69,10 @@ class Measured:
     def fits(self, budget: Budget) -> bool:
         return self.rows <= budget.rows and self.bytes <= budget.bytes
 
+    def is_hot(self, budget: Budget) -> Column:
+        """True for keys with so many rows that there must be fewer than ``hot_keys`` of them."""
+        return F.col("n_rows") > max(budget.hot_rows, self.labelled // budget.hot_keys)
+
 
 def measure(keys: DataFrame) -> Measured:
     """Compute a key set (with its ``n_rows``) once and find out how large it is."""
@@ -81,28 +86,66 @@ def measure(keys: DataFrame) -> Measured:
     return Measured(keys, size["rows"], size["bytes"], size["labelled"])
 
 
-def repeated_keys(
-    rows: DataFrame, keys: Sequence[str], order: Sequence[str], budget: Budget = Budget()
+def lane(answered: Column, spread_by: Sequence[str]) -> Column:
+    """-1 for rows that still need an answer, anything else for the others."""
+    spread = F.pmod(F.xxhash64(*[col(c) for c in spread_by]), F.lit(1 << 40))
+    return F.when(answered, spread).otherwise(F.lit(-1).cast("bigint"))
+
+
+def position_of(order: Sequence[str]) -> Column:
+    return col(order[0]) if len(order) == 1 else F.struct(*[col(c) for c in order])
+
+
+def _first_rows(
+    rows: DataFrame, keys: Sequence[str], order: Sequence[str], names: Sequence[str]
+) -> DataFrame:
+    return (
+        rows.groupBy(*[col(k).alias(n) for k, n in zip(keys, names)])
+        .agg(F.count(F.lit(1)).alias("n_rows"), F.min(position_of(order)).alias("first_position"))
+        .filter(F.col("n_rows") > 1)
+    )
+
+
+def mark_repeats(
+    rows: DataFrame, keys: Sequence[str], order: Sequence[str], flag: str, budget: Budget
 ) -> DataFrame:
-    """Keys that occur more than once, with the position of their first row.
+    """Add ``flag``: true for all rows of a key but its first. Null parts of a key are equal.
 
-    Null parts of a key equal each other. ``order`` must tell the rows of a key apart. If it has
-    several columns, they are looked at only in rows whose key is repeated, so that the shuffle
-    carries keys and counts instead of whole rows - as long as the repeated keys can be broadcast.
+    If the position has several columns, they are looked at only in rows whose key is repeated (or
+    frequent), so that the first shuffle carries keys and counts only.
     """
-    position = col(order[0]) if len(order) == 1 else F.struct(*[col(c) for c in order])
-    by = [col(k) for k in keys]
-    if len(order) > 1:
-        counts = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n_rows")).filter("n_rows > 1")
-        names = [f"repeated_key_{i}" for i in range(len(keys))]
-        found = measure(counts)
-        if found.fits(budget):
-            repeated = found.keys.toDF(*names, "n_rows").select(*names)
-            rows = rows.join(F.broadcast(repeated), _null_safe(keys, names), "left_semi")
+    names = [f"repeated_key_{i}" for i in range(len(keys))]
+    on = _null_safe(keys, names)
+    if len(order) == 1:
+        counted = firsts = measure(_first_rows(rows, keys, order, names))
+    else:
+        counted = measure(
+            rows.groupBy(*[col(k).alias(n) for k, n in zip(keys, names)])
+            .agg(F.count(F.lit(1)).alias("n_rows"))
+            .filter("n_rows > 1")
+        )
+        found = counted.keys if counted.fits(budget) else counted.keys.filter(counted.is_hot(budget))
+        candidates = rows.join(F.broadcast(found.select(*names)), on, "left_semi")
+        firsts = measure(_first_rows(candidates, keys, order, names))
+
+    whole = counted.fits(budget) and firsts.fits(budget)
+    known = firsts.keys if whole else firsts.keys.filter(counted.is_hot(budget))
+    labelled = rows.join(
+        F.broadcast(known.select(*names, "first_position")), on, "left"
+    ).drop(*names)
+    answered = F.col("first_position").isNotNull()
+    is_later = answered & ~position_of(order).eqNullSafe(F.col("first_position"))
+    if whole:
+        return labelled.withColumn(flag, is_later).drop("first_position")
+
+    in_key = Window.partitionBy(*[col(k) for k in keys], "row_lane").orderBy(
+        *[col(c) for c in order]
+    )
     return (
-        rows.groupBy(*by)
-        .agg(F.count(F.lit(1)).alias("n_rows"), F.min(position).alias("verdict"))
-        .filter(F.col("n_rows") > 1)
+        labelled.withColumn("row_lane", lane(answered, order))
+        .withColumn("row_in_key", F.row_number().over(in_key))
+        .withColumn(flag, F.when(answered, is_later).otherwise(F.col("row_in_key") > 1))
+        .drop("row_lane", "row_in_key", "first_position")
     )
 
 
@@ -125,7 +168,7 @@ def unmatched_keys(
 
 def label_rows(
     rows: DataFrame,
-    keys: Sequence[str],
+    key: str,
     verdicts: DataFrame,
     label: str,
     spread_by: Sequence[str],
@@ -133,46 +176,31 @@ def label_rows(
 ) -> DataFrame:
     """Add ``label``: the verdict on the row's key, null where the key has none.
 
-    ``spread_by`` names columns that tell rows apart; they spread the rows of frequent keys
-    evenly over the shuffle join.
+    ``spread_by`` names columns that tell rows apart.
     """
-    names = [f"verdict_key_{i}" for i in range(len(keys))]
-    measured = measure(
-        verdicts.select(*[col(k).alias(n) for k, n in zip(keys, names)], "n_rows", "verdict")
-    )
-    verdicts = measured.keys
-
+    measured = measure(verdicts.select(col(key).alias("verdict_key"), "n_rows", "verdict"))
+    verdicts, on = measured.keys, _null_safe([key], ["verdict_key"])
     if measured.fits(budget):
-        found = verdicts.select(*names, F.col("verdict").alias(label))
-        return rows.join(F.broadcast(found), _null_safe(keys, names), "left").drop(*names)
+        found = verdicts.select("verdict_key", F.col("verdict").alias(label))
+        return rows.join(F.broadcast(found), on, "left").drop("verdict_key")
 
-    # More than labelled / hot_keys rows per key: fewer than hot_keys keys can reach that.
-    floor = max(budget.hot_rows, measured.labelled // budget.hot_keys)
-    hot = verdicts.filter(F.col("n_rows") > floor).select(
-        *names, F.struct("verdict").alias("hot_verdict")
+    hot = verdicts.filter(measured.is_hot(budget)).select(
+        "verdict_key", F.col("verdict").alias("hot_verdict")
     )
-    cold_names = [f"cold_key_{i}" for i in range(len(keys))]
-    cold = verdicts.filter(F.col("n_rows") <= floor).select(
-        *[F.col(n).alias(c) for n, c in zip(names, cold_names)],
-        # Always -1, but not a constant: a constant would be folded into the join condition, and
-        # the lane would no longer take part in the partitioning.
+    # The lane is always -1 here, but not a constant: a constant would be folded into the join
+    # condition, and the lane would no longer take part in the partitioning.
+    cold = verdicts.filter(~measured.is_hot(budget)).select(
+        F.col("verdict_key").alias("cold_key"),
         F.least(F.col("n_rows"), F.lit(-1)).cast("bigint").alias("cold_lane"),
         F.col("verdict").alias("cold_verdict"),
     )
     answered = F.col("hot_verdict").isNotNull()
-    spread = F.pmod(F.xxhash64(*[col(c) for c in spread_by]), F.lit(1 << 40))
-    lane = F.when(answered, spread).otherwise(F.lit(-1).cast("bigint"))
+    same_lane = F.col("row_lane") == F.col("cold_lane")
     return (
-        rows.join(F.broadcast(hot), _null_safe(keys, names), "left")
-        .drop(*names)
-        .withColumn("row_lane", lane)
-        .join(
-            cold,
-            _null_safe(keys, cold_names) & (F.col("row_lane") == F.col("cold_lane")),
-            "left",
-        )
-        .withColumn(
-            label, F.when(answered, F.col("hot_verdict.verdict")).otherwise(F.col("cold_verdict"))
-        )
-        .drop("row_lane", "hot_verdict", "cold_verdict", "cold_lane", *cold_names)
+        rows.join(F.broadcast(hot), on, "left")
+        .drop("verdict_key")
+        .withColumn("row_lane", lane(answered, spread_by))
+        .join(cold, _null_safe([key], ["cold_key"]) & same_lane, "left")
+        .withColumn(label, F.coalesce("hot_verdict", "cold_verdict"))
+        .drop("row_lane", "hot_verdict", "cold_key", "cold_lane", "cold_verdict")
     )

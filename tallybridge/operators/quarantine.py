@@ -13,7 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallybridge.operators.keysets import Budget, label_rows, repeated_keys, unmatched_keys
+from tallybridge.operators.keysets import Budget, label_rows, mark_repeats, unmatched_keys
 from tallybridge.plans.spec import Entity, check_source, col
 
 SOURCE_ROW = "_source_row"
@@ -47,13 +47,7 @@ def mark_duplicates(
 
     ``order`` must give the rows of a key different positions (see :func:`refuse_ties`).
     """
-    first = "first_position"
-    position = col(order[0]) if len(order) == 1 else F.struct(*[col(c) for c in order])
-    repeated = repeated_keys(rows, keys, order, budget)
-    labelled = label_rows(rows, keys, repeated, first, order, budget)
-    return labelled.withColumn(
-        flag, F.col(first).isNotNull() & ~position.eqNullSafe(F.col(first))
-    ).drop(first)
+    return mark_repeats(rows, keys, order, flag, budget)
 
 
 def refuse_ties(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> None:
@@ -80,7 +74,7 @@ def mark_orphans(
 ) -> DataFrame:
     """Add ``flag``: true where ``key`` is null or names no row of ``parents``."""
     verdicts = unmatched_keys(rows, key, parents, parent_key, budget)
-    labelled = label_rows(rows, [key], verdicts, flag, spread_by, budget)
+    labelled = label_rows(rows, key, verdicts, flag, spread_by, budget)
     return labelled.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
 
 

@@ -9,8 +9,13 @@ from tallybridge import parse_spec
 from tallybridge.operators.keysets import Budget
 from tallybridge.operators.quarantine import classify, loaded_rows, mark_duplicates, rejected_rows
 
-# The second budget broadcasts nothing whole and splits off keys with more than two rows.
-BUDGETS = {"broadcast": Budget(), "split": Budget(rows=0, bytes=0, hot_keys=10**6, hot_rows=2)}
+# "split" broadcasts nothing whole and splits off keys with more than two rows; "payload" has room
+# for a few keys, but not for the positions of their first rows.
+BUDGETS = {
+    "broadcast": Budget(),
+    "split": Budget(rows=0, bytes=0, hot_keys=10**6, hot_rows=2),
+    "payload": Budget(rows=100, bytes=400, hot_keys=10**6, hot_rows=2),
+}
 
 SPEC = parse_spec(
     {
