@@ -97,40 +97,51 @@ def classify(
     if absent:
         raise KeyError(f"{entity.name}: the source has no order column {absent}; land it first")
     original = [c for c in source.columns if c not in order_by]
-    bad_numbers = [
-        F.when(f.is_bad_number(), f"invalid_number:{f.target}")
-        for f in entity.fields
-        if f.is_number
-    ]
-    invalid = F.coalesce(*bad_numbers) if bad_numbers else F.lit(None).cast("string")
-    rows = source.select(
-        *entity.mapped(),
-        *[col(c).alias(_lineage(i)) for i, c in enumerate(order_by)],
-        F.struct(*[col(c) for c in original]).alias(SOURCE),
-        invalid.alias("bad_number"),
-    )
+    raw = {c: F.col(f"source_{i}") for i, c in enumerate(original)}
+    keys = dict.fromkeys([*entity.dedupe_on, *[child for child, _ in entity.foreign_keys]])
+    key_names = {target: f"key_{i}" for i, target in enumerate(keys)}
     order = [_lineage(i) for i in range(len(order_by))]
 
-    reasons = [missing_required(entity.required)]
+    # Up to the final projection rows carry their source columns and keys only.
+    rows = source.select(
+        *[col(c).alias(f"source_{i}") for i, c in enumerate(original)],
+        *[col(c).alias(n) for c, n in zip(order_by, order)],
+        *[entity.field(target).value().alias(n) for target, n in key_names.items()],
+    )
+    flags: list[Column] = []
     if entity.dedupe_on:
+        dedupe_on = [key_names[t] for t in entity.dedupe_on]
         if tuple(order_by) != (SOURCE_ROW,):
-            refuse_ties(rows, entity.dedupe_on, order)
-        rows = mark_duplicates(rows, entity.dedupe_on, order, "is_duplicate", budget)
-        reasons.append(F.when(F.col("is_duplicate"), DUPLICATE))
+            refuse_ties(rows, dedupe_on, order)
+        rows = mark_duplicates(rows, dedupe_on, order, "is_duplicate", budget)
+        flags.append(F.when(F.col("is_duplicate"), DUPLICATE))
     for i, (child, parent) in enumerate(entity.foreign_keys):
         if parents is None or parent not in parents:
             raise KeyError(f"{entity.name}: {child!r} needs the loaded rows of {parent!r}")
         loaded, parent_key = parents[parent]
-        rows = mark_orphans(rows, child, loaded, parent_key, f"is_orphan_{i}", order, budget)
-        reasons.append(F.when(F.col(f"is_orphan_{i}"), f"orphan:{child}"))
-    reasons.append(F.col("bad_number"))
+        rows = mark_orphans(
+            rows, key_names[child], loaded, parent_key, f"is_orphan_{i}", order, budget
+        )
+        flags.append(F.when(F.col(f"is_orphan_{i}"), f"orphan:{child}"))
+    flags += [
+        F.when(f.is_bad_number(raw[f.source]), f"invalid_number:{f.target}")
+        for f in entity.fields
+        if f.is_number
+    ]
 
-    classified = rows.withColumn(REASON, F.coalesce(*reasons))
+    mapped = rows.select(
+        *[f.value(raw[f.source]).alias(f.target) for f in entity.fields],
+        *order,
+        *raw.values(),
+        F.coalesce(*flags, F.lit(None).cast("string")).alias("finding"),
+    )
+    mapped = mapped.withColumn(REASON, F.coalesce(missing_required(entity.required), "finding"))
     rejected = F.col(REASON).isNotNull()
-    return classified.select(
+    as_extracted = F.struct(*[value.alias(c) for c, value in raw.items()])
+    return mapped.select(
         *[col(f.target) for f in entity.fields],
-        *[F.col(c) for c in order],
-        F.when(rejected, F.col(SOURCE)).alias(SOURCE),
+        *order,
+        F.when(rejected, as_extracted).alias(SOURCE),
         REASON,
         F.when(rejected, REJECTED).otherwise(LOADED).alias(STATUS),
     )

@@ -16,7 +16,7 @@ from tallybridge.operators.checksum import digest_bucket, digest_sum, key_digest
 from tallybridge.operators.compare import totals_by_side, union_all, within
 from tallybridge.operators.quarantine import LOADED, REASON, SOURCE, STATUS
 from tallybridge.plans.migration import EntityResult, Migration
-from tallybridge.plans.spec import Entity, col
+from tallybridge.plans.spec import Entity, Field, col
 
 # Largest accepted difference, name of the local currency in totals, check titles.
 TOLERANCE = 0.005
@@ -31,6 +31,11 @@ class CheckFailed(RuntimeError):
     """At least one check did not pass."""
 
 
+def _quarantined(field: Field) -> Column:
+    """The field's source column as it was put into quarantine."""
+    return F.col(SOURCE).getField(field.source)
+
+
 def _source_digest(entity: Entity) -> Column:
     """Digest of the key that a source row should arrive with."""
     return key_digest([entity.field(k).value() for k in entity.key_target])
@@ -38,7 +43,7 @@ def _source_digest(entity: Entity) -> Column:
 
 def _target_digest(entity: Entity) -> Column:
     """Digest of the key that arrived: as loaded, or as cleansed from the quarantined source row."""
-    quarantined = key_digest([entity.field(k).value(SOURCE) for k in entity.key_target])
+    quarantined = key_digest([entity.field(k).value(_quarantined(entity.field(k))) for k in entity.key_target])
     loaded = key_digest([col(k) for k in entity.key_target])
     return F.when(F.col(STATUS) == LOADED, loaded).otherwise(quarantined)
 
@@ -164,10 +169,10 @@ def amount_by_currency(result: EntityResult, amount: str = "Amount") -> DataFram
     )
     target = per_currency(
         result.classified,
-        F.when(loaded, col(currency.target)).otherwise(currency.value(SOURCE)),
+        F.when(loaded, col(currency.target)).otherwise(currency.value(_quarantined(currency))),
         {
             "loaded_amount": F.when(loaded, col(amount).cast(MONEY)),
-            "rejected_amount": F.when(~loaded, money.value(SOURCE).cast(MONEY)),
+            "rejected_amount": F.when(~loaded, money.value(_quarantined(money)).cast(MONEY)),
         },
     )
     return (

@@ -44,18 +44,20 @@ class Field:
     def is_number(self) -> bool:
         return self.source in NUMERIC_FIELDS or any(r in NUMERIC_RULES for r in self.rules)
 
-    def value(self, parent: str | None = None) -> Column:
-        """Cleansed value of the field, from the raw source column (a field of struct ``parent``)."""
-        raw = col(self.source) if parent is None else F.col(parent).getField(self.source)
+    def value(self, raw: Column | None = None) -> Column:
+        """Cleansed value of the field; ``raw`` says where its source column is, if elsewhere."""
+        raw = col(self.source) if raw is None else raw
         if self.is_number and not self.rules:
             return raw.try_cast("bigint")
         return apply_rules(raw, self.rules)
 
-    def is_bad_number(self) -> Column:
+    def is_bad_number(self, raw: Column | None = None) -> Column:
         """True where the source holds text that is no (storable) number."""
-        raw = col(self.source).cast("string")
-        number = self.value() if not self.rules or "to_decimal" in self.rules else raw.try_cast("double")
-        return raw.isNotNull() & (F.trim(raw) != "") & number.isNull()
+        raw = col(self.source) if raw is None else raw
+        stored = not self.rules or "to_decimal" in self.rules
+        number = self.value(raw) if stored else raw.try_cast("double")
+        text = raw.cast("string")
+        return text.isNotNull() & (F.trim(text) != "") & number.isNull()
 
 
 @dataclass(frozen=True)
