@@ -117,7 +117,7 @@ DQ_TABLES = {
 INITIAL, APPLIED = "Initial Entry", "Application"
 # Largest company map that is broadcast, in rows.
 MAP_ROWS = 100_000
-_DETAIL_SUM = "sum(CASE WHEN `EntryType-3` = '{kind}' THEN `Amount-7` ELSE 0BD END)"
+_DETAIL_SUM = "coalesce(sum(`Amount-7`) FILTER (WHERE `EntryType-3` = '{kind}'), 0BD)"
 
 Tables = Mapping[str, DataFrame]
 

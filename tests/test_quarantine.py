@@ -178,3 +178,25 @@ def test_rows_of_frequent_keys_are_spread(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert sum(sizes) == 3000
     assert max(sizes) < 800
+
+
+@pytest.mark.parametrize("name", ["customer", "vendor", "item"])
+def test_generated_code_stays_compilable(spark, sf_dir, name):
+    """Methods above 8000 bytes of bytecode are never compiled by the JVM and run many times slower."""
+    import contextlib
+    import io
+    import re
+
+    from tallybridge import load_spec
+    from workloads.extracts import extract
+
+    entity = load_spec()[name]
+    plan = classify(entity, extract(spark, sf_dir, entity.source))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        with contextlib.redirect_stdout(io.StringIO()) as text:
+            plan.select("*").explain("codegen")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text.getvalue())]
+    assert sizes and max(sizes) < 8000

@@ -27,8 +27,8 @@ _GROUP = "CASE {k}%3 WHEN 0 THEN 'DOMESTIC' WHEN 1 THEN 'EXPORT' ELSE 'INTERCO'
 _PAYER_NO = _NO.format(k="o_custkey")
 _PAYER_NAME = "concat('Customer#', lpad(CAST(o_custkey AS STRING), 9, '0'))"
 _PAYER_CURRENCY = _CURRENCY.format(k="o_custkey")
-_AMOUNT = "CAST(o_totalprice AS DECIMAL(18,2))"
-_MINUS = f"-{_AMOUNT}"
+_AMOUNT = "amount"
+_MINUS = "-amount"
 _PAID = "o_orderstatus = 'F'"
 _INVOICE_DATE = "o_orderdate"
 _PAY_DATE = "o_orderdate + INTERVAL 20 DAY"
@@ -169,7 +169,8 @@ def _relation(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
             nation, F.col("c_nationkey") == nation.n_nationkey
         )
         return customers.join(region, region.r_regionkey == F.expr("c_custkey % 5"))
-    orders = read_table(spark, sf_dir, "orders")
+    amount = F.col("o_totalprice").cast("decimal(18,2)")
+    orders = read_table(spark, sf_dir, "orders").withColumn("amount", amount)
     if name == "paid_order_company":
         orders = orders.filter(_PAID)
     return orders.join(region, region.r_regionkey == F.expr("o_custkey % 5"))
@@ -192,7 +193,10 @@ def oracle_ctes() -> dict[str, str]:
             "SELECT * FROM customer JOIN nation ON n_nationkey = c_nationkey "
             "JOIN region ON r_regionkey = c_custkey%5"
         ),
-        "order_company": "SELECT * FROM orders JOIN region ON r_regionkey = o_custkey%5",
+        "order_company": (
+            "SELECT *, CAST(o_totalprice AS DECIMAL(18,2)) AS amount FROM orders "
+            "JOIN region ON r_regionkey = o_custkey%5"
+        ),
         "paid_order_company": f"SELECT * FROM order_company WHERE {_PAID}",
         "company_map": (
             f"SELECT r_name AS \"CompanyName\", {_CODE} AS \"DATAAREAID\" FROM region "
