@@ -70,7 +70,7 @@ def migrate(
     """
     spec = spec or load_spec()
     run = run or Migration(spark, folder or new_folder(spark, "migration"))
-    names = list(entities or spec)
+    names = [name for name in spec if entities is None or name in entities]
 
     def one(name: str) -> None:
         entity = spec[name]

@@ -1,13 +1,17 @@
 """Quarantine against a row-by-row restatement of its rules, on both ways of labelling rows."""
 
+import contextlib
+import io
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
-from tallybridge import parse_spec
+from tallybridge import load_spec, parse_spec
 from tallybridge.operators.keysets import Budget
 from tallybridge.operators.quarantine import classify, loaded_rows, mark_duplicates, rejected_rows
+from workloads.extracts import extract
 
 # "split" broadcasts nothing whole and splits off keys with more than two rows; "payload" has room
 # for a few keys, but not for the positions of their first rows.
@@ -152,9 +156,6 @@ def test_order_columns_of_the_user(spark):
 
 
 def test_wide_rows_are_not_shuffled_when_verdicts_are_few(spark, sf_dir):
-    from tallybridge import load_spec
-    from workloads.extracts import extract
-
     entity = load_spec()["vendor"]
     plan = classify(entity, extract(spark, sf_dir, "VENDTABLE"))
     text = plan._jdf.queryExecution().executedPlan().toString()
@@ -183,13 +184,6 @@ def test_rows_of_frequent_keys_are_spread(spark):
 @pytest.mark.parametrize("name", ["customer", "vendor", "item"])
 def test_generated_code_stays_compilable(spark, sf_dir, name):
     """Methods above 8000 bytes of bytecode are never compiled by the JVM and run many times slower."""
-    import contextlib
-    import io
-    import re
-
-    from tallybridge import load_spec
-    from workloads.extracts import extract
-
     entity = load_spec()[name]
     plan = classify(entity, extract(spark, sf_dir, entity.source))
     spark.conf.set("spark.sql.adaptive.enabled", "false")
