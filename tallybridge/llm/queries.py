@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from tallybridge.llm.language_id import op1_language_id
+from tallybridge.llm.simhash_dedup import op4_simhash_dedup
 
-QUERIES = {"op1_language_id": op1_language_id}
+QUERIES = {"op1_language_id": op1_language_id, "op4_simhash_dedup": op4_simhash_dedup}
 
 ORACLE: dict[str, str] = {}
