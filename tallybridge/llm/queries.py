@@ -3,8 +3,13 @@
 from __future__ import annotations
 
 from tallybridge.llm.language_id import op1_language_id
+from tallybridge.llm.merkle import OP9_SQL, op9_merkle_fingerprint
 from tallybridge.llm.simhash_dedup import op4_simhash_dedup
 
-QUERIES = {"op1_language_id": op1_language_id, "op4_simhash_dedup": op4_simhash_dedup}
+QUERIES = {
+    "op1_language_id": op1_language_id,
+    "op4_simhash_dedup": op4_simhash_dedup,
+    "op9_merkle_fingerprint": op9_merkle_fingerprint,
+}
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op9_merkle_fingerprint": OP9_SQL}
