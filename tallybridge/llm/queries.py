@@ -5,11 +5,13 @@ from __future__ import annotations
 from tallybridge.llm.language_id import op1_language_id
 from tallybridge.llm.merkle import OP9_SQL, op9_merkle_fingerprint
 from tallybridge.llm.simhash_dedup import op4_simhash_dedup
+from tallybridge.llm.url_reputation import OP5_SQL, op5_url_reputation
 
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op4_simhash_dedup": op4_simhash_dedup,
+    "op5_url_reputation": op5_url_reputation,
     "op9_merkle_fingerprint": op9_merkle_fingerprint,
 }
 
-ORACLE: dict[str, str] = {"op9_merkle_fingerprint": OP9_SQL}
+ORACLE: dict[str, str] = {"op5_url_reputation": OP5_SQL, "op9_merkle_fingerprint": OP9_SQL}
