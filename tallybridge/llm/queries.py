@@ -5,6 +5,7 @@ from __future__ import annotations
 from tallybridge.llm.language_id import op1_language_id
 from tallybridge.llm.merkle import OP9_SQL, op9_merkle_fingerprint
 from tallybridge.llm.simhash_dedup import op4_simhash_dedup
+from tallybridge.llm.tool_calls import OP10_SQL, op10_tool_calls
 from tallybridge.llm.url_reputation import OP5_SQL, op5_url_reputation
 
 QUERIES = {
@@ -12,6 +13,7 @@ QUERIES = {
     "op4_simhash_dedup": op4_simhash_dedup,
     "op5_url_reputation": op5_url_reputation,
     "op9_merkle_fingerprint": op9_merkle_fingerprint,
+    "op10_tool_calls": op10_tool_calls,
 }
 
-ORACLE: dict[str, str] = {"op5_url_reputation": OP5_SQL, "op9_merkle_fingerprint": OP9_SQL}
+ORACLE: dict[str, str] = {"op5_url_reputation": OP5_SQL, "op9_merkle_fingerprint": OP9_SQL, "op10_tool_calls": OP10_SQL}
