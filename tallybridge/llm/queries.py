@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tallybridge.llm.decontamination import op6_decontamination
 from tallybridge.llm.language_id import op1_language_id
 from tallybridge.llm.merkle import OP9_SQL, op9_merkle_fingerprint
 from tallybridge.llm.simhash_dedup import op4_simhash_dedup
@@ -12,6 +13,7 @@ QUERIES = {
     "op1_language_id": op1_language_id,
     "op4_simhash_dedup": op4_simhash_dedup,
     "op5_url_reputation": op5_url_reputation,
+    "op6_decontamination": op6_decontamination,
     "op9_merkle_fingerprint": op9_merkle_fingerprint,
     "op10_tool_calls": op10_tool_calls,
 }
