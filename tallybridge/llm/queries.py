@@ -5,6 +5,7 @@ from __future__ import annotations
 from tallybridge.llm.decontamination import op6_decontamination
 from tallybridge.llm.language_id import op1_language_id
 from tallybridge.llm.merkle import OP9_SQL, op9_merkle_fingerprint
+from tallybridge.llm.packing import op7_packing
 from tallybridge.llm.simhash_dedup import op4_simhash_dedup
 from tallybridge.llm.tool_calls import OP10_SQL, op10_tool_calls
 from tallybridge.llm.url_reputation import OP5_SQL, op5_url_reputation
@@ -14,6 +15,7 @@ QUERIES = {
     "op4_simhash_dedup": op4_simhash_dedup,
     "op5_url_reputation": op5_url_reputation,
     "op6_decontamination": op6_decontamination,
+    "op7_packing": op7_packing,
     "op9_merkle_fingerprint": op9_merkle_fingerprint,
     "op10_tool_calls": op10_tool_calls,
 }
