@@ -7,6 +7,7 @@ from tallybridge.llm.language_id import op1_language_id
 from tallybridge.llm.lattice_lm import op8_lattice_lm
 from tallybridge.llm.merkle import OP9_SQL, op9_merkle_fingerprint
 from tallybridge.llm.packing import op7_packing
+from tallybridge.llm.secret_scan import op2_secret_scan
 from tallybridge.llm.simhash_dedup import op4_simhash_dedup
 from tallybridge.llm.token_store import op3_token_store
 from tallybridge.llm.tool_calls import OP10_SQL, op10_tool_calls
@@ -14,6 +15,7 @@ from tallybridge.llm.url_reputation import OP5_SQL, op5_url_reputation
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_secret_scan": op2_secret_scan,
     "op3_token_store": op3_token_store,
     "op4_simhash_dedup": op4_simhash_dedup,
     "op5_url_reputation": op5_url_reputation,
