@@ -3,19 +3,51 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallybridge.llm.common import staged, table
+from tallybridge.llm.decontamination import remove_contaminated
 from tallybridge.llm.language_id import keep_identified, learn
+from tallybridge.llm.packing import n_words, pack
+from tallybridge.llm.secret_scan import redact
+from tallybridge.llm.simhash_dedup import keep_one
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is determined, learned from all labelled documents of the stage's input."""
+    """Documents whose language is determined; learned from the labelled documents of the stage's input."""
     return keep_identified(docs, learn(docs))
 
 
-STAGES = [("language_id", language_id)]
+def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates."""
+    return keep_one(docs)
 
-#: Language identification is a trained classifier: no SQL has its rows. Tests hold the stages against brute force.
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain no item of the benchmark."""
+    return remove_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with secrets replaced."""
+    return redact(docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Bucket, batch and slot of each piece of each document; texts stay where they are, named by doc_id."""
+    rows = docs.select("doc_id", "lang", "source", n_words(F.col("text")).alias("length"))
+    return pack(rows, F.col("length")).drop("length")
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("simhash_dedup", simhash_dedup),
+    ("decontamination", decontamination),
+    ("secret_scan", secret_scan),
+    ("packing", packing),
+]
+
+#: Language identification and secret scans are trained classifiers: no SQL has their rows. Tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
