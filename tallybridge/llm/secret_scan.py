@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tallybridge.llm.common import staged, table
 
 # Characters of keys, words that announce one, words of placeholders, paths of test material, marked formats.
-CANDIDATE = r"[A-Za-z0-9+/_=\-]{16,}"
+CANDIDATE = r"[A-Za-z0-9+/_\-]{16,}={0,2}"
 ANNOUNCES = r"(?i)token|secret|passw|pwd|api.?key|access.?key|auth|bearer|credential|private.?key"
 PLACEHOLDER = r"(?i)example|sample|dummy|placeholder|changeme|your[-_]|xxxx|<.*>"
 TEST_PATH = r"(?i)(^|[/_.\-])(tests?|examples?|samples?|fixtures?|mocks?|docs?)([/_.\-]|$)"
@@ -99,11 +99,11 @@ def covered(found: DataFrame, docs: DataFrame, text: str = "text") -> DataFrame:
 
 def weak_label() -> Column:
     """A label for findings that nobody has reviewed: true for an announced, assigned string that mixes digits and
-    letters of one case like a key and is no placeholder; false for one that is clearly none; else null."""
-    keylike = (F.col("digits") >= 0.15) & (F.col("transitions") >= 0.2) & (F.col("placeholder") == 0)
+    letters like a key; false for a placeholder, and for words or numbers that nothing announces; else null."""
     announced = (F.col("announced") == 1) & (F.col("assigned") == 1)
-    plain = (F.col("digits") == 0) | (F.col("digits") == 1) | (F.col("placeholder") == 1)
-    return F.when(keylike & announced, 1.0).when(plain & ~announced, 0.0)
+    keylike = (F.col("digits") >= 0.15) & (F.col("transitions") >= 0.2)
+    plain = (F.col("digits") == 0) | (F.col("digits") == 1)
+    return F.when(F.col("placeholder") == 1, 0.0).when(keylike & announced, 1.0).when(plain & ~announced, 0.0)
 
 
 def train(findings: DataFrame, label: str = "label", per_class: int = PER_CLASS) -> RandomForestClassificationModel | None:
