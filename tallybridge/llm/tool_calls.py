@@ -90,39 +90,65 @@ def _order(calls: DataFrame, edges: DataFrame) -> DataFrame:
     call after those it refers to, and leaves calls in place that refer to earlier ones only.
 
     The key is the largest position among a call and all it refers to, directly or not; the hop counts the steps
-    from the call at that position. Where all references of a conversation point back, that is its own position and 0. Other
-    conversations are worked off from calls without open references, as many rounds as their references are
-    deep. Calls in or behind a circle have no key.
+    from the call at that position. Where all references of a conversation point back, that is its own position and 0.
+    Other conversations are worked off in rounds. In a round, calls with at most one reference to a call that is
+    still open form chains, which are followed by doubling: a chain of n calls takes log n steps. Rounds
+    are needed only where calls with several open references depend on each other. Calls in or behind a circle have no key.
     """
     keys = ["conv_id", "call_id"]
-    ahead = edges.where("parent_position >= position").select("conv_id").distinct()
-    ahead = staged(ahead, "forward")
+    ahead = staged(edges.where("parent_position >= position").select("conv_id").distinct(), "forward")
     plain = calls.join(ahead, "conv_id", "left_anti").select(*keys, F.col("position").alias("order_key"), F.lit(0).alias("order_hop"))
-    todo = calls.join(ahead, "conv_id").select(*keys, "position")
     if ahead.isEmpty():
         return plain
-    todo = staged(todo, "todo")
-    edges = staged(edges.join(ahead, "conv_id").select("conv_id", "parent", "call_id"), "edges")
-    done = None
+    own = F.struct(F.col("position").cast("long").alias("k"), F.lit(0).alias("h"))
+    todo = staged(calls.join(ahead, "conv_id", "left_semi").select(*keys, own.alias("v")), "todo")
+    edges = staged(edges.join(ahead, "conv_id", "left_semi").select(*keys, "parent"), "edges")
+    done = []
     while True:
-        open_parents = todo.select("conv_id", F.col("call_id").alias("parent"))
-        blocked = edges.join(open_parents, ["conv_id", "parent"], "left_semi").select(*keys).distinct()
-        ready = todo.join(blocked, keys, "left_anti")
-        own = F.struct(F.col("position").alias("k"), F.lit(0).alias("h"))
-        if done is None:
-            new = ready.withColumn("v", own)
-        else:
-            behind = done.select("conv_id", F.col("call_id").alias("parent"), F.struct(F.col("v.k").alias("k"), (F.col("v.h") + 1).alias("h")).alias("pv"))
-            behind = edges.join(behind, ["conv_id", "parent"]).groupBy(*keys).agg(F.max("pv").alias("pv"))
-            new = ready.join(behind, keys, "left").withColumn("v", F.greatest(own, F.col("pv"))).drop("pv")
-        new = staged(new, "ready")
+        waits = edges.groupBy(*keys).agg(F.count("*").alias("open"), F.min("parent").alias("parent"))
+        chains = todo.join(waits, keys, "left").where("open is null or open = 1").select(*keys, "v", F.lit(1).alias("d"), "parent")
+        chains = _follow(staged(chains, "chains"))
+        new = staged(chains.where("parent is null").select(*keys, "v"), "ordered")
         if new.isEmpty():
             break
-        done = new if done is None else done.unionByName(new)
-        todo = staged(todo.join(new, keys, "left_anti"), "todo")
-    if done is None:
-        return plain
-    return plain.unionByName(done.select(*keys, F.col("v.k").alias("order_key"), F.col("v.h").alias("order_hop")))
+        done.append(new)
+        todo = todo.join(new, keys, "left_anti")
+        settled = new.select("conv_id", F.col("call_id").alias("parent"), F.struct("v.k", (F.col("v.h") + 1).alias("h")).alias("pv"))
+        edges = edges.join(new.select(*keys), keys, "left_anti").join(settled, ["conv_id", "parent"], "left")
+        edges = staged(edges, "edges")
+        known = edges.where("pv is not null").groupBy(*keys).agg(F.max("pv").alias("pv"))
+        todo = staged(todo.join(known, keys, "left").select(*keys, F.greatest("v", "pv").alias("v")), "todo")
+        edges = edges.where("pv is null").drop("pv")
+    for new in done:
+        plain = plain.unionByName(new.select(*keys, F.col("v.k").alias("order_key"), F.col("v.h").alias("order_hop")))
+    return plain
+
+
+def _follow(chains: DataFrame) -> DataFrame:
+    """Calls (conv_id, call_id, v, d, parent) with what their chains lead to: ``v`` is the largest (key, hop) over the ``d``
+    calls from this one on, ``parent`` the call after them, null at the end. Each step doubles d."""
+    keys = ["conv_id", "call_id"]
+    steps = max(1, chains.count()).bit_length() + 1  # longer chains go round in a circle
+    for _ in range(steps):
+        next_ = chains.select("conv_id", F.col("call_id").alias("parent"), F.col("v").alias("nv"), F.col("d").alias("nd"), F.col("parent").alias("np"))
+        joined = chains.join(next_, ["conv_id", "parent"], "left")
+        further = F.struct("nv.k", (F.col("nv.h") + F.col("d")).alias("h"))
+        moved = F.col("nd").isNotNull()
+        chains = staged(
+            joined.select(
+                *keys,
+                F.when(moved, F.greatest("v", further)).otherwise(F.col("v")).alias("v"),
+                F.when(moved, F.col("d") + F.col("nd")).otherwise(F.col("d")).alias("d"),
+                F.when(moved, F.col("np")).otherwise(F.col("parent")).alias("parent"),
+                moved.alias("moved"),
+            ),
+            "chains",
+        )
+        more = not chains.where("moved and parent is not null").isEmpty()
+        chains = chains.drop("moved")
+        if not more:
+            break
+    return chains
 
 
 def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: Mapping[str, Mapping[str, tuple]]) -> DataFrame:
@@ -137,7 +163,7 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: Mapping[str,
     """
     keys = ["conv_id", "call_id"]
     calls = staged(_merged_or_null(calls.select(*keys, "position", "name", "arguments"), keys), "calls")
-    results = _merged_or_null(results.select(*keys, "position", "content"), keys)
+    results = staged(_merged_or_null(results.select(*keys, "position", "content"), keys), "results")
     standing = calls.where("first").select(*keys, "position", "arguments")
     pattern = F.lit(r'"\$ref":"((?:[^"\\]|\\.)*)"')
     refs = F.array_distinct(F.regexp_extract_all(canonical(F.col("arguments")), pattern, F.lit(1)))
@@ -145,7 +171,7 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: Mapping[str,
     targets = standing.select("conv_id", F.col("call_id").alias("parent"), F.col("position").alias("parent_position"))
     refs = staged(refs.join(targets, ["conv_id", "parent"], "left"), "references")
     lost = refs.where("parent_position is null").groupBy(*keys).agg(F.array_sort(F.collect_set(F.concat(F.lit("unknown reference "), "parent"))).alias("lost"))
-    order = _order(standing, refs.where("parent_position is not null"))
+    order = staged(_order(standing, refs.where("parent_position is not null")), "order")
 
     kept = results.where("first").select(*keys, F.col("content"), F.lit(True).alias("answered"))
     linked = calls.where("first").join(kept, keys, "left").join(lost, keys, "left").join(order, keys, "left")
