@@ -14,17 +14,23 @@ from pyspark.sql import functions as F
 
 from tallybridge.plans.spec import col
 
-# Part separator, text standing for a null part, digits of the md5 that are used.
+# Part separator, marks before a part and for a missing one, digits of the md5 that are used.
 SEPARATOR = "\x1f"
-NULL_PART = "<null>"
+PART, NO_PART = "\x01", "\x02"
+NO_KEY = "0" * 32
 DIGEST_DIGITS = 12
 BUCKET_DIGITS = 2
 
 
 def key_digest(parts: Sequence[Column]) -> Column:
-    """md5 of the key; the parts of a composite key are joined by a separator."""
-    texts = [F.coalesce(p.cast("string"), F.lit(NULL_PART)) for p in parts]
-    return F.md5((texts[0] if len(texts) == 1 else F.concat_ws(SEPARATOR, *texts)).cast("binary"))
+    """md5 of the key; a missing key has a digest that no text has.
+
+    The parts of a composite key are marked and joined by a separator, so that no text equals a missing part.
+    """
+    if len(parts) == 1:
+        return F.coalesce(F.md5(parts[0].cast("string").cast("binary")), F.lit(NO_KEY))
+    marked = [F.coalesce(F.concat(F.lit(PART), p.cast("string")), F.lit(NO_PART)) for p in parts]
+    return F.md5(F.concat_ws(SEPARATOR, *marked).cast("binary"))
 
 
 def digest_bucket(digest: Column) -> Column:

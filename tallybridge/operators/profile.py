@@ -58,7 +58,7 @@ def column_metrics(df: DataFrame, table: str, order: str = SOURCE_ROW) -> DataFr
     stripped = trim(value)
     is_code = position.isin([i for i, c in enumerate(columns) if c.endswith(CODE_SUFFIX)])
     is_email = position.isin([i for i, c in enumerate(columns) if EMAIL_PART in c])
-    return (
+    found = (
         value_counts(df, columns, order)
         .groupBy("position")
         .agg(
@@ -72,11 +72,16 @@ def column_metrics(df: DataFrame, table: str, order: str = SOURCE_ROW) -> DataFr
             ),
             _count(is_email & ~value.rlike(EMAIL_PATTERN)).alias("n_bad_email"),
         )
-        .select(
-            F.lit(table).alias("table"),
-            F.get(F.array(*[F.lit(c) for c in columns]), position).alias("column"),
-            "*",
-        )
+    )
+    # every column has a row, in an empty table too
+    names = F.posexplode(F.array(*[F.lit(c) for c in columns])).alias("position", "column")
+    named = df.sparkSession.range(1).select(F.lit(table).alias("table"), names)
+    counts = [c for c in found.columns if c.startswith("n_")]
+    return (
+        named.join(found, "position", "left")
+        .na.fill(0, counts)
+        .na.fill({"mixed_case": False})
+        .select("table", "column", *found.columns)
     )
 
 
@@ -90,7 +95,7 @@ def profile_columns(df: DataFrame, table: str, order: str = SOURCE_ROW) -> DataF
         "table",
         "position",
         "column",
-        F.bround(F.col("n_null") * 100.0 / F.col("n_rows"), 1).alias("null_pct"),
+        F.bround(F.try_divide(F.col("n_null") * 100.0, F.col("n_rows")), 1).alias("null_pct"),
         "n_distinct",
         F.coalesce("sample", F.lit("")).alias("sample"),
         F.concat_ws(
@@ -118,7 +123,7 @@ def approximate_columns(
                 F.lit(i).alias("position"),
                 F.lit(c).alias("column"),
                 F.bround(
-                    (F.col("n_rows") - F.col(f"filled_{i}")) * 100.0 / F.col("n_rows"), 1
+                    F.try_divide((F.col("n_rows") - F.col(f"filled_{i}")) * 100.0, F.col("n_rows")), 1
                 ).alias("null_pct"),
                 F.col(f"distinct_{i}").alias("n_distinct"),
             )
@@ -195,7 +200,12 @@ def profile_issues(
     ).select("table", "column", "f.*")
     if key is None:
         return issues
-    doubled = duplicate_keys(df, table, key).filter(F.col("n") > 0)
+    # the same counts per value as above, so that they are shuffled once
+    columns = [c for c in df.columns if c != order]
+    values = value_counts(df, columns, order).filter(F.col("position") == columns.index(key))
+    per_key = values.groupBy(F.upper(trim(F.col("value"))).alias("key")).agg(F.sum("n").alias("n"))
+    doubled = per_key.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("n")).filter("n > 0")
+    doubled = doubled.select(F.lit(table).alias("table"), F.lit(key).alias("column"), "n")
     return issues.unionByName(
         doubled.select("table", "column", F.lit(DUPLICATE_KEYS).alias("issue"), "n")
     )

@@ -1,7 +1,7 @@
 """Split every source row into loaded or quarantined-with-a-reason.
 
-Reasons are tested in a fixed order and the first one wins: missing required field, duplicate
-after cleansing, reference without a loaded parent, number that cannot be read. Duplicates are
+Reasons are tested in a fixed order and the first one wins: number that cannot be read, missing
+required field, duplicate after cleansing, reference without a loaded parent. Duplicates are
 looked for among *all* rows, also those already rejected; a reference counts only when its parent
 was *loaded*.
 """
@@ -90,13 +90,14 @@ def classify(
 
     ``parents`` maps parent entities to their loaded rows and the name of their key. ``order_by``
     names source columns that give every row its own place in the source; "keep first" follows
-    them. Columns other than the position stored by landing are checked for ties first.
+    them. They may be mapped columns too, and rejects keep them. Columns other than the position
+    stored by landing are checked for ties first. Checking and measuring run jobs while the plan is built.
     """
     check_source(entity, source.columns)
     absent = [c for c in order_by if c not in source.columns]
     if absent:
         raise KeyError(f"{entity.name}: the source has no order column {absent}; land it first")
-    original = [c for c in source.columns if c not in order_by]
+    original = [c for c in source.columns if c != SOURCE_ROW]
     raw = {c: F.col(f"source_{i}") for i, c in enumerate(original)}
     keys = dict.fromkeys([*entity.dedupe_on, *[child for child, _ in entity.foreign_keys]])
     key_names = {target: f"key_{i}" for i, target in enumerate(keys)}
@@ -123,19 +124,18 @@ def classify(
             rows, key_names[child], loaded, parent_key, f"is_orphan_{i}", order, budget
         )
         flags.append(F.when(F.col(f"is_orphan_{i}"), f"orphan:{child}"))
-    flags += [
-        F.when(f.is_bad_number(raw[f.source]), f"invalid_number:{f.target}")
-        for f in entity.fields
-        if f.is_number
-    ]
+    unreadable = [F.when(bad, f"invalid_number:{t}") for t, bad in entity.bad_numbers(raw)]
 
     mapped = rows.select(
         *[f.value(raw[f.source]).alias(f.target) for f in entity.fields],
         *order,
         *raw.values(),
+        F.coalesce(*unreadable, F.lit(None).cast("string")).alias("unreadable"),
         F.coalesce(*flags, F.lit(None).cast("string")).alias("finding"),
     )
-    mapped = mapped.withColumn(REASON, F.coalesce(missing_required(entity.required), "finding"))
+    mapped = mapped.withColumn(
+        REASON, F.coalesce("unreadable", missing_required(entity.required), "finding")
+    )
     rejected = F.col(REASON).isNotNull()
     as_extracted = F.struct(*[value.alias(c) for c, value in raw.items()])
     return mapped.select(

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from tallybridge.operators.keysets import Budget
 from tallybridge.operators.quarantine import (
-    LOADED,
     SOURCE_ROW,
     STATUS,
     classify,
@@ -66,7 +65,7 @@ def migrate(
     reports all read that table. Entities that do not depend on each other run side by side. ``sources`` maps extract names to DataFrames and ``order_by``
     extract names to the columns that give source order. ``entities`` restricts the run and
     ``run`` continues an earlier one. ``strict`` stops at the first entity with an unreadable
-    number instead of quarantining the row.
+    number, before anything of it is written, instead of quarantining the row.
     """
     spec = spec or load_spec()
     run = run or Migration(spark, folder or new_folder(spark, "migration"))
@@ -79,15 +78,14 @@ def migrate(
             parent: (run[parent].loaded, spec[parent].key_target[0])
             for _, parent in entity.foreign_keys
         }
+        if strict:
+            _stop_on_bad_numbers(entity, source)
         order = tuple((order_by or {}).get(entity.source, (SOURCE_ROW,)))
         plan = classify(entity, source, parents, order, budget)
         path = f"{run.folder}/{name}"
         plan.write.mode("overwrite").partitionBy(STATUS).parquet(path)
         written = spark.read.schema(plan.schema).parquet(path)
-        result = EntityResult(entity, source, written)
-        if strict:
-            _stop_on_bad_numbers(result)
-        run.results[name] = result
+        run.results[name] = EntityResult(entity, source, written)
 
     run_jobs(
         spark,
@@ -98,13 +96,9 @@ def migrate(
     return run
 
 
-def _stop_on_bad_numbers(result: EntityResult) -> None:
-    bad = (
-        result.classified.filter(F.col(STATUS) != LOADED)
-        .filter(F.col("reject_reason").startswith("invalid_number:"))
-        .select("reject_reason", SOURCE_ROW)
-        .limit(5)
-        .collect()
-    )
+def _stop_on_bad_numbers(entity: Entity, source: DataFrame) -> None:
+    """Raise if a number of the extract cannot be read; the error gives the count per field."""
+    counts = source.agg(*[F.count_if(bad).alias(t) for t, bad in entity.bad_numbers()] or [F.lit(0).alias("none")])
+    bad = {t: n for t, n in counts.first().asDict().items() if n}
     if bad:
-        raise ValueError(f"{result.entity.name}: unreadable numbers, e.g. {bad}")
+        raise ValueError(f"{entity.name}: unreadable numbers, rows per field: {bad}")

@@ -37,13 +37,15 @@ def _quarantined(field: Field) -> Column:
 
 
 def _source_digest(entity: Entity) -> Column:
-    """Digest of the key that a source row should arrive with."""
-    return key_digest([entity.field(k).value() for k in entity.key_target])
+    """Digest of the key that a source row should arrive with; of its text where that is no number."""
+    return key_digest([entity.field(k).key_text() for k in entity.key_target])
 
 
 def _target_digest(entity: Entity) -> Column:
     """Digest of the key that arrived: as loaded, or as cleansed from the quarantined source row."""
-    quarantined = key_digest([entity.field(k).value(_quarantined(entity.field(k))) for k in entity.key_target])
+    quarantined = key_digest(
+        [entity.field(k).key_text(_quarantined(entity.field(k))) for k in entity.key_target]
+    )
     loaded = key_digest([col(k) for k in entity.key_target])
     return F.when(F.col(STATUS) == LOADED, loaded).otherwise(quarantined)
 
@@ -148,24 +150,33 @@ def target_keys(result: EntityResult) -> DataFrame:
 
 
 def amount_by_currency(result: EntityResult, amount: str = "Amount") -> DataFrame:
-    """Source amount per currency against loaded plus rejected amount, over all currencies seen."""
+    """Source amount per currency against loaded plus rejected amount, over all currencies seen.
+
+    An amount that cannot be read has no value on either side. Such rows are counted on both, and a
+    currency that has any does not pass: its totals prove nothing about them.
+    """
     entity, loaded = result.entity, F.col(STATUS) == LOADED
+    numbers = ("source_unreadable", "rejected_unreadable")
     money, currency = entity.field(amount), entity.currency_field()
 
     def per_currency(rows: DataFrame, code: Column, sums: dict[str, Column]) -> DataFrame:
         named = F.when(code == "", LOCAL).otherwise(code).alias("currency")
         found = rows.groupBy(named).agg(*[F.sum(v).alias(n) for n, v in sums.items()])
-        zero = F.lit(0).cast("decimal(28,2)")
+        zero = {n: F.lit(0).cast("bigint" if n in numbers else "decimal(28,2)") for n in all_sums}
         return found.select(
             "currency",
-            *[
-                F.coalesce(F.col(n) if n in sums else zero, zero).alias(n)
-                for n in ("source_amount", "loaded_amount", "rejected_amount")
-            ],
+            *[F.coalesce(F.col(n) if n in sums else zero[n], zero[n]).alias(n) for n in all_sums],
         )
 
+    all_sums = ("source_amount", "loaded_amount", "rejected_amount", *numbers)
+
     source = per_currency(
-        result.source, currency.value(), {"source_amount": money.value().cast(MONEY)}
+        result.source,
+        currency.value(),
+        {
+            "source_amount": money.value().cast(MONEY),
+            "source_unreadable": money.is_bad_number().cast("bigint"),
+        },
     )
     target = per_currency(
         result.classified,
@@ -173,6 +184,9 @@ def amount_by_currency(result: EntityResult, amount: str = "Amount") -> DataFram
         {
             "loaded_amount": F.when(loaded, col(amount).cast(MONEY)),
             "rejected_amount": F.when(~loaded, money.value(_quarantined(money)).cast(MONEY)),
+            "rejected_unreadable": F.when(
+                ~loaded, money.is_bad_number(_quarantined(money)).cast("bigint")
+            ),
         },
     )
     return (
@@ -187,7 +201,9 @@ def amount_by_currency(result: EntityResult, amount: str = "Amount") -> DataFram
                 F.col("loaded_amount") + F.col("rejected_amount"),
                 TOLERANCE,
                 strict=True,
-            ),
+            )
+            & (F.col("source_unreadable") == 0)
+            & (F.col("rejected_unreadable") == 0),
         )
     )
 
@@ -222,6 +238,7 @@ def _net(totals: DataFrame, entity: str) -> DataFrame:
     return totals.agg(
         F.coalesce(F.sum("source_amount"), zero).alias("source_net"),
         F.coalesce(F.sum("loaded_amount"), zero).alias("loaded_net"),
+        F.count(F.lit(1)).alias("n_seen"),
         F.count("source_amount").alias("n_accounts"),
         F.count_if("passed").alias("n_match"),
         F.coalesce(F.bool_and("passed"), F.lit(True)).alias("accounts_match"),
@@ -239,10 +256,14 @@ def trial_balance(
 ) -> DataFrame:
     """Net of the extract and of the loaded rows; the loaded net must be zero.
 
-    ``accounts`` restricts the check, e.g. to the suspense account of the cut-over.
+    ``accounts`` restricts the check, e.g. to the suspense account of the cut-over. A balance of no
+    account at all, or of one that neither side has, does not pass.
     """
     net = _net(account_totals(result, amount, accounts), result.entity.name)
-    return net.select("entity", "source_net", "loaded_net", F.col("nets_to_zero").alias("passed"))
+    enough = F.col("n_seen") >= (1 if accounts is None else len(set(accounts)))
+    return net.select(
+        "entity", "source_net", "loaded_net", (F.col("nets_to_zero") & enough).alias("passed")
+    )
 
 
 def _whole(c: str) -> Column:
@@ -331,11 +352,19 @@ def summary(checks: DataFrame) -> DataFrame:
     )
 
 
-def gate(checks: DataFrame) -> None:
-    """Raise :class:`CheckFailed` if a check failed, so that a job ends with an error."""
-    failed = checks.filter(~F.coalesce("passed", F.lit(False))).limit(100).collect()
+def gate(checks: DataFrame, allow_empty: bool = False, examples: int = 100) -> None:
+    """Raise :class:`CheckFailed` if a check failed or none ran, so that a job ends with an error.
+
+    The error names all failures by their number and the first ``examples`` in full.
+    """
+    failing = ~F.coalesce("passed", F.lit(False))
+    ran, failed = checks.agg(F.count(F.lit(1)), F.count_if(failing)).first()
+    if not ran and not allow_empty:
+        raise CheckFailed("no check ran")
     if failed:
-        raise CheckFailed("; ".join(str(row.asDict()) for row in failed))
+        rows = checks.filter(failing).limit(examples).collect()
+        shown = "; ".join(str(row.asDict()) for row in rows)
+        raise CheckFailed(f"{failed} of {ran} checks failed: {shown}")
 
 
 def reject_summary(run: Migration) -> DataFrame:
@@ -348,10 +377,16 @@ def reject_summary(run: Migration) -> DataFrame:
 
 
 def reject_value(result: EntityResult, amount: str = "Amount") -> DataFrame:
-    """Rejected rows and their value per reason, for the data owner's signature."""
+    """Rejected rows and their value per reason, for the data owner's signature.
+
+    ``unreadable`` counts the rows whose amount has no value because it is no number.
+    """
     rejects = result.classified.filter(F.col(STATUS) != LOADED)
+    money = result.entity.field(amount)
     return rejects.groupBy(REASON).agg(
-        F.count(F.lit(1)).alias("rows"), F.sum(col(amount)).alias("amount")
+        F.count(F.lit(1)).alias("rows"),
+        F.sum(col(amount)).alias("amount"),
+        F.count_if(money.is_bad_number(_quarantined(money))).alias("unreadable"),
     )
 
 

@@ -52,12 +52,17 @@ class Field:
         return apply_rules(raw, self.rules)
 
     def is_bad_number(self, raw: Column | None = None) -> Column:
-        """True where the source holds text that is no (storable) number."""
+        """True where the source holds text, blanks included, that is no (storable) number."""
         raw = col(self.source) if raw is None else raw
         stored = not self.rules or "to_decimal" in self.rules
         number = self.value(raw) if stored else raw.try_cast("double")
         text = raw.cast("string")
-        return text.isNotNull() & (F.trim(text) != "") & number.isNull()
+        return text.isNotNull() & (text != "") & number.isNull()
+
+    def key_text(self, raw: Column | None = None) -> Column:
+        """Cleansed value as text; where no number can be read, the text as extracted."""
+        raw = col(self.source) if raw is None else raw
+        return F.coalesce(self.value(raw).cast("string"), raw.cast("string"))
 
 
 @dataclass(frozen=True)
@@ -86,6 +91,14 @@ class Entity:
         """The business key as it should arrive in the target, computed on source rows."""
         return [self.field(t).value().alias(t) for t in self.key_target]
 
+    def bad_numbers(self, raw: Mapping[str, Column] | None = None) -> list[tuple[str, Column]]:
+        """Numeric target fields with a test for text that is no number, in the order of the spec."""
+        return [
+            (f.target, f.is_bad_number(None if raw is None else raw[f.source]))
+            for f in self.fields
+            if f.is_number
+        ]
+
     def currency_field(self) -> Field | None:
         return next((f for f in self.fields if f.source in CURRENCY_FIELDS), None)
 

@@ -191,18 +191,22 @@ def unmapped_companies(views: Frames) -> DataFrame:
 
 
 def open_item_differences(tables: Frames, views: Frames) -> DataFrame:
-    """Entries that are open in the view or by flag, but not both; empty when they agree."""
-    mapped = tables["CustLedgerEntry_21"].join(
-        tables["company_map"].select("CompanyName"),
-        F.col(COMPANY) == F.col("CompanyName"),
-        "left_semi",
+    """Entries that are open in the view or by flag, but not both; empty when they agree.
+
+    Entry numbers repeat between companies, so an entry is named by its company and number.
+    """
+    codes = tables["company_map"].select("CompanyName", "DATAAREAID").distinct()
+    flagged = (
+        tables["CustLedgerEntry_21"]
+        .filter("`Open-36`")
+        .join(codes, F.col(COMPANY) == F.col("CompanyName"))
+        .select("DATAAREAID", F.col("`EntryNo-1`").alias("REFRECID"))
     )
-    flagged = mapped.filter("`Open-36`").select(F.col("`EntryNo-1`").alias("REFRECID"))
-    shown = views["CUSTTRANSOPEN"].select("REFRECID")
+    shown = views["CUSTTRANSOPEN"].select("DATAAREAID", "REFRECID")
     return (
-        shown.select("REFRECID", F.lit(1).alias("in_view"), F.lit(0).alias("in_source"))
-        .union(flagged.select("REFRECID", F.lit(0), F.lit(1)))
-        .groupBy("REFRECID")
+        shown.select("*", F.lit(1).alias("in_view"), F.lit(0).alias("in_source"))
+        .union(flagged.select("*", F.lit(0), F.lit(1)))
+        .groupBy("DATAAREAID", "REFRECID")
         .agg(F.max("in_view").alias("in_view"), F.max("in_source").alias("in_source"))
         .filter(F.col("in_view") != F.col("in_source"))
     )

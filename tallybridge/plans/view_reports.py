@@ -29,17 +29,19 @@ def ledger_net_by_company(views: Views) -> DataFrame:
 def overdue_by_branch(views: Views, before: str) -> DataFrame:
     """Overdue receivables per company, branch and customer group, largest first.
 
-    Items are summed per customer before the customer table is joined: a customer that owns a
-    large part of all items then reaches the join as a few rows.
+    An open item is an entry whose amount is not settled, so branch and balance come from the same
+    row and the ledger is read once. Items are summed per customer before the customer table is joined: a
+    customer that owns a large part of all items then reaches the join as a few rows. A company that
+    the map lists twice counts its items twice, not four times.
     """
-    overdue = views["CUSTTRANSOPEN"].filter(F.col("DUEDATE") < F.lit(before).cast("date"))
-    branches = views["CUSTTRANS"].select(
-        F.col("RECID").alias("REFRECID"), "DATAAREAID", F.col("DIMENSION").alias("BRANCH")
-    )
+    open_amount = F.round(F.col("AMOUNTCUR") - F.col("SETTLEAMOUNTCUR"), 2)
     per_customer = (
-        overdue.join(branches, ["REFRECID", "DATAAREAID"])
+        views["CUSTTRANS"]
+        .filter(F.col("DUEDATE") < F.lit(before).cast("date"))
+        .select("DATAAREAID", F.col("DIMENSION").alias("BRANCH"), "ACCOUNTNUM", open_amount.alias("open"))
+        .filter(F.col("open") != 0)
         .groupBy("DATAAREAID", "BRANCH", "ACCOUNTNUM")
-        .agg(F.count(F.lit(1)).alias("items"), F.sum("AMOUNTCUR").alias("amount"))
+        .agg(F.count(F.lit(1)).alias("items"), F.sum("open").alias("amount"))
     )
     groups = views["CUSTTABLE"].select("ACCOUNTNUM", "DATAAREAID", "CUSTGROUP")
     return (

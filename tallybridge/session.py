@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Mapping
@@ -17,7 +18,7 @@ T = TypeVar("T")
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can read: ``spark.checkpoint.dir``.
 
-    It is taken from the session. Only a local session without one gets a temporary folder;
+    It is taken from the session. Only a session in one process without one gets a temporary folder;
     a cluster without one is a configuration error, since a machine-local folder there would
     vanish with its executor.
     """
@@ -28,7 +29,7 @@ def shared_root(spark: SparkSession) -> str:
             sc.setCheckpointDir(configured)
         return configured.rstrip("/")
     if sc.getCheckpointDir() is None:
-        if not sc.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="tallybridge-"))
     return sc.getCheckpointDir().rstrip("/")
@@ -39,6 +40,23 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/tallybridge/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def children(spark: SparkSession, folder: str) -> list[tuple[str, bool]]:
+    """Direct children of a folder as (name, is folder), sorted; hidden ones are left out. Reads no content."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = ((s.getPath().getName(), s.isDirectory()) for s in files.listStatus(path))
+    return sorted((name, is_folder) for name, is_folder in found if name[0] not in "._")
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder that :func:`new_folder` named, when nothing reads it any more."""
+    if not folder.startswith(f"{shared_root(spark)}/tallybridge/"):
+        raise ValueError(f"{folder} was not made here")
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Compute ``df`` once, keep it in the shared folder and cut its lineage."""
     shared_root(df.sparkSession)

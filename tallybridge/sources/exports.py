@@ -1,4 +1,4 @@
-"""Exported tables: folders named ``<Table>-<Id>``, loaded as catalog tables ``<Table>_<Id>``."""
+"""Exported tables: one folder each, such as ``<Table>-<Id>``, loaded as catalog tables ``<Table>_<Id>``."""
 
 from __future__ import annotations
 
@@ -9,30 +9,28 @@ from functools import partial, reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybridge.session import run_jobs
-
-FOLDER = r"^([A-Za-z]+-[0-9]+)/"
-
+from tallybridge.session import children, run_jobs
 
 def table_name(folder: str) -> str:
-    return folder.replace("-", "_")
+    """Catalog name of a table folder: whatever is no letter, digit or underscore becomes an underscore."""
+    return re.sub(r"\W", "_", folder)
 
 
 def export_folders(spark: SparkSession, base: str) -> list[str]:
-    """Names of the table folders under ``base``, sorted."""
-    files = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(base).select("path")
-    )
-    root = re.sub(r"^[a-z0-9]+:/+", "/", base).rstrip("/") + "/"
-    below = F.substring_index("path", root, -1)
-    names = files.select(F.regexp_extract(below, FOLDER, 1).alias("folder")).distinct()
-    return sorted(row.folder for row in names.collect() if row.folder)
+    """Names of the table folders under ``base``, whatever they are called, sorted."""
+    folders = [name for name, is_folder in children(spark, base) if is_folder]
+    if not folders:
+        raise FileNotFoundError(f"{base} has no table folders")
+    names = [table_name(f) for f in folders]
+    if len(set(names)) < len(names):
+        raise ValueError(f"{base}: folders share a table name: {folders}")
+    return folders
 
 
 def read_exports(spark: SparkSession, base: str, fmt: str = "parquet") -> dict[str, DataFrame]:
     """Every exported table under its table name."""
     return {
-        table_name(f): spark.read.format(fmt).load(f"{base}/{f}") for f in export_folders(spark, base)
+        table_name(f): spark.read.format(fmt).load(f"{base.rstrip('/')}/{f}") for f in export_folders(spark, base)
     }
 
 

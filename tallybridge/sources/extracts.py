@@ -8,6 +8,7 @@ column.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import partial
 from urllib.parse import unquote
 
 import pyarrow as pa
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tallybridge.operators.quarantine import SOURCE_ROW
 from tallybridge.plans.spec import col
+from tallybridge.session import children, run_jobs
 
 # Texts that a source system writes for "no value".
 NULL_TOKENS = (
@@ -81,8 +83,10 @@ def land_extract(
     ``_source_row`` ascends in source order, files in name order. Within a file it is the byte at
     which the row's split starts plus the number of the row in its task; a row takes at least one
     byte, so splits cannot overlap. It depends on how the scan was split, which is why it is stored
-    with the rows.
+    with the rows. Files with different headers are refused, and, unless ``multi_line`` is set, files in
+    which a quoted value holds a line break; with it, each file is read by one task.
     """
+    check_files(spark, path, multi_line)
     raw = _scan(spark, path, columns, multi_line)
     names = raw.columns
     row_in_task = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << TASK_BITS) - 1))
@@ -106,20 +110,45 @@ def land_extract(
     return spark.read.schema(landed.schema).parquet(target)
 
 
-def list_files(spark: SparkSession, folder: str, pattern: str) -> list[str]:
-    """Paths of the files in ``folder`` whose name matches ``pattern``, sorted. Reads no content."""
-    found = (
-        spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder).select("path")
+def check_files(spark: SparkSession, path: str, multi_line: bool) -> None:
+    """Raise if the files of an extract have different headers, or, unless lines are read across
+    quotes, if a quoted value goes on in the next line. One pass over the text, a row per file comes back.
+    """
+    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
+    lines = spark.read.text(path).select(
+        "value",
+        F.input_file_name().alias("file"),
+        F.struct(F.col("_metadata.file_block_start").alias("s"), F.monotonically_increasing_id().alias("i")).alias("at"),
+        (quotes % 2 == 1).alias("odd"),
     )
-    return sorted(row.path for row in found.collect())
+    per_file = lines.groupBy("file").agg(F.min_by("value", "at").alias("header"), F.count_if("odd").alias("odd"))
+    summed = per_file.agg(
+        F.count_distinct("header").alias("headers"),
+        F.sum("odd").alias("odd"),
+        F.min_by("file", "header").alias("one"),
+        F.max_by("file", "header").alias("other"),
+        F.max_by("file", "odd").alias("broken"),
+    ).first()
+    if summed["headers"] > 1:
+        raise ValueError(f"{path}: headers differ, e.g. of {summed['one']} and {summed['other']}")
+    if summed["odd"] and not multi_line:
+        raise ValueError(f"{summed['broken']}: a quoted value holds a line break; read it with multi_line=True")
 
 
 def land_folder(
-    spark: SparkSession, folder: str, target: str, null_tokens: Sequence[str] = NULL_TOKENS
+    spark: SparkSession,
+    folder: str,
+    target: str,
+    null_tokens: Sequence[str] = NULL_TOKENS,
+    multi_line: bool = False,
 ) -> dict[str, DataFrame]:
-    """Land every CSV file of a folder as one extract, in name order."""
-    landed = {}
-    for path in list_files(spark, folder, "*.csv"):
-        name = path.rsplit("/", 1)[1].removesuffix(".csv")
-        landed[name] = land_extract(spark, path, f"{target}/{name}", null_tokens=null_tokens)
-    return landed
+    """Land every CSV file of a folder, and every folder of CSV files in it, as one extract each, side by side."""
+    found = [(n, d) for n, d in children(spark, folder) if d or n.endswith(".csv")]
+    names = {n.removesuffix(".csv"): f"{folder.rstrip('/')}/{n}" for n, _ in found}
+    if len(names) < len(found):
+        raise ValueError(f"{folder}: a file and a folder share a name: {[n for n, _ in found]}")
+    jobs = {
+        name: partial(land_extract, spark, path, f"{target}/{name}", None, null_tokens, multi_line)
+        for name, path in names.items()
+    }
+    return run_jobs(spark, jobs)

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallybridge import CheckFailed, check_rows, gate, load_spec, migrate, parse_spec
-from tallybridge.operators.checksum import differing_keys
+from tallybridge.operators.checksum import differing_keys, key_digest
+from tallybridge.operators.quarantine import classify
 from tallybridge.plans import reconcile
 from tallybridge.plans.migration import EntityResult, Migration
 from workloads.extracts import extracts
@@ -157,7 +158,7 @@ def test_suspense_account(run):
     result = run["gl_opening_balance"]
     assert not reconcile.trial_balance(result, accounts=["320100"]).first().passed
     empty = reconcile.trial_balance(result, accounts=["999999"]).first()
-    assert empty.passed and empty.loaded_net == 0
+    assert not empty.passed and empty.loaded_net == 0
 
 
 def test_currency_seen_only_in_the_target_fails(run):
@@ -224,10 +225,61 @@ def test_unreadable_numbers(spark):
         "invalid_number:Credit Limit (LCY)"
     ]
     reasons = {r.RECID: r.reject_reason for r in done["open_invoice"].rejects.collect()}
-    # A required number is missing first; the customer was rejected, so the other is an orphan.
-    assert reasons == {"1": "missing_required:Amount", "x": "orphan:Customer No."}
-    with pytest.raises(ValueError):
-        migrate(spark, sources, entities=["customer"], strict=True)
+    # A number that cannot be read is told from a missing one, and named before anything else.
+    assert reasons == {"1": "invalid_number:Amount", "x": "invalid_number:Source RecId"}
+    for name in ("customer", "open_invoice"):
+        with pytest.raises(ValueError, match="unreadable"):
+            migrate(spark, sources, entities=[name], run=Migration(spark, done.folder + "-strict", {"customer": done["customer"]}), strict=True)
+
+
+def invoices(spark, *amounts):
+    rows = [(i, f"x{i}", "C1", "i", "d", a, "USD") for i, a in enumerate(amounts)]
+    return spark.createDataFrame(
+        rows,
+        "_source_row bigint, RECID string, ACCOUNTNUM string, INVOICE string, TRANSDATE string, "
+        "AMOUNTCUR string, CURRENCYCODE string",
+    )
+
+
+def test_unreadable_amounts_do_not_pass_as_nothing(spark):
+    spec = load_spec()["open_invoice"]
+    parents = {"customer": (spark.createDataFrame([("C1",)], "`No.` string"), "No.")}
+    source = invoices(spark, "12,500.00", "10.00", "   ", None, "").withColumn("RECID", F.col("_source_row").cast("string"))
+    result = EntityResult(spec, source, classify(spec, source, parents))
+    total = reconcile.amount_by_currency(result).first()
+    assert (str(total.source_amount), str(total.loaded_amount), total.source_unreadable, total.rejected_unreadable) == ("10.00", "10.00", 2, 2)
+    assert not total.passed
+    value = {r.reject_reason: (r.rows, r.unreadable) for r in reconcile.reject_value(result).collect()}
+    assert value == {"invalid_number:Amount": (2, 2), "missing_required:Amount": (2, 0)}
+
+
+def test_changed_unreadable_key_is_detected(spark):
+    spec = load_spec()["open_invoice"]
+    parents = {"customer": (spark.createDataFrame([("C1",)], "`No.` string"), "No.")}
+    source = invoices(spark, "1.00", "2.00")
+    rows = classify(spec, source, parents)
+    run = Migration(spark, "", {"open_invoice": EntityResult(spec, source, rows)})
+    assert reconcile.key_checksums(run).first().passed
+    other = source.withColumn("RECID", F.concat("RECID", F.lit("?")))
+    run = Migration(spark, "", {"open_invoice": EntityResult(spec, other, rows)})
+    assert not reconcile.key_checksums(run).first().passed
+
+
+def test_missing_key_equals_no_text(spark):
+    keys = [None, "", "<null>", "\x02", "\x01"]
+    for n in (1, 2):
+        df = spark.createDataFrame([(k, k) for k in keys], "a string, b string")
+        assert df.select(key_digest([F.col("a"), F.col("b")][:n])).distinct().count() == len(keys)
+
+
+def test_gate_needs_checks(run):
+    checks = check_rows(run)
+    with pytest.raises(CheckFailed, match="no check"):
+        gate(checks.filter("false"))
+    gate(checks.filter("false"), allow_empty=True)
+    many = checks.sparkSession.range(250).select(F.lit(False).alias("passed"))
+    with pytest.raises(CheckFailed, match="250 of 250"):
+        gate(many)
 
 
 def test_audit_sample_is_repeatable(run):

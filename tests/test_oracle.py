@@ -7,6 +7,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as registry
+from workloads.oracle import ORACLE
+from workloads.queries import QUERIES
 
 TABLES = "region nation customer supplier part orders lineitem".split()
 
@@ -33,16 +35,17 @@ def table(columns, rows):
 
 
 def test_every_query_has_an_oracle():
-    assert set(registry.queries()) == set(registry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(registry.queries()) and set(ORACLE) <= set(registry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(registry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, sf_dir, oracle, name):
-    df = registry.queries()[name](spark, sf_dir)
+    df = QUERIES[name](spark, sf_dir)
     plan = df._jdf.queryExecution().executedPlan().toString()
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas"):
         assert operator not in plan
-    result = oracle.execute(registry.oracle_sql()[name])
+    result = oracle.execute(ORACLE[name])
     columns = [d[0] for d in result.description]
     assert table(df.columns, df.collect()) == table(columns, result.fetchall())
 

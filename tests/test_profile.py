@@ -77,3 +77,17 @@ def test_all_tables(table):
     got = profile_tables({"B": table, "A": table}, keys={"A": "ACCOUNTNUM"}).collect()
     assert len([r for r in got if r["table"] == "A"]) == 7
     assert len([r for r in got if r["table"] == "B"]) == 6
+
+
+def test_empty_table_has_a_row_for_each_column(table):
+    empty = table.filter("false")
+    rows = profile_columns(empty, "T").orderBy("position").collect()
+    assert [(r["column"], r.null_pct, r.n_distinct, r["sample"], r.flags) for r in rows] == [
+        (c, None, 0, "", "") for c in COLUMNS
+    ]
+    assert profile_issues(empty, "T", "ACCOUNTNUM").isEmpty()
+
+
+def test_duplicate_keys_come_from_the_value_counts(table):
+    issues = profile_issues(table, "T", "ACCOUNTNUM").filter("issue like 'duplicate%'").first()
+    assert issues["n"] == duplicate_keys(table, "T", "ACCOUNTNUM").first()["n"] > 0

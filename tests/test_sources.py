@@ -1,4 +1,4 @@
-import json
+import re
 
 import pytest
 
@@ -12,7 +12,7 @@ from tallybridge.sources.exports import (
     read_exports,
     row_counts,
 )
-from tallybridge.sources.extracts import land_extract, land_folder, list_files, read_extract
+from tallybridge.sources.extracts import land_extract, land_folder, read_extract
 from workloads.exports import export
 from workloads.extracts import extracts
 
@@ -66,7 +66,40 @@ def test_folder_of_extracts(spark, tmp_path):
     (tmp_path / "src" / "notes.txt").write_text("no table")
     landed = land_folder(spark, str(tmp_path / "src"), str(tmp_path / "out"))
     assert list(landed) == ["A", "B"]
-    assert len(list_files(spark, str(tmp_path / "src"), "*.csv")) == 2
+
+
+def test_quoted_line_breaks_are_refused_or_read(spark, tmp_path):
+    (tmp_path / "src").mkdir()
+    (tmp_path / "src" / "A.csv").write_text('K,V\n1,"a\nb"\n2,"say ""x"""\n')
+    with pytest.raises(ValueError, match="multi_line"):
+        land_folder(spark, str(tmp_path / "src"), str(tmp_path / "out"))
+    landed = land_folder(spark, str(tmp_path / "src"), str(tmp_path / "out"), multi_line=True)["A"]
+    assert [tuple(r)[:2] for r in landed.orderBy("_source_row").collect()] == [("1", "a\nb"), ("2", 'say "x"')]
+
+
+def test_headers_in_another_order_are_refused(spark, tmp_path):
+    folder = tmp_path / "T"
+    folder.mkdir()
+    (folder / "a.csv").write_text("K,V\n1,2\n")
+    (folder / "b.csv").write_text("V,K\n2,1\n")
+    with pytest.raises(ValueError, match="headers differ"):
+        land_extract(spark, str(folder), str(tmp_path / "landed"))
+
+
+def test_every_export_folder_is_found(spark, tmp_path):
+    base = tmp_path / "exp"
+    base.mkdir()
+    with pytest.raises(FileNotFoundError):
+        export_folders(spark, str(base))
+    names = ["Customer-18", "Item2Lot-50100", "Sales_Header-36", "company_map"]
+    for n in names:
+        spark.range(2).write.parquet(str(base / n))
+    (base / "_log").mkdir()
+    for path in (str(base), f"{base}//", re.sub("/exp$", "//exp", str(base))):
+        assert set(read_exports(spark, path)) == {"Customer_18", "Item2Lot_50100", "Sales_Header_36", "company_map"}
+    spark.range(1).write.parquet(str(base / "company-map"))
+    with pytest.raises(ValueError, match="share"):
+        export_folders(spark, str(base))
 
 
 @pytest.mark.parametrize("fmt", ["csv", "parquet"])
@@ -132,10 +165,10 @@ def test_change_feed_needs_delta(spark, sf_dir):
 def test_check_report_as_json(spark, sf_dir, tmp_path):
     run = migrate(spark, extracts(spark, sf_dir), entities=["vendor"])
     write_checks(check_rows(run), str(tmp_path / "report"))
-    (line,) = spark.read.text(str(tmp_path / "report")).collect()
-    report = json.loads(line[0])
-    assert (report["passed"], report["total"]) == (2, 2)
-    assert {c["check"] for c in report["checks"]} == {
+    totals = spark.read.json(str(tmp_path / "report" / "totals")).first()
+    assert (totals["passed"], totals["total"]) == (2, 2)
+    checks = spark.read.json(str(tmp_path / "report" / "checks")).collect()
+    assert {c["check"] for c in checks} == {
         "row accounting (loaded + rejected)", "key checksum (MD5)",
     }
 

@@ -160,3 +160,25 @@ def test_bucketed_tables_meet_without_a_shuffle(spark, tables):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "SortMergeJoin" in plan
     assert "Exchange hashpartitioning" not in plan
+
+
+def test_open_items_of_two_companies_share_numbers(spark):
+    """Entry 1 is open in both companies and shown for one of them only."""
+    tables = {
+        "company_map": spark.createDataFrame([("A", "a"), ("B", "b")], "CompanyName string, DATAAREAID string"),
+        "CustLedgerEntry_21": spark.createDataFrame(
+            [("A", 1, True), ("B", 1, True), ("B", 2, False)],
+            "`$Company` string, `EntryNo-1` bigint, `Open-36` boolean",
+        ),
+    }
+    shown = {"CUSTTRANSOPEN": spark.createDataFrame([("a", 1), ("b", 2)], "DATAAREAID string, REFRECID bigint")}
+    found = {tuple(r) for r in view_checks.open_item_differences(tables, shown).collect()}
+    assert found == {("b", 1, 0, 1), ("b", 2, 1, 0)}
+
+
+def test_overdue_report_reads_the_ledger_once(tables):
+    plan = view_reports.overdue_by_branch(build_views(tables), OVERDUE_BEFORE)
+    optimised = plan._jdf.queryExecution().optimizedPlan().toString()
+    scans = [line for line in optimised.splitlines() if "InMemoryRelation" in line]
+    assert sum("DueDate-37" in line for line in scans) == 1
+    assert sum("CustLedgerEntryNo-2" in line for line in scans) == 1

@@ -117,6 +117,29 @@ _LEDGER = {
 }
 
 
+# Amounts of open invoices of which some are no number, and open supplier invoices with their mapping.
+UNREADABLE_AMOUNT = (
+    "CASE WHEN _source_row%97=3 THEN '12,500.00' WHEN _source_row%97=4 THEN '   ' ELSE AMOUNTCUR END"
+)
+PAYABLE_EXTRACT = {
+    "_source_row": "l_orderkey*8 + l_linenumber",
+    "RECID": "CAST(l_orderkey*8 + l_linenumber AS STRING)",
+    "AMOUNTCUR": _MONEY.format(x="l_extendedprice"),
+    "CURRENCYCODE": _CURRENCY.format(k="l_suppkey"),
+}
+PAYABLE_SPEC = {
+    "payable": {
+        "source": "VENDTRANSOPEN",
+        "key": {"source": "RECID", "target": "Id"},
+        "fields": {
+            "Id": {"from": "RECID"},
+            "Amount": {"from": "AMOUNTCUR", "rules": ["to_decimal"]},
+            "Currency Code": {"from": "CURRENCYCODE", "rules": ["trim", "upper", "lcy_blank"]},
+        },
+        "required": ["Amount"],
+    }
+}
+
 _SCHEMAS: dict[str, StructType] = {}
 
 
@@ -210,6 +233,10 @@ def oracle_ctes() -> dict[str, str]:
         ),
         "LEDGERBALANCE": _select(_LEDGER, "balances_closed", "TRUE"),
     }
+    ctes["VENDTRANSOPEN"] = _select(PAYABLE_EXTRACT, "lineitem", "TRUE")
+    ctes["CUSTTRANSOPEN_UNREADABLE"] = (
+        f"SELECT * REPLACE ({UNREADABLE_AMOUNT} AS AMOUNTCUR) FROM CUSTTRANSOPEN"
+    )
     for name, (base, variants) in EXTRACTS.items():
         ctes[name] = " UNION ALL ".join(_select(v, base, cond) for cond, v in variants)
     return ctes

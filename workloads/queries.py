@@ -26,13 +26,27 @@ from tallybridge.operators.quarantine import (
     rejected_rows,
 )
 from tallybridge.plans import reconcile, view_checks, view_reports, views
-from tallybridge.plans.migration import Migration, migrate
-from tallybridge.plans.spec import col, load_spec
+from tallybridge.plans.migration import EntityResult, Migration, migrate
+from tallybridge.plans.spec import col, load_spec, parse_spec
 from tallybridge.session import new_folder
 from tallybridge.sources import exports as export_source
-from tallybridge.sources.extracts import read_extract
-from workloads.exports import OVERDUE_BEFORE, UNMAPPED_COMPANY, company_map, export, exports
-from workloads.extracts import extract, extracts, read_table
+from tallybridge.sources.extracts import land_folder, read_extract
+from workloads.exports import (
+    EXPORTS,
+    OVERDUE_BEFORE,
+    UNMAPPED_COMPANY,
+    company_map,
+    export,
+    exports,
+)
+from workloads.extracts import (
+    PAYABLE_EXTRACT,
+    PAYABLE_SPEC,
+    UNREADABLE_AMOUNT,
+    extract,
+    extracts,
+    read_table,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -223,6 +237,39 @@ for _key, _name in ENTITY_KEYS.items():
     _quarantine_query(_key, _name)
 
 
+def _with_unreadable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Open invoices of which some have an amount that is no number: grouped digits, or blanks."""
+    return extract(spark, sf_dir, "CUSTTRANSOPEN").withColumn("AMOUNTCUR", F.expr(UNREADABLE_AMOUNT))
+
+
+def _unreadable_run(spark: SparkSession, sf_dir: str) -> EntityResult:
+    spec = load_spec()
+    source = _with_unreadable(spark, sf_dir)
+    customers = loaded_rows(_classified(spark, sf_dir, "customer"), spec["customer"])
+    parents = {"customer": (customers, spec["customer"].key_target[0])}
+    rows = classify(spec["open_invoice"], source, parents)
+    return EntityResult(spec["open_invoice"], source, rows)
+
+
+@query("quarantine_unreadable")
+def quarantine_unreadable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Invoices with unreadable amounts are told from invoices without one."""
+    rows = _unreadable_run(spark, sf_dir).classified
+    return rows.select(
+        F.col(SOURCE_ROW).alias("source_row"), "status", F.coalesce(REASON, F.lit("")).alias(REASON)
+    )
+
+
+@query("quarantine_ordered")
+def quarantine_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers whose order is that of a mapped column; rejects keep it."""
+    entity = load_spec()["customer"]
+    source = extract(spark, sf_dir, entity.source).drop(SOURCE_ROW)
+    return rejected_rows(classify(entity, source, order_by=["ACCOUNTNUM"])).select(
+        "ACCOUNTNUM", "NAME", REASON
+    )
+
+
 @query("quarantine_required")
 def quarantine_required(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First missing required field of every customer row."""
@@ -318,6 +365,28 @@ def reject_value(spark: SparkSession, sf_dir: str) -> DataFrame:
     return doubles(reconcile.reject_value(migrated(spark, sf_dir, "open_invoice")["open_invoice"]))
 
 
+@query("reject_value_unreadable")
+def reject_value_unreadable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return doubles(reconcile.reject_value(_unreadable_run(spark, sf_dir)))
+
+
+@query("recon_unreadable_amounts")
+def recon_unreadable_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals per currency over unreadable amounts: counted on both sides, and not passed."""
+    return doubles(reconcile.amount_by_currency(_unreadable_run(spark, sf_dir)))
+
+
+@query("recon_payables")
+def recon_payables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Open supplier invoices, one per order line, by currency."""
+    spec = parse_spec(PAYABLE_SPEC)["payable"]
+    source = read_table(spark, sf_dir, "lineitem").select(
+        *[F.expr(e).alias(c) for c, e in PAYABLE_EXTRACT.items()]
+    )
+    rows = classify(spec, source)
+    return doubles(reconcile.amount_by_currency(EntityResult(spec, source, rows)))
+
+
 @query("audit_sample")
 def audit_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """25 customers, vendors and items for a field-by-field review."""
@@ -348,8 +417,7 @@ def recon_key_checksum(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("recon_key_buckets")
 def recon_key_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    run = migrated(spark, sf_dir, "customer", "open_invoice")
-    return _text_checksums(reconcile.key_checksums(run, per_bucket=True))
+    return _text_checksums(reconcile.key_checksums(migrated(spark, sf_dir), per_bucket=True))
 
 
 @query("recon_amount_by_currency")
@@ -412,6 +480,18 @@ def profile_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("profile_approximate")
+def profile_approximate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Estimated profiles of all tables: null shares, and whether the estimates are near the exact counts."""
+    parts = []
+    for name, df in sorted(extracts(spark, sf_dir).items()):
+        exact = profile.column_metrics(df, name).select("column", F.col("n_distinct").alias("exact"))
+        close = F.abs(F.col("n_distinct") - F.col("exact")) <= 0.1 * F.col("exact")
+        found = profile.approximate_columns(df, name).join(exact, "column")
+        parts.append(found.select("table", "column", "null_pct", close.alias("close")))
+    return union_all(parts)
+
+
 @query("profile_missing")
 def profile_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return union_all(
@@ -465,18 +545,69 @@ def sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("export_roundtrip")
 def export_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Export folders written, discovered and read again: rows per table and company."""
-    names = ["Customer-18", "CustLedgerEntry-21", "BankAccountLedgerEntry-271"]
+    """All exports, the company map and a table with an unusual name written, discovered and read
+    again: rows per table and company."""
     folder = new_folder(spark, "export")
-    sinks.write_exports({n: export(spark, sf_dir, n) for n in names}, folder)
+    written = {n: export(spark, sf_dir, n) for n in EXPORTS}
+    written["company_map"] = company_map(spark, sf_dir).withColumnRenamed("CompanyName", "$Company")
+    written["Item2Lot_x-50100"] = written["Customer-18"]
+    sinks.write_exports(written, folder)
     return union_all(
         [
             df.groupBy(F.col("`$Company`").alias("company"))
             .agg(F.count(F.lit(1)).alias("rows"))
             .select(F.lit(name).alias("table"), "company", "rows")
-            for name, df in export_source.read_exports(spark, folder).items()
+            for name, df in export_source.read_exports(spark, folder + "/").items()
+        ]
+    )
+
+
+@query("landed_migration")
+def landed_migration(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Extracts written as several CSV files with quoted line breaks, landed, migrated and counted against
+    the extracts themselves."""
+    folder = new_folder(spark, "extracts")
+    sources = {}
+    for name, df in extracts(spark, sf_dir).items():
+        names = [c for c in df.columns if c in ("NAME", "ITEMNAME")]
+        broken = {c: F.concat(c, F.lit("\n"), F.lit('of "two" lines')) for c in names}
+        sources[name] = df.withColumns(broken) if broken else df
+        parts = sources[name].repartitionByRange(3, SOURCE_ROW).sortWithinPartitions(SOURCE_ROW)
+        sinks.write_table(parts.drop(SOURCE_ROW), f"{folder}/{name}", "csv")
+    landed = land_folder(spark, folder, f"{folder}-landed", multi_line=True)
+    run = migrate(spark, landed)
+    written = reconcile.entity_totals(run).select("entity", "loaded_rows", "rejected_rows")
+    counted = union_all(
+        [
+            df.agg(F.count(F.lit(1)).alias("source_rows")).select(F.lit(e.name).alias("entity"), "source_rows")
+            for e in load_spec().values()
+            for df in [sources[e.source]]
         ]
     )
+    return counted.join(written, "entity")
+
+
+@query("report_json")
+def report_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The check report written as JSON and read back."""
+    folder = new_folder(spark, "report")
+    sinks.write_checks(reconcile.check_rows(migrated(spark, sf_dir)), folder)
+    totals = spark.read.schema("passed bigint, total bigint").json(f"{folder}/totals")
+    checks = spark.read.schema("entity string, check string, passed boolean").json(f"{folder}/checks")
+    return checks.groupBy("entity").agg(
+        F.count(F.lit(1)).alias("checks"), F.count_if("passed").alias("passed")
+    ).unionByName(totals.select(F.lit("total").alias("entity"), F.col("total").alias("checks"), "passed"))
+
+
+@query("created_views")
+def created_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The views as created in the catalog over loaded tables: rows of each."""
+    folder = new_folder(spark, "views")
+    schema = "tallybridge_" + folder.rsplit("-", 1)[1]
+    spark.sql(f"CREATE DATABASE {schema} LOCATION '{folder}'")
+    export_source.load_tables(spark, exports(spark, sf_dir), schema)
+    names = views.create_views(spark, f"{schema}_views", schema)
+    return export_source.row_counts({n.split(".")[1]: spark.table(n) for n in names}).withColumnRenamed("table", "view")
 
 
 @query("load_tables_counts")
@@ -570,6 +701,16 @@ def vcheck_open_item_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     return view_checks.open_item_differences(tables, views.build_views(tables))
 
 
+@query("vcheck_open_item_planted")
+def vcheck_open_item_planted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Open items against flags of which some are planted wrong: those, and no others, are found."""
+    tables = dict(exports(spark, sf_dir).items())
+    shown = views.build_views(tables)
+    flag = F.when(F.col("`EntryNo-1`") % 211 == 3, ~F.col("`Open-36`")).otherwise(F.col("`Open-36`"))
+    wrong = {**tables, "CustLedgerEntry_21": tables["CustLedgerEntry_21"].withColumn("Open-36", flag)}
+    return view_checks.open_item_differences(wrong, shown)
+
+
 @query("vcheck_summary")
 def vcheck_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All view checks in one plan, one row per check."""
