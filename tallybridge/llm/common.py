@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -89,25 +88,6 @@ def pa_type(kind: T.DataType) -> pa.DataType:
     return to_arrow_type(kind)
 
 
-def key_runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[object, pa.Table]]:
-    """Runs of equal ``key`` (a non-null integer) out of batches that are sorted by it."""
-    held: list[pa.RecordBatch] = []
-    current = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        keys = batch.column(batch.schema.get_field_index(key)).to_numpy(zero_copy_only=False)
-        cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
-        for a, b in zip(cuts, cuts[1:]):
-            if held and keys[a] != current:
-                yield current, pa.Table.from_batches(held)
-                held = []
-            current = keys[a]
-            held.append(batch.slice(a, b - a))
-    if held:
-        yield current, pa.Table.from_batches(held)
-
-
 def word_blocks(text: str, chars: int = 1 << 20) -> Iterator[list[bytes]]:
     """The words (runs without ASCII white space) of a text with A-Z lower-cased, in blocks, so that a
     very long text never becomes one list."""

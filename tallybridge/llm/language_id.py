@@ -231,7 +231,12 @@ def keep_identified(docs: DataFrame, model: dict, least: float = KEEP_SCORE) ->
 
     def make() -> Callable:
         one = judge()
-        return lambda value: (lambda code, score: code != UNDETERMINED and score >= least)(*one(value))
+
+        def passes(value: str | None) -> bool:
+            code, score = one(value)
+            return code != UNDETERMINED and score >= least
+
+        return passes
 
     return keep_rows(docs, "text", make)
 
