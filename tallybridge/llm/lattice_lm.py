@@ -14,8 +14,9 @@ number. A word that is in a third of all texts has one entry in each chunk.
 from __future__ import annotations
 
 import math
+import zlib
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -157,13 +158,13 @@ class Lattice:
 def bags(docs: DataFrame, chunk_words: int = CHUNK_WORDS) -> DataFrame:
     """Rows (doc_id, text, held_out) as bags of words against the dictionary of their chunk.
 
-    Rows with ``ids`` are (parts of) texts: row number, doc_id, held_out, ids and counts of their words. Rows with
+    Rows with ``bag`` are (parts of) texts: row number, doc_id, held_out, packed ids and counts of their words. Rows with
     ``words`` are parts of a chunk's dictionary: the first id, the words, their counts in training texts.
     """
     kind = docs.schema["doc_id"].dataType
-    schema = f"chunk bigint, row bigint, doc_id {kind.simpleString()}, held_out boolean, ids array<int>, counts array<int>, first int, words array<binary>, trained array<bigint>"
-    kinds = [pa.int64(), pa.int64(), pa_type(kind), pa.bool_(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.int32(), pa.list_(pa.binary()), pa.list_(pa.int64())]
-    names = ["chunk", "row", "doc_id", "held_out", "ids", "counts", "first", "words", "trained"]
+    schema = f"chunk bigint, row bigint, doc_id {kind.simpleString()}, held_out boolean, bag binary, first int, words array<binary>, trained array<bigint>"
+    kinds = [pa.int64(), pa.int64(), pa_type(kind), pa.bool_(), pa.binary(), pa.int32(), pa.list_(pa.binary()), pa.list_(pa.int64())]
+    names = ["chunk", "row", "doc_id", "held_out", "bag", "first", "words", "trained"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk = TaskContext.get().partitionId() << 32
@@ -181,7 +182,7 @@ def bags(docs: DataFrame, chunk_words: int = CHUNK_WORDS) -> DataFrame:
             words = list(place)
             for at in range(0, len(words), ENTRY_ROWS):
                 part = words[at : at + ENTRY_ROWS]
-                yield table_of([(chunk, None, None, None, None, None, at, part, [trained[w] for w in part])])
+                yield table_of([(chunk, None, None, None, None, at, part, [trained[w] for w in part])])
 
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE):
@@ -209,10 +210,25 @@ def bags(docs: DataFrame, chunk_words: int = CHUNK_WORDS) -> DataFrame:
 
 
 def _bag(chunk: int, row: int, doc_id: object, held_out: bool, bag: Counter, place: dict, trained: Counter) -> tuple:
-    ids = np.fromiter((place.setdefault(w, len(place)) for w in bag), np.int32, len(bag))
+    ids = np.fromiter((place.setdefault(w, len(place)) for w in bag), np.uint32, len(bag))
+    counts = np.fromiter(bag.values(), np.uint32, len(bag))
     if not held_out:
         trained.update(bag)
-    return (chunk, row, doc_id, held_out, ids, np.fromiter(bag.values(), np.int32, len(bag)), None, None, None)
+    order = np.argsort(ids)
+    return (chunk, row, doc_id, held_out, pack_bag(ids[order], counts[order]), None, None, None)
+
+
+def pack_bag(ids: np.ndarray, counts: np.ndarray) -> bytes:
+    """Ascending ids as differences, and counts, byte by byte of all numbers so that the many zeros lie together."""
+    both = np.concatenate([np.diff(ids, prepend=np.uint32(0)), counts]).astype("<u4")
+    return zlib.compress(both.view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+
+
+def unpack_bag(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    planes = np.frombuffer(zlib.decompress(data), np.uint8).reshape(4, -1)
+    both = np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
+    steps, counts = np.split(both, 2)
+    return np.cumsum(steps), counts
 
 
 def reestimate(vocab: DataFrame, n_ends: int, pieces: list[str], prior: np.ndarray, rounds: int = ROUNDS, prior_weight: float = PRIOR_WEIGHT) -> np.ndarray:
@@ -253,7 +269,7 @@ def score(docs: DataFrame, pieces_path: str, rounds: int = ROUNDS, chunk_words:
     spark = docs.sparkSession
     pieces, prior = vocabulary(pieces_path)
     made = staged(bags(docs, chunk_words), "bags")
-    texts = made.where("ids is not null")
+    texts = made.where("bag is not null")
     entries = made.where("words is not null").select("chunk", "first", F.posexplode(F.arrays_zip("words", "trained")).alias("at", "entry"))
     entries = entries.select("chunk", (F.col("first") + F.col("at")).alias("id"), F.col("entry.words").alias("word"), F.col("entry.trained").alias("trained"))
     vocab = staged(entries.groupBy("word").agg(F.sum("trained").alias("c")), "vocabulary")
@@ -280,7 +296,7 @@ def score(docs: DataFrame, pieces_path: str, rounds: int = ROUNDS, chunk_words:
         c[at], log_p[at] = values["c"].to_numpy(), values["log_p"].to_numpy()
         base = np.log10(c + 0.5) - floor
         out = {"n": [], "known": [], "base": [], "score": []}
-        for ids, counts in zip(texts["ids"], texts["counts"]):
+        for ids, counts in map(unpack_bag, texts["bag"]):
             out["n"].append(int(counts.sum()))
             out["known"].append(int(counts[c[ids] > 0].sum()))
             out["base"].append(float(counts @ base[ids]))
@@ -289,7 +305,7 @@ def score(docs: DataFrame, pieces_path: str, rounds: int = ROUNDS, chunk_words:
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     parts = (
-        texts.select(F.col("chunk").alias("bag_chunk"), "row", "doc_id", "held_out", "ids", "counts")
+        texts.select(F.col("chunk").alias("bag_chunk"), "row", "doc_id", "held_out", "bag")
         .groupBy("bag_chunk")
         .cogroup(values.withColumnRenamed("chunk", "entry_chunk").groupBy("entry_chunk"))
         .applyInPandas(add_up, f"row bigint, doc_id {kind}, held_out boolean, n bigint, known bigint, base double, score double")
