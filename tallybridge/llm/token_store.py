@@ -17,9 +17,11 @@ only names that reach the catalog count, so a lost or repeated task does no harm
 
 from __future__ import annotations
 
+import os
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -44,6 +46,8 @@ BUCKET_KEYS = 4
 END_ID = 0
 #: Words whose ids a task remembers; beyond, it starts afresh.
 REMEMBERED = 700_000
+#: Longer texts are encoded in pieces of about so many characters.
+PIECE_CHARS = 1 << 20
 
 _ENTRY = np.dtype([("shard", "<u4"), ("fingerprint", "<u4"), ("offset", "<u8"), ("n", "<u8")])
 
@@ -55,47 +59,58 @@ class Encoder:
     """Ids of whole texts by a tokenizers file, equal to encoding each text at once.
 
     The file's pre-tokenizer starts a new token at a blank that follows anything but white space. So a text may be
-    cut there, and the ids of each cut are looked up among those seen before: natural text repeats its words.
+    cut there, and the ids of each cut are looked up among those seen before: natural text repeats its words. Cuts
+    that are new in a number of texts are encoded together.
     """
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
+        self.code = "H" if self.kind.itemsize == 2 else "I"
         self.end = np.array([END_ID], self.kind).tobytes()
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes | None] = {}
 
     def _raw(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, self.kind).tobytes() for e in found]
+        code = self.code
+        return [array(code, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _piece(self, text: str) -> bytes:
-        head, *cuts = text.split(" ")
+    def _pieces(self, texts: list[str]) -> list[bytes]:
+        split = [t.split(" ") for t in texts]
         known = self.known
-        new = [c for c in set(cuts) if c not in known]
-        if new:
-            if len(known) > REMEMBERED:
-                known.clear()
-                new = list(set(cuts))
-            whole = [c for c in new if c and not c[-1].isspace()]
-            known.update(zip(whole, self._raw([" " + c for c in whole])))
-        try:
-            if head and cuts and head[-1].isspace():
-                raise KeyError(head)
-            return b"".join([*(self._raw([head]) if head else ()), *[known[c] for c in cuts]])
-        except KeyError:  # white space before a blank: the cut would not be where a token starts
-            return self._raw([text])[0]
-
-    def encode(self, text: str, chars: int = 1 << 20) -> Iterator[bytes]:
-        """Ids and the end id as little-endian bytes, for pieces of a long text."""
+        if len(known) > REMEMBERED:
+            known.clear()
+        new = {c for cuts in split for c in cuts[1:] if c not in known}
+        whole = [c for c in new if c and not c[-1].isspace()]
+        known.update(dict.fromkeys(new))  # None: white space before a blank, where no token starts
+        for at in range(0, len(whole), 4096):
+            known.update(zip(whole[at : at + 4096], self._raw([" " + c for c in whole[at : at + 4096]])))
+        out = []
+        for text, cuts in zip(texts, split):
+            head, parts = cuts[0], [known[c] for c in cuts[1:]]
+            if None in parts or (head and parts and head[-1].isspace()):
+                out += self._raw([text])
+            else:
+                out.append(b"".join([*(self._raw([head]) if head else ()), *parts]))
+        return out
+
+    def encode(self, texts: list[str]) -> Iterator[Iterator[bytes]]:
+        """For each text its ids and the end id as little-endian bytes; a long text's in several pieces."""
+        short = [t for t in texts if len(t) <= PIECE_CHARS]
+        ready = iter(self._pieces(short))
+        for text in texts:
+            yield iter((next(ready), self.end)) if len(text) <= PIECE_CHARS else self._long(text)
+
+    def _long(self, text: str) -> Iterator[bytes]:
         at = 0
         while at < len(text):
-            cut = at + chars
+            cut = at + PIECE_CHARS
             while (cut := text.find(" ", cut)) > 0 and text[cut - 1].isspace():
                 cut += 1
             cut = cut if cut > 0 else len(text)
-            yield self._piece(text[at:cut])
+            yield from self._pieces([text[at:cut]])
             at = cut
         yield self.end
 
@@ -258,7 +273,8 @@ def write_store(docs: DataFrame, tokenizer: str, root: str, text: str = "text",
             for at in range(0, batch.num_rows, SLICE):
                 part = batch.slice(at, SLICE)
                 out = []
-                for doc_id, value in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                texts = part.column(1).to_pylist()
+                for doc_id, pieces in zip(part.column(0).to_pylist(), encoder.encode(texts)):
                     copy = copy + 1 if doc_id == last else 0
                     last = doc_id
                     if shard is None or shard.ids >= shard_ids:
@@ -266,7 +282,7 @@ def write_store(docs: DataFrame, tokenizer: str, root: str, text: str = "text",
                             shard.close()
                         shard = _ShardWriter(root, width)
                     begin = shard.ids
-                    for ids in encoder.encode(value):
+                    for ids in pieces:
                         shard.out.write(ids)
                         shard.ids += len(ids) // width
                     out.append((doc_id, copy, shard.name, begin, shard.ids - begin))

@@ -30,7 +30,9 @@ def ids_of(data):
 @given(st.lists(st.sampled_from([" ", " ", "\n", "\t", "a", "B", "é", "1", "'s", "!", "...", "\x1c", "\x85", "\u200b", "日", "<|endoftext|>"]), max_size=16), st.sampled_from([1, 3, 1 << 20]))
 def test_cuts_do_not_change_ids(parts, chars):
     text = "".join(parts)
-    assert ids_of(b"".join(ENCODER.encode(text, chars))) == plain_ids(text)
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(K, "PIECE_CHARS", chars)
+        assert [ids_of(b"".join(ids)) for ids in ENCODER.encode([text, "a b", text])] == [plain_ids(t) for t in (text, "a b", text)]
 
 
 def test_remembered_words_are_bounded(monkeypatch):
@@ -38,7 +40,7 @@ def test_remembered_words_are_bounded(monkeypatch):
     encoder = K.Encoder(PATH)
     for i in range(30):
         text = " ".join(f"word{j}" for j in range(i, i + 8))
-        assert ids_of(b"".join(encoder.encode(text))) == plain_ids(text)
+        assert ids_of(b"".join(next(encoder.encode([text])))) == plain_ids(text)
 
 
 @pytest.mark.parametrize("n", [0, 1, 2, 3, 17, 1000, 20_000])
