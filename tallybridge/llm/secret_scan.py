@@ -33,6 +33,8 @@ DICTIONARY_COUNT, DICTIONARY_LETTERS = 5, 24
 #: At most so many labelled findings of each class are learned from (a documented bound of the classifier's sample).
 PER_CLASS = 2000
 TREES, DEPTH, SEED = 24, 8, 11
+#: The secrets of all documents are broadcast up to so many bytes in total, and joined by shuffle beyond.
+BROADCAST_BYTES = 32_000_000
 REDACTED = "<secret>"
 
 
@@ -153,6 +155,10 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     whole = F.xxhash64(*[F.col(f"`{c}`") for c, kind in docs.dtypes if not kind.startswith(("map", "variant", "void"))])
     rows = docs.withColumn("__row", whole)
     secrets = scan(rows, ["__row"], text=text).groupBy("__row").agg(F.collect_set("candidate").alias("__secrets"))
+    secrets = staged(secrets, "secrets")
+    size = F.sum(16 + F.aggregate("__secrets", F.lit(0), lambda n, s: n + 16 + F.octet_length(s)))
+    if (secrets.agg(size).first()[0] or 0) <= BROADCAST_BYTES:
+        secrets = F.broadcast(secrets)
     longest = F.array_sort(F.col("__secrets"), lambda a, b: F.length(b) - F.length(a))
     clean = F.aggregate(longest, F.col(text), lambda rest, secret: F.replace(rest, secret, F.lit(REDACTED)))
     rows = rows.join(secrets, "__row", "left").withColumn(text, F.when(F.col("__secrets").isNull(), F.col(text)).otherwise(clean))

@@ -223,22 +223,28 @@ def near_duplicates(docs: DataFrame, text: str = "text", shingle: int = SHINGLE,
 def keep_one(docs: DataFrame, text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """The rows of ``docs``, columns as they are, that stand for their component: the one with the smallest doc_id.
 
-    Several rows with that id: the smallest fingerprint stays, then the smallest hash of all columns. A
-    component of rows without id keeps one row by the same rules.
+    Several rows with that id: the smallest fingerprint stays, then the smallest hashes of all columns. A
+    component of rows without id keeps one row by the same rules. A row is named by its id and two hashes of its
+    columns, so that texts move once, in the join with the rows that stay.
     """
-    marked = staged(fingerprints(docs, text, shingle, name="__simhash"), "marked")
-    key = [F.coalesce("doc_id", F.lit(0)).cast("long").alias("__id"), F.col("doc_id").isNull().alias("__none")]
-    found = classes(marked.select("doc_id", F.col("__simhash").alias("code")), radius)
-    first = F.min(F.struct(F.col("first_id").isNull().alias("none"), "first_id", "code")).alias("first")
-    first = found.groupBy("root").agg(first).select(
-        F.col("first.code").alias("__simhash"),
-        F.coalesce("first.first_id", F.lit(0)).cast("long").alias("__id"),
-        F.col("first.none").alias("__none"),
+    hashed = [F.col(f"`{c}`") for c, kind in docs.dtypes if not kind.startswith(("map", "variant", "void"))]
+    keys = ["__id", "__none", "__first", "__second"]
+    named = docs.withColumns(
+        {
+            "__id": F.coalesce("doc_id", F.lit(0)).cast("long"),
+            "__none": F.col("doc_id").isNull(),
+            "__first": F.xxhash64(*hashed),
+            "__second": F.xxhash64(F.lit(1), *hashed[::-1]),
+        }
     )
-    keys = ["__simhash", "__id", "__none"]  # ids differ among the copies of a text, so no key is frequent
-    whole = F.xxhash64(*[F.col(f"`{c}`") for c, kind in docs.dtypes if not kind.startswith(("map", "variant", "void"))])
-    out = marked.select("*", *key).join(first, keys)
-    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(whole))
+    marked = staged(fingerprints(named, text, shingle, carry=["doc_id", *keys], name="__code"), "marked")
+    found = classes(marked.select("doc_id", F.col("__code").alias("code")), radius)
+    of_code = marked.groupBy("__code").agg(F.min(F.struct("__none", "__id", "__first", "__second")).alias("row"))
+    rows = found.select("root", "code").join(of_code, F.col("code") == F.col("__code"))
+    rank = F.struct("row.__none", "row.__id", "code", "row.__first", "row.__second")
+    stays = rows.groupBy("root").agg(F.min_by("row", rank).alias("row")).select("row.*")
+    out = named.join(stays, keys)
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))  # equal rows are told apart by nothing
     return out.withColumn("__nth", nth).where("__nth = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
