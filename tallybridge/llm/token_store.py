@@ -79,21 +79,22 @@ class Encoder:
 
     def _pieces(self, texts: list[str]) -> list[bytes]:
         split = [t.split(" ") for t in texts]
+        heads = [cuts.pop(0) for cuts in split]
         known = self.known
         if len(known) > REMEMBERED:
             known.clear()
-        new = {c for cuts in split for c in cuts[1:] if c not in known}
+        new = set().union(*split).difference(known)
         whole = [c for c in new if c and not c[-1].isspace()]
         known.update(dict.fromkeys(new))  # None: white space before a blank, where no token starts
         for at in range(0, len(whole), 4096):
             known.update(zip(whole[at : at + 4096], self._raw([" " + c for c in whole[at : at + 4096]])))
         out = []
-        for text, cuts in zip(texts, split):
-            head, parts = cuts[0], [known[c] for c in cuts[1:]]
-            if None in parts or (head and parts and head[-1].isspace()):
+        for text, head, first, cuts in zip(texts, heads, self._raw(heads), split):
+            parts = [first, *map(known.__getitem__, cuts)]
+            if None in parts or (head and cuts and head[-1].isspace()):
                 out += self._raw([text])
             else:
-                out.append(b"".join([*(self._raw([head]) if head else ()), *parts]))
+                out.append(b"".join(parts))
         return out
 
     def encode(self, texts: list[str]) -> Iterator[Iterator[bytes]]:
