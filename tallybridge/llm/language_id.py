@@ -163,17 +163,29 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", per_language:
     return model
 
 
+def coupled(chances: np.ndarray) -> np.ndarray:
+    """One distribution from pairwise chances (``chances[i, j]``: i against j), by the second pairwise coupling of Wu, Lin
+    and Weng: the p with least sum of (chances[j, i] p[i] - chances[i, j] p[j])**2. A certain winner gets about 1, however many names."""
+    k = len(chances)
+    chances = np.where(np.eye(k, dtype=bool), 0.0, chances)
+    q = -chances.T * chances
+    q[np.diag_indices(k)] = (chances * chances).sum(0)
+    system = np.ones((k + 1, k + 1))
+    system[:k, :k], system[k, k] = q, 0.0
+    p = np.clip(np.linalg.solve(system, np.append(np.zeros(k), 1.0))[:k], 0.0, 1.0)
+    return np.round(p / p.sum(), 12)  # rounded, so that ties are ties
+
+
 def _shares(x: np.ndarray, kind: str, names: list[str], duels: dict) -> np.ndarray:
-    """Chance of each name: the mean over its duels, scaled to a sum of 1."""
+    """Chance of each name: its duels, coupled."""
     if len(names) == 1:
         return np.ones(1)
-    total = np.zeros(len(names))
+    chances = np.zeros((len(names), len(names)))
     for (i, a), (j, b) in itertools.combinations(enumerate(names), 2):
         w, intercept, slope, offset = duels[kind, a, b]
-        p = 1 / (1 + np.exp(-np.clip(slope * (x @ w + intercept) + offset, -30, 30)))
-        total[i] += p
-        total[j] += 1 - p
-    return total / total.sum()
+        p = 1 / (1 + np.exp(-np.clip(slope * (x @ w + intercept) + offset, -15, 15)))
+        chances[i, j], chances[j, i] = p, 1 - p
+    return coupled(chances)
 
 
 def judge_of(spark: SparkSession, model: dict) -> Callable:

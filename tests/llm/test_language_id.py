@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from tallybridge.llm import language_id as L
@@ -74,3 +75,25 @@ def test_pieces_of_long_texts_add_up():
     whole, pieces = L.counts_of(text), L.counts_of(text, 100)
     assert abs(pieces.sum() - whole.sum()) <= 20 * len(text) / 100
     assert (pieces >= whole).all()
+
+
+def test_clear_documents_are_kept_under_many_labels(spark, documents):
+    codes = ["en", "de", "nl", "sv", "fr", "pl", "lt", "cy", "fi", "tr", "hi", "ar", "xx"]
+    rng = random.Random(5)
+    words = {c: ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=5)) for _ in range(12)] for c in codes}
+    made = lambda n: [(i, " ".join(rng.choices(words[c], k=30)), c) for i, c in enumerate(codes * n)]
+    model = L.learn(documents(made(30)))
+    assert len(model["families"]) == 10 and len(model["families"]["germanic"]) == 4
+    docs = documents(made(4))
+    found = L.predict(docs, model).collect()
+    assert all(r["lang_pred"] == r["lang"] and 0.3 <= r["score"] <= 1 for r in found)
+    assert L.keep_identified(docs, model).count() == len(found)
+
+
+def test_coupled_duels_are_chances():
+    assert np.allclose(L.coupled(np.array([[0, 0.8], [0.2, 0]])), [0.8, 0.2])
+    p = np.array([0.6, 0.25, 0.1, 0.05])
+    assert np.allclose(L.coupled(p[:, None] / (p[:, None] + p[None, :])), p)
+    sure = np.full((12, 12), 0.5)
+    sure[3], sure[:, 3] = 0.999, 0.001
+    assert L.coupled(sure).argmax() == 3 and L.coupled(sure).max() > 0.95
