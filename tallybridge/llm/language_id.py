@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tallybridge.llm.common import in_fold, keep_rows, map_text, table
+from tallybridge.llm.common import in_fold, keep_rows, map_text, staged, table
 
 # Families of languages by ISO 639-1 code. Any other label is a family of its own.
 FAMILIES = {
@@ -99,16 +99,36 @@ def fit_duel(x: np.ndarray, y: np.ndarray, c: float = 10.0, epochs: int = 30) ->
     return w[:-1], float(w[-1]), max(float(slope), 0.1), float(offset)
 
 
+def sampled(rows: DataFrame, per_language: int) -> tuple[list[str], DataFrame]:
+    """All labels of ``rows`` (text, lang), and at most ``per_language`` different texts of each, at least one.
+
+    Copies of a text under a label count once. Texts are picked by a hash; they are read again only for the hashes picked.
+    """
+    keys = rows.select("lang", F.xxhash64("text").alias("h")).distinct()
+    keys = staged(keys.withColumn("pick", F.pmod("h", F.lit(1 << 30)) / F.lit(float(1 << 30))), "labelled-texts")
+    sizes = keys.groupBy("lang").agg(F.count("*").alias("n"), F.min("pick").alias("least"))
+    langs = sorted(r["lang"] for r in sizes.collect())
+    order = Window.partitionBy("lang").orderBy("pick", "h")
+    picked = (
+        keys.join(F.broadcast(sizes), "lang")  # a row for each label
+        .where((F.col("pick") * F.col("n") < 1.5 * per_language + 20) | (F.col("pick") == F.col("least")))
+        .withColumn("rank", F.row_number().over(order))
+        .where(F.col("rank") <= per_language)
+        .select("lang", "h")
+    )
+    rows = rows.withColumn("h", F.xxhash64("text")).join(F.broadcast(picked), ["lang", "h"])
+    return langs, rows.groupBy("lang", "h").agg(F.min("text").alias("text")).select("lang", "text")
+
+
 def learn(docs: DataFrame, text: str = "text", lang: str = "lang", per_language: int = PER_LANGUAGE) -> dict:
     """Learn the duels from labelled rows; rows without text or label are passed over.
 
-    The sample is at most ``per_language`` rows of each label, picked by a hash of the text (ties by
-    the text). Each duel is fitted by a task of its own. The model that comes back is bounded by the number of labels.
+    The sample is at most ``per_language`` different texts of each label, picked by a hash of the text. Each duel
+    is fitted by a task of its own. The model that comes back is bounded by the number of labels.
     """
     rows = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang"))
     rows = rows.where(F.col("text").rlike(r"\p{L}") & F.col("lang").isNotNull())
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("n"))
-    langs = sorted(r["lang"] for r in sizes.collect())
+    langs, sample = sampled(rows, per_language)
     model = {"langs": langs, "families": {}, "duels": {}}
     for code in langs:
         model["families"].setdefault(FAMILY_OF.get(code, code), []).append(code)
@@ -116,15 +136,6 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", per_language:
     duels += [("lang", a, b) for codes in model["families"].values() for a, b in itertools.combinations(codes, 2)]
     if not duels:
         return model
-    pick = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    order = Window.partitionBy("lang").orderBy("pick", "text")
-    sample = (
-        rows.withColumn("pick", pick)
-        .join(F.broadcast(sizes), "lang")  # a row for each label
-        .where(F.col("pick") * F.col("n") < 1.5 * per_language + 20)
-        .withColumn("rank", F.row_number().over(order))
-        .where(F.col("rank") <= per_language)
-    )
 
     def features() -> Callable:
         def of(texts: list) -> dict:
@@ -143,7 +154,7 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", per_language:
                 sides.append((code, json.dumps([kind, a, b]), 1 if name == a else -1))
     spark = docs.sparkSession
     sides = spark.createDataFrame(sides, "lang string, duel string, y int")
-    seen = map_text(sample.select("lang", "text"), "text", "at array<int>, x array<float>", features, carry=["lang"])
+    seen = map_text(sample, "text", "at array<int>, x array<float>", features, carry=["lang"])
 
     def fit(rows: pd.DataFrame) -> pd.DataFrame:
         x = np.zeros((len(rows), DIMENSIONS))

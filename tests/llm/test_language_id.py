@@ -97,3 +97,26 @@ def test_coupled_duels_are_chances():
     sure = np.full((12, 12), 0.5)
     sure[3], sure[:, 3] = 0.999, 0.001
     assert L.coupled(sure).argmax() == 3 and L.coupled(sure).max() > 0.95
+
+
+def test_sample_counts_different_texts(spark, documents):
+    pairs = [("lt", f"alpha labas {i}") for i in range(2)] * 600 + [("lv", "sveiki visi")] * 1200
+    pairs += [("en", f"words {i} of english") for i in range(60)] + [("en", "the hot text")] * 500
+    docs = documents([(i, t, c) for i, (c, t) in enumerate(pairs)])
+    langs, sample = L.sampled(docs.select("text", "lang"), 20)
+    rows = [tuple(r) for r in sample.select("lang", "text").collect()]
+    assert langs == ["en", "lt", "lv"] and len(rows) == len(set(rows)) and set(rows) <= set(pairs)
+    assert {c: sum(r[0] == c for r in rows) for c in langs} == {"en": 20, "lt": 2, "lv": 1}
+
+
+def test_labels_of_copies_are_predicted(spark, documents):
+    # texts that a draw of 20 by counted rows passes over
+    late = lambda words: next(
+        r["t"]
+        for r in spark.range(50).select(F.concat(F.lit(words), F.col("id").cast("string")).alias("t")).orderBy("t").collect()
+        if spark.range(1).select(F.pmod(F.xxhash64(F.lit(r["t"])), F.lit(1 << 30)) > (1 << 29)).first()[0]
+    )
+    pairs = [(late("labas rytas "), "lt")] * 500 + [(late("sveiki visi "), "lv")] * 500
+    model = L.learn(documents([(i, t, c) for i, (t, c) in enumerate(pairs)]), per_language=20)
+    got = {r["lang"]: r["lang_pred"] for r in L.predict(documents([(i, t, c) for i, (t, c) in enumerate(dict(pairs).items())]), model).collect()}
+    assert got == {"lt": "lt", "lv": "lv"}
