@@ -3,7 +3,8 @@
 Every run of 16 or more characters that keys are made of is a candidate. The forest judges it by its
 length, the transitions between its kinds of characters, how much of it the corpus' own dictionary covers, the
 path of its document and the words around it. It is trained on labelled findings; strings in a format that
-an issuer marks as its own (a fixed prefix and length) are secrets whatever the forest says.
+an issuer marks as its own (a fixed prefix and length) are secrets whatever the forest says and whatever is
+around them, unless they are a placeholder themselves. Such a string inside a run is a candidate of its own.
 """
 
 from __future__ import annotations
@@ -21,7 +22,11 @@ CANDIDATE = r"[A-Za-z0-9+/_\-]{16,}={0,2}"
 ANNOUNCES = r"(?i)token|secret|passw|pwd|api.?key|access.?key|auth|bearer|credential|private.?key"
 PLACEHOLDER = r"(?i)example|sample|dummy|placeholder|changeme|your[-_]|xxxx|<.*>"
 TEST_PATH = r"(?i)(^|[/_.\-])(tests?|examples?|samples?|fixtures?|mocks?|docs?)([/_.\-]|$)"
-MARKED = r"^(AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|github_pat_\w{22,}|sk_live_[0-9A-Za-z]{24,}|xox[abprs]-[0-9A-Za-z\-]{20,}|AIza[0-9A-Za-z_\-]{35}|glpat-[0-9A-Za-z_\-]{20})$"
+MARKED = r"(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|github_pat_\w{22,}|sk_live_[0-9A-Za-z]{24,}|xox[abprs]-[0-9A-Za-z\-]{20,}|AIza[0-9A-Za-z_\-]{35}|glpat-[0-9A-Za-z_\-]{20})(?![A-Za-z0-9])"
+#: Of the text before a candidate in its word, so many characters are looked at, after the last mark between fields and the last tag.
+LEAD = 120
+FIELDS = r"(?s)^.*(?:[,;{}&]|<[^<>]*>)"
+_EDGE = "\x1f"
 WORD = r"[^\x20\x09-\x0D]+"
 
 FEATURES = [
@@ -54,10 +59,20 @@ def candidates(docs: DataFrame, carry: list[str], text: str = "text", path: str
         lambda w: F.transform(F.filter(F.sequence(F.lit(0), F.size(w) - 1), lambda i: long(w, i)), lambda i: around(w, i)),
     )
     rows = docs.select(*carry, F.coalesce(F.col(path).cast("string"), F.lit("")).alias("path"), F.explode(F.flatten(found)).alias("f"))
-    rows = rows.select(*carry, "path", "f.*").withColumn("candidate", F.explode(F.regexp_extract_all("w", F.lit(CANDIDATE), F.lit(0))))
+    apart = F.regexp_replace("w", F.lit(f"({MARKED})"), F.lit(f"{_EDGE}$1{_EDGE}"))
+    rows = rows.select(*carry, "path", "f.*").withColumn("w", F.when(F.col("w").rlike(MARKED), apart).otherwise(F.col("w")))
+    # gaps[i] is the text between the candidates i - 1 and i
+    rows = rows.withColumns({"runs": F.regexp_extract_all("w", F.lit(CANDIDATE), F.lit(0)), "gaps": F.split("w", CANDIDATE, -1)})
+    near = lambda i: F.right(F.concat(F.coalesce(F.get("gaps", i - 1), F.lit("")), F.coalesce(F.get("runs", i - 1), F.lit("")), F.get("gaps", i)), F.lit(LEAD + 1))
+    placed = F.transform("runs", lambda c, i: F.struct(c.alias("candidate"), i.alias("i"), F.translate(near(i), _EDGE, "").alias("near")))
+    rows = rows.withColumn("c", F.explode(placed)).select(*carry, "path", "word", "before", "after", "c.*")
+    field = F.regexp_replace("near", FIELDS, "")
+    first = (F.col("i") <= 1) & (F.length("near") <= LEAD) & (F.length("field") == F.length("near"))
+    rows = rows.withColumn("field", F.right(field, F.lit(LEAD)))
+    rows = rows.withColumn("lead", F.when(first, F.concat("before", F.lit(" "), "field")).otherwise(F.col("field")))
     c, n = F.col("candidate"), F.length("candidate")
     share = lambda pattern: F.regexp_count(c, F.lit(pattern)) / n
-    lead = F.concat(F.col("before"), F.lit(" "), F.call_function("substring_index", F.col("w"), c, F.lit(1)))
+    lead = F.col("lead")
     return rows.select(
         *carry,
         "word",
@@ -99,13 +114,20 @@ def covered(found: DataFrame, docs: DataFrame, text: str = "text") -> DataFrame:
     return found.join(known, "candidate", "left").na.fill(0.0, ["coverage"])
 
 
+def marked() -> Column:
+    """Whether the candidate is in a format that its issuer marks, and no placeholder itself."""
+    return F.col("candidate").rlike(f"^{MARKED}$") & ~F.col("candidate").rlike(PLACEHOLDER)
+
+
 def weak_label() -> Column:
     """A label for findings that nobody has reviewed: true for an announced, assigned string that mixes digits and
-    letters like a key; false for a placeholder, and for words or numbers that nothing announces; else null."""
+    letters like a key; false for a placeholder, and for words or numbers that nothing announces; else null. Marked
+    formats, which are settled without the forest, are no false ones."""
     announced = (F.col("announced") == 1) & (F.col("assigned") == 1)
     keylike = (F.col("digits") >= 0.15) & (F.col("transitions") >= 0.2)
     plain = (F.col("digits") == 0) | (F.col("digits") == 1)
-    return F.when(F.col("placeholder") == 1, 0.0).when(keylike & announced, 1.0).when(plain & ~announced, 0.0)
+    false = F.when(~marked(), 0.0)
+    return F.when(F.col("placeholder") == 1, false).when(keylike & announced, 1.0).when(plain & ~announced, false)
 
 
 def train(findings: DataFrame, label: str = "label", per_class: int = PER_CLASS) -> RandomForestClassificationModel | None:
@@ -125,14 +147,13 @@ def train(findings: DataFrame, label: str = "label", per_class: int = PER_CLASS)
 
 def judged(found: DataFrame, model: RandomForestClassificationModel | None) -> DataFrame:
     """``found`` with ``probability`` of being a secret: the forest's, 1 for marked formats. Without a model only those count."""
-    marked = F.col("candidate").rlike(MARKED) & (F.col("placeholder") == 0)
     if model is None:
-        return found.withColumn("probability", marked.cast("double"))
+        return found.withColumn("probability", marked().cast("double"))
     rows = VectorAssembler(inputCols=FEATURES, outputCol="__features").transform(found)
     model.setFeaturesCol("__features").setProbabilityCol("__probability").setRawPredictionCol("").setPredictionCol("")
     rows = model.transform(rows)
     forest = vector_to_array("__probability")[1]
-    return rows.withColumn("probability", F.when(marked, 1.0).otherwise(forest)).drop("__features", "__probability")
+    return rows.withColumn("probability", F.when(marked(), 1.0).otherwise(forest)).drop("__features", "__probability")
 
 
 def scan(docs: DataFrame, carry: list[str], labelled: DataFrame | None = None, least: float = 0.5, text: str = "text", path: str = "source") -> DataFrame:
