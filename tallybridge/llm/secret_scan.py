@@ -130,14 +130,21 @@ def weak_label() -> Column:
     return F.when(F.col("placeholder") == 1, false).when(keylike & announced, 1.0).when(plain & ~announced, false)
 
 
+def sampled(findings: DataFrame, label: str, per_class: int) -> DataFrame:
+    """Label and ``FEATURES`` of at most ``per_class`` different findings (candidate and features) of each class."""
+    order = [F.xxhash64("candidate", *FEATURES), F.col("candidate")]
+    one = findings.select(F.col(label).cast("double").alias("label"), "candidate", *FEATURES).where("label in (0, 1)").distinct()
+    classes = [one.where(F.col("label") == v).orderBy(*order).limit(per_class) for v in (0.0, 1.0)]
+    return classes[0].unionByName(classes[1]).select("label", *FEATURES)
+
+
 def train(findings: DataFrame, label: str = "label", per_class: int = PER_CLASS) -> RandomForestClassificationModel | None:
     """A forest from labelled findings (``FEATURES`` and a label of 0 or 1; null labels are passed over).
 
-    The sample is bounded: the ``per_class`` rows of each class that hash lowest. Without both classes there is no model.
+    The sample is bounded: the ``per_class`` different findings of each class that hash lowest; copies of a finding
+    count once. Without both classes there is no model.
     """
-    order = [F.xxhash64("candidate", *FEATURES), F.col("candidate")]
-    classes = [findings.where(F.col(label) == v).orderBy(*order).limit(per_class) for v in (0.0, 1.0)]
-    sample = staged(classes[0].unionByName(classes[1]).select(F.col(label).cast("double").alias("label"), *FEATURES), "labelled")
+    sample = staged(sampled(findings, label, per_class), "labelled")
     if sample.select("label").distinct().count() < 2:
         return None
     sample = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(sample)

@@ -130,3 +130,20 @@ def test_only_the_text_just_before_is_the_lead(spark, documents):
     text = f'{{"u":"https://example.com/","k":"{k[0]}","token":"{k[1]}","z":"{k[0]}"}} api_key={k[2]} sample of <i>token={k[3]}</i>'
     got = [(r["candidate"][0], r["announced"], r["assigned"], r["placeholder"]) for r in S.candidates(documents([(1, text)]), ["doc_id"]).collect()]
     assert sorted(got) == [("a", 0, 1, 0), ("a", 0, 1, 0), ("b", 1, 1, 0), ("c", 1, 1, 1), ("d", 1, 1, 0)]
+
+
+def test_copies_of_a_finding_take_one_place(spark, documents):
+    rng = random.Random(6)
+    found = S.candidates(documents([(i, f"token = {key(rng)}") for i in range(30)]), ["doc_id"]).withColumn("coverage", F.lit(0.0))
+    lowest = found.orderBy(F.xxhash64("candidate", *S.FEATURES)).limit(1).withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(200)))).drop("copy")
+    both = found.unionByName(lowest).withColumn("label", F.lit(1.0)).unionByName(found.limit(3).withColumns({"label": F.lit(0.0), "quoted": F.lit(1.0)}))
+    got = S.sampled(both, "label", 20)
+    assert got.columns == ["label", *S.FEATURES]
+    assert got.where("label = 1").distinct().count() == got.where("label = 1").count() == 20 and got.where("label = 0").count() == 3
+    seen = []
+    staged, S.staged = S.staged, lambda df, name: seen.append(df) or df
+    try:
+        S.train(both, per_class=20)
+    finally:
+        S.staged = staged
+    assert seen[0].where("label = 1").distinct().count() == 20
