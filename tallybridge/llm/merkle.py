@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tallybridge.llm.common import table
+from tallybridge.llm.common import staged, table
 
 #: Every character of a text is in exactly one passage.
 PASSAGE = r"(?s).*?(?:[.,;:!?|%$&#*e] |\n)|.+"
@@ -53,14 +53,71 @@ def likeness(root_a: Column, passages_a: Column, root_b: Column, passages_b: Col
 
 
 def edited_paragraphs(text_a: Column, text_b: Column) -> Column:
-    """0-based positions of the paragraphs of ``text_b`` that ``text_a`` lacks, found by going down the sections
-    that differ: paragraphs of equal sections are not looked at."""
+    """0-based positions of the paragraphs of ``text_b`` that ``text_a`` has nowhere. Deleted, moved and repeated
+    paragraphs are not among them: ``edits`` finds all."""
     a, b = paragraph_hashes(F.coalesce(text_a, F.lit(""))), paragraph_hashes(F.coalesce(text_b, F.lit("")))
     known = F.array_except(section_hashes(b), section_hashes(a))
     places = F.transform(b, lambda h, i: F.when(~F.array_contains(a, h), i))
     return F.when(F.size(known) == 0, F.array().cast("array<int>")).otherwise(F.array_compact(places))
 
 
+def _in_place(rows: DataFrame, within: list[str], at: str) -> DataFrame:
+    """Add ``kept``: whether a node has its equal on the other side, in the same order as the others that are kept.
+
+    Nodes (``h`` at position ``at`` on ``side`` 0 or 1) are matched by hash and by how manieth of its hash it is. Of the matches
+    those are kept that pass all before them or, where that keeps more, all after them.
+    """
+    nth = F.row_number().over(Window.partitionBy(*within, "side", "h").orderBy(at))
+    both = Window.partitionBy(*within, "h", "nth")
+    rows = rows.withColumn("nth", nth)
+    rows = rows.withColumns({f"at{n}": F.max(F.when(F.col("side") == n, F.col(at))).over(both) for n in (0, 1)})
+    matched = F.col("at0").isNotNull() & F.col("at1").isNotNull()
+    rows = rows.withColumns({"at0": F.when(matched, F.col("at0")), "at1": F.when(matched, F.col("at1"))})
+    order = Window.partitionBy(*within, "side").orderBy("at1")
+    up = F.max("at0").over(order.rowsBetween(Window.unboundedPreceding, 0)) == F.col("at0")
+    down = F.min("at0").over(order.rowsBetween(0, Window.unboundedFollowing)) == F.col("at0")
+    rows = rows.withColumns({"up": F.coalesce(up, F.lit(False)), "down": F.coalesce(down, F.lit(False))})
+    whole = Window.partitionBy(*within, "side")
+    rows = rows.withColumns({f"n_{c}": F.sum(F.col(c).cast("int")).over(whole) for c in ("up", "down")})
+    kept = F.when(F.col("n_up") >= F.col("n_down"), F.col("up")).otherwise(F.col("down"))
+    return rows.withColumn("kept", kept).drop("nth", "at0", "at1", "up", "down", "n_up", "n_down")
+
+
+def edits(pairs: DataFrame, a: str, b: str, carry: list[str]) -> DataFrame:
+    """One row for each row of ``pairs``: the columns ``carry``, ``deleted`` and ``inserted`` (0-based positions of paragraphs of
+    text ``a`` and text ``b``) and ``in_place``, the share of the paragraphs of both that are neither.
+
+    Sections are compared first, and only the paragraphs of sections that differ, between the same kept neighbours. Without
+    the paragraphs listed both texts are the same; a moved paragraph is listed on both sides, each copy of a repeated one
+    counts, and equal roots have empty lists. The lists need not be the shortest. Null texts count as empty.
+    """
+    side = lambda n, c: F.struct(
+        F.lit(n).alias("side"),
+        F.transform(
+            F.split(F.array_join(F.transform(paragraph_hashes(F.coalesce(F.col(c), F.lit(""))), lambda h: F.concat(h, F.when(h < "2", "/").otherwise(" "))), ""), "/", -1),
+            lambda s: F.struct(F.xxhash64(F.sha2(s, 256)).alias("h"), F.transform(F.regexp_extract_all(s, F.lit("[0-9a-f]{64}"), F.lit(0)), lambda p: F.xxhash64(p)).alias("below")),
+        ).alias("sections"),
+    )
+    rows = pairs.select(F.struct(*carry).alias("carry"), F.col(a), F.col(b), F.monotonically_increasing_id().alias("id"))
+    rows = rows.select("carry", "id", F.explode(F.array(side(0, a), side(1, b))).alias("t"))
+    rows = rows.select("carry", "id", "t.side", F.posexplode("t.sections").alias("section", "s"))
+    rows = staged(rows.select("carry", "id", "side", "section", "s.h", "s.below"), "sections")
+
+    order = Window.partitionBy("id", "side").orderBy("section").rowsBetween(Window.unboundedPreceding, -1)
+    sections = rows.withColumn("size", F.size("below")).withColumn("start", F.coalesce(F.sum("size").over(order), F.lit(0)))
+    sections = _in_place(sections.drop("carry"), ["id"], "section")
+    sections = sections.withColumn("gap", F.coalesce(F.sum(F.col("kept").cast("int")).over(order), F.lit(0)))
+    below = sections.where("not kept").select("id", "side", "gap", "start", F.posexplode("below").alias("n", "h"))
+    below = _in_place(below.select("id", "side", "gap", (F.col("start") + F.col("n")).cast("int").alias("at"), "h"), ["id", "gap"], "at")
+    places = lambda n: F.array_sort(F.collect_list(F.when(F.col("side") == n, F.col("at"))))
+    found = below.where("not kept").groupBy("id").agg(places(0).alias("deleted"), places(1).alias("inserted"))
+    out = rows.groupBy("id").agg(F.first(F.when((F.col("side") == 0) & (F.col("section") == 0), F.col("carry")), ignorenulls=True).alias("carry"), F.sum(F.size("below")).alias("all"))
+    out = out.join(found, "id", "left")
+    none = F.array().cast("array<int>")
+    out = out.withColumns({c: F.coalesce(c, none) for c in ("deleted", "inserted")})
+    return out.select("carry.*", "deleted", "inserted", (1 - (F.size("deleted") + F.size("inserted")) / F.col("all")).alias("in_place"))
+
+
 def _with_slabs(docs: DataFrame, slab_rows: int) -> DataFrame:
     """Add ``cell`` and ``part``, whose order is that of doc_id and which hold about ``slab_rows`` rows each.
 
@@ -130,13 +187,18 @@ def fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
     return docs.withColumn("fingerprint", root_hash(F.col(text)))
 
 
+def _edited() -> Column:
+    """The first half of a text, and as much of the next document's as it lacks."""
+    n = F.length("text").cast("long")
+    half = F.floor(n / 2).cast("int")
+    return F.concat(F.substring("text", F.lit(1), (n - half).cast("int")), F.substring("next_text", F.lit(1), half))
+
+
 def op9_merkle_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint of every text and of its edited text, and how alike they and the next document's are."""
     rows = with_next(table(spark, sf_dir, "documents"))
     rows = rows.withColumn("n_chars", F.length("text").cast("long"))
-    half = F.floor(F.col("n_chars") / 2).cast("int")
-    edited = F.concat(F.substring("text", F.lit(1), (F.col("n_chars") - half).cast("int")), F.substring("next_text", F.lit(1), half))
-    rows = rows.select("doc_id", "n_chars", "root", "passages", "next_root", "next_passages", edited.alias("edited"))
+    rows = rows.select("doc_id", "n_chars", "root", "passages", "next_root", "next_passages", _edited().alias("edited"))
     rows = rows.withColumns({"edited_root": root_hash(F.col("edited")), "edited_passages": passages(F.col("edited"))})
     return rows.select(
         "doc_id",
@@ -149,6 +211,12 @@ def op9_merkle_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_merkle_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each text and its edited text differ, found by going down the differing branches of their trees."""
+    rows = with_next(table(spark, sf_dir, "documents")).select("doc_id", "text", _edited().alias("edited"))
+    return edits(rows, "text", "edited", ["doc_id"])
+
+
 OP9_SQL = r"""
 WITH docs AS (
   SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n_chars FROM documents

@@ -5,7 +5,7 @@ from __future__ import annotations
 from tallybridge.llm.decontamination import op6_decontamination
 from tallybridge.llm.language_id import op1_language_id
 from tallybridge.llm.lattice_lm import op8_lattice_lm
-from tallybridge.llm.merkle import OP9_SQL, op9_merkle_fingerprint
+from tallybridge.llm.merkle import OP9_SQL, op9_merkle_edits, op9_merkle_fingerprint
 from tallybridge.llm.packing import op7_packing
 from tallybridge.llm.secret_scan import op2_secret_scan
 from tallybridge.llm.simhash_dedup import op4_simhash_dedup
@@ -23,6 +23,7 @@ QUERIES = {
     "op7_packing": op7_packing,
     "op8_lattice_lm": op8_lattice_lm,
     "op9_merkle_fingerprint": op9_merkle_fingerprint,
+    "op9_merkle_edits": op9_merkle_edits,
     "op10_tool_calls": op10_tool_calls,
 }
 

@@ -80,3 +80,42 @@ def test_query(spark, sf_dir):
 def test_plan_has_no_python(spark, sf_dir):
     plan = M.op9_merkle_fingerprint(spark, sf_dir)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Cartesian" not in plan
+
+
+def test_edits_are_whole(spark):
+    lines = [f"paragraph number {i}" for i in range(80)]
+    rng = random.Random(4)
+    shuffled = rng.sample(lines, 80)
+    cases = [
+        (lines, lines, [], []),
+        (lines, [*lines[:11], "changed", *lines[12:40], "new", *lines[40:]], [11], [11, 40]),
+        (lines, lines[:30] + lines[31:], [30], []),
+        (lines, [*lines[:50], lines[49], *lines[50:]], [], [50]),
+        (["x"] * 100, ["x"], list(range(1, 100)), []),
+        (lines, [lines[79], *lines[:79]], [79], [0]),
+        (lines, [*lines[1:], lines[0]], [0], [79]),
+        (lines, shuffled, None, None),
+        (lines * 2, shuffled + lines[::2] + ["x"] * 9, None, None),
+        ([""], ["a", "b"], [0], [0, 1]),
+    ]
+    df = spark.createDataFrame([(i, "\n".join(a), "\n".join(b)) for i, (a, b, _, _) in enumerate(cases)], "k int, a string, b string")
+    got = {r["k"]: r for r in M.edits(df, "a", "b", ["k"]).collect()}
+    assert len(got) == len(cases)
+    for i, (a, b, deleted, inserted) in enumerate(cases):
+        r = got[i]
+        if deleted is not None:
+            assert (i, r["deleted"], r["inserted"]) == (i, deleted, inserted)
+        rest = [[p for n, p in enumerate(t) if n not in gone] for t, gone in ((a, r["deleted"]), (b, r["inserted"]))]
+        assert rest[0] == rest[1] and (r["in_place"] == 1) == (a == b)
+
+
+def test_edits_query(spark, sf_dir):
+    out = M.op9_merkle_edits(spark, sf_dir)
+    assert out.columns == ["doc_id", "deleted", "inserted", "in_place"] and "Python" not in out._jdf.queryExecution().toString()
+    docs = [(d["doc_id"], d["text"]) for d in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
+    got = {r["doc_id"]: r for r in out.collect()}
+    assert len(got) == len(docs)
+    for doc_id, text, after in plain_next(docs):
+        half, r = len(text) // 2, got[doc_id]
+        a, b = text.split("\n"), (text[: len(text) - half] + after[:half]).split("\n")
+        assert [p for n, p in enumerate(a) if n not in r["deleted"]] == [p for n, p in enumerate(b) if n not in r["inserted"]]
