@@ -166,7 +166,9 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: Mapping[str,
     results = staged(_merged_or_null(results.select(*keys, "position", "content"), keys), "results")
     standing = calls.where("first").select(*keys, "position", "arguments")
     pattern = F.lit(r'"\$ref":"((?:[^"\\]|\\.)*)"')
-    refs = F.array_distinct(F.regexp_extract_all(canonical(F.col("arguments")), pattern, F.lit(1)))
+    refs = F.regexp_extract_all(canonical(F.col("arguments")), pattern, F.lit(1))
+    unescaped = F.transform(refs, lambda r: F.get(F.from_json(F.concat(F.lit('["'), r, F.lit('"]')), "array<string>"), 0))
+    refs = F.array_distinct(unescaped)
     refs = standing.select(*keys, "position", F.explode(refs).alias("parent"))
     targets = standing.select("conv_id", F.col("call_id").alias("parent"), F.col("position").alias("parent_position"))
     refs = staged(refs.join(targets, ["conv_id", "parent"], "left"), "references")

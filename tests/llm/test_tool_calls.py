@@ -127,3 +127,16 @@ def test_empty_tables(spark):
 def test_no_python_in_plan(spark, sf_dir):
     plan = C.op10_tool_calls(spark, sf_dir)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def test_references_to_ids_with_escapes(spark):
+    import json
+
+    ids = ['say "hi"', "back\\slash", "line\nbreak\x01", "é/ü", "plain"]
+    calls = [(1, i, 2 * n + 1, "search", '{"query": "x"}') for n, i in enumerate(ids)]
+    calls += [(1, f"r{n}", 2 * n, "search", json.dumps({"query": "x", "after": {"$ref": i}})) for n, i in enumerate([*ids, 'not "known"'])]
+    got = {r["call_id"]: r for r in linked(spark, calls)}
+    assert [got[f"r{n}"]["errors"] for n in range(len(ids))] == [""] * len(ids)
+    assert 'unknown reference not "known"' in got[f"r{len(ids)}"]["errors"]
+    place = lambda r: (r["order_key"], r["order_hop"], r["position"])
+    assert all(place(got[i]) < place(got[f"r{n}"]) for n, i in enumerate(ids))
