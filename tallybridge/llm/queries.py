@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tallybridge.llm.decontamination import op6_decontamination
+from tallybridge.llm.inner_products import OP11_SQL, op11_top_products
 from tallybridge.llm.language_id import op1_language_id
 from tallybridge.llm.lattice_lm import op8_lattice_lm
 from tallybridge.llm.merkle import OP9_SQL, op9_merkle_edits, op9_merkle_fingerprint
@@ -25,6 +26,12 @@ QUERIES = {
     "op9_merkle_fingerprint": op9_merkle_fingerprint,
     "op9_merkle_edits": op9_merkle_edits,
     "op10_tool_calls": op10_tool_calls,
+    "op11_top_products": op11_top_products,
 }
 
-ORACLE: dict[str, str] = {"op5_url_reputation": OP5_SQL, "op9_merkle_fingerprint": OP9_SQL, "op10_tool_calls": OP10_SQL}
+ORACLE: dict[str, str] = {
+    "op5_url_reputation": OP5_SQL,
+    "op9_merkle_fingerprint": OP9_SQL,
+    "op10_tool_calls": OP10_SQL,
+    "op11_top_products": OP11_SQL,
+}
