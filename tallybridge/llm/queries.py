@@ -6,6 +6,7 @@ from tallybridge.llm.decontamination import op6_decontamination
 from tallybridge.llm.inner_products import OP11_SQL, op11_top_products
 from tallybridge.llm.language_id import op1_language_id
 from tallybridge.llm.lattice_lm import op8_lattice_lm
+from tallybridge.llm.lexical_search import OP12_SQL, op12_lexical_search
 from tallybridge.llm.merkle import OP9_SQL, op9_merkle_edits, op9_merkle_fingerprint
 from tallybridge.llm.packing import op7_packing
 from tallybridge.llm.secret_scan import op2_secret_scan
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_merkle_edits": op9_merkle_edits,
     "op10_tool_calls": op10_tool_calls,
     "op11_top_products": op11_top_products,
+    "op12_lexical_search": op12_lexical_search,
 }
 
 ORACLE: dict[str, str] = {
@@ -34,4 +36,5 @@ ORACLE: dict[str, str] = {
     "op9_merkle_fingerprint": OP9_SQL,
     "op10_tool_calls": OP10_SQL,
     "op11_top_products": OP11_SQL,
+    "op12_lexical_search": OP12_SQL,
 }
