@@ -11,6 +11,7 @@ from tallybridge.llm.merkle import OP9_SQL, op9_merkle_edits, op9_merkle_fingerp
 from tallybridge.llm.packing import op7_packing
 from tallybridge.llm.secret_scan import op2_secret_scan
 from tallybridge.llm.simhash_dedup import op4_simhash_dedup
+from tallybridge.llm.token_alignment import op13_token_alignment
 from tallybridge.llm.token_store import op3_token_store
 from tallybridge.llm.tool_calls import OP10_SQL, op10_tool_calls
 from tallybridge.llm.url_reputation import OP5_SQL, op5_url_reputation
@@ -29,6 +30,7 @@ QUERIES = {
     "op10_tool_calls": op10_tool_calls,
     "op11_top_products": op11_top_products,
     "op12_lexical_search": op12_lexical_search,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 ORACLE: dict[str, str] = {
