@@ -23,11 +23,15 @@ from tallybridge.session import new_folder, run_jobs
 
 @dataclass(frozen=True)
 class EntityResult:
-    """Outcome for one entity. ``source`` is the extract itself, not a product of the run."""
+    """Outcome for one entity. ``source`` is the extract itself, not a product of the run.
+
+    ``counted`` is the number of records that the reader counted in the extract's text, if it was landed.
+    """
 
     entity: Entity
     source: DataFrame
     classified: DataFrame
+    counted: int | None = None
 
     @property
     def loaded(self) -> DataFrame:
@@ -58,6 +62,7 @@ def migrate(
     entities: Sequence[str] | None = None,
     strict: bool = False,
     budget: Budget = Budget(),
+    counted: Mapping[str, int] | None = None,
 ) -> Migration:
     """Migrate every entity of ``spec``, parents first.
 
@@ -65,7 +70,9 @@ def migrate(
     reports all read that table. Entities that do not depend on each other run side by side. ``sources`` maps extract names to DataFrames and ``order_by``
     extract names to the columns that give source order. ``entities`` restricts the run and
     ``run`` continues an earlier one. ``strict`` stops at the first entity with an unreadable
-    number, before anything of it is written, instead of quarantining the row.
+    number, before anything of it is written, instead of quarantining the row. ``counted`` gives
+    the reader's own count of records per extract (``landing_counts``); row accounting then starts
+    there and not at the landed table.
     """
     spec = spec or load_spec()
     run = run or Migration(spark, folder or new_folder(spark, "migration"))
@@ -85,7 +92,7 @@ def migrate(
         path = f"{run.folder}/{name}"
         plan.write.mode("overwrite").partitionBy(STATUS).parquet(path)
         written = spark.read.schema(plan.schema).parquet(path)
-        run.results[name] = EntityResult(entity, source, written)
+        run.results[name] = EntityResult(entity, source, written, (counted or {}).get(entity.source))
 
     run_jobs(
         spark,

@@ -63,7 +63,11 @@ def missing_currency(entity: Entity, source: DataFrame) -> DataFrame:
 
 
 def _totals(result: EntityResult, per_bucket: bool) -> list[DataFrame]:
-    """Counts and checksum of the extract, and of what was written."""
+    """Counts and checksum of the extract, and of what was written.
+
+    Where the reader counted the records of the extract's text, that count is the number of source rows: rows
+    that got lost in landing are missing then on the target side.
+    """
     entity, loaded = result.entity, F.col(STATUS) == LOADED
     digest = F.col("digest")
     bucket = [digest_bucket(digest).alias("bucket")] if per_bucket else []
@@ -76,6 +80,8 @@ def _totals(result: EntityResult, per_bucket: bool) -> list[DataFrame]:
             digest_sum(digest).alias("source_checksum"),
         )
     )
+    if result.counted is not None and not per_bucket:
+        source = source.withColumn("source_rows", F.lit(result.counted).cast("bigint"))
     target = (
         result.classified.withColumn("digest", _target_digest(entity))
         .groupBy(*bucket)
@@ -104,7 +110,11 @@ def _rows_accounted() -> Column:
 
 
 def row_accounting(run: Migration) -> DataFrame:
-    """Rows in the extract against rows written, split into loaded and rejected."""
+    """Rows in the extract against rows written, split into loaded and rejected.
+
+    The rows of a landed extract are those that the reader counted in its text (``migrate(counted=...)``); without
+    that count they are those of the source table.
+    """
     return entity_totals(run).select(
         "entity", "source_rows", "loaded_rows", "rejected_rows", _rows_accounted().alias("passed")
     )
@@ -241,11 +251,11 @@ def _net(totals: DataFrame, entity: str) -> DataFrame:
         F.count(F.lit(1)).alias("n_seen"),
         F.count("source_amount").alias("n_accounts"),
         F.count_if("passed").alias("n_match"),
-        F.coalesce(F.bool_and("passed"), F.lit(True)).alias("accounts_match"),
+        F.coalesce(F.bool_and("passed"), F.lit(False)).alias("accounts_match"),
     ).select(
         F.lit(entity).alias("entity"),
         "*",
-        within(F.col("loaded_net"), zero, TOLERANCE, strict=True).alias("nets_to_zero"),
+        (within(F.col("loaded_net"), zero, TOLERANCE, strict=True) & (F.col("n_seen") > 0)).alias("nets_to_zero"),
     )
 
 
@@ -344,11 +354,11 @@ def check_rows(
 
 
 def summary(checks: DataFrame) -> DataFrame:
-    """One row: how many checks ran, how many passed, and whether all did."""
+    """One row: how many checks ran, how many passed, and whether any ran and all of them did."""
     return checks.agg(
         F.count_if("passed").alias("passed"),
         F.count(F.lit(1)).alias("total"),
-        F.coalesce(F.bool_and("passed"), F.lit(True)).alias("all_passed"),
+        F.coalesce(F.bool_and(F.coalesce("passed", F.lit(False))), F.lit(False)).alias("all_passed"),
     )
 
 

@@ -9,15 +9,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import partial
-from urllib.parse import unquote
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallybridge.operators.compare import union_all
 from tallybridge.operators.quarantine import SOURCE_ROW
-from tallybridge.plans.spec import col
+from tallybridge.plans.spec import col, quoted
 from tallybridge.session import children, run_jobs
+from tallybridge.sources.records import Survey, numbered, numbered_names, position, records, row_in_task, survey_files
 
 # Texts that a source system writes for "no value".
 NULL_TOKENS = (
@@ -25,23 +25,19 @@ NULL_TOKENS = (
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 
-# Row positions of a file start at its index shifted by this; rows of a task use the lower bits.
-FILE_BITS = 43
-TASK_BITS = 33
+# Where a landed table keeps the reader's own count of its records.
+MANIFEST = "_landing"
 
 
-def _scan(
-    spark: SparkSession, path: str, columns: Sequence[str] | None, multi_line: bool
-) -> DataFrame:
+def _scan(spark: SparkSession, path: str, columns: Sequence[str] | None) -> DataFrame:
     reader = (
         spark.read.option("header", True)
         .option("quote", '"')
         .option("escape", '"')
-        .option("multiLine", multi_line)
         .option("mode", "FAILFAST")
     )
     if columns is not None:
-        reader = reader.schema(", ".join(f"`{c}` string" for c in columns)).option(
+        reader = reader.schema(", ".join(f"{quoted(c)} string" for c in columns)).option(
             "enforceSchema", False
         )
     return reader.csv(path)
@@ -55,6 +51,19 @@ def _with_nulls(df: DataFrame, columns: Sequence[str], null_tokens: Sequence[str
     )
 
 
+def _surveyed(
+    spark: SparkSession, path: str, raw: DataFrame, multi_line: bool
+) -> Survey:
+    """The survey of an extract's text; raises where its files cannot be read safely."""
+    found = survey_files(spark, path, raw.inputFiles())
+    if found.breaks and not multi_line:
+        broken = numbered_names(found.splits.where("breaks > 0").limit(1), found.index).first()
+        raise ValueError(
+            f"{broken['source_file']}: a quoted value holds a line break; read it with multi_line=True"
+        )
+    return found
+
+
 def read_extract(
     spark: SparkSession,
     path: str,
@@ -64,10 +73,14 @@ def read_extract(
 ) -> DataFrame:
     """CSV with a header as text columns; ``null_tokens`` become null.
 
-    ``columns`` is the expected header. Without it the header is read from the first file.
+    ``columns`` is the expected header. Without it the header is read from the first file. The text is surveyed
+    first, as by :func:`land_extract`, and what that refuses is refused here.
     """
-    df = _scan(spark, path, columns, multi_line)
-    return _with_nulls(df, df.columns, null_tokens)
+    raw = _scan(spark, path, columns)
+    found = _surveyed(spark, path, raw, multi_line)
+    names = raw.columns
+    df = records(found, names, SOURCE_ROW).drop(SOURCE_ROW) if found.breaks else raw
+    return _with_nulls(df, names, null_tokens)
 
 
 def land_extract(
@@ -83,56 +96,47 @@ def land_extract(
     ``_source_row`` ascends in source order, files in name order. Within a file it is the byte at
     which the row's split starts plus the number of the row in its task; a row takes at least one
     byte, so splits cannot overlap. It depends on how the scan was split, which is why it is stored
-    with the rows. Files with different headers are refused, and, unless ``multi_line`` is set, files in
-    which a quoted value holds a line break; with it, each file is read by one task.
+    with the rows.
+
+    The text is surveyed before it is parsed. Files with different headers, quoted values that are never closed and,
+    unless ``multi_line`` is set, quoted values with line breaks are refused; with it, files are cut at the true
+    record borders and read by many tasks. A quote inside a field that does not start with one is text. The survey's own
+    count of records stays with the table as its manifest (see :func:`landing_counts`).
     """
-    check_files(spark, path, multi_line)
-    raw = _scan(spark, path, columns, multi_line)
+    raw = _scan(spark, path, columns)
     names = raw.columns
-    row_in_task = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << TASK_BITS) - 1))
-    rows = raw.select(
-        *[col(c) for c in names],
-        F.input_file_name().alias("source_file"),
-        (F.col("_metadata.file_block_start") + row_in_task).alias(SOURCE_ROW),
-    )
-    files = sorted(raw.inputFiles(), key=unquote)
-    if len(files) >= 1 << (63 - FILE_BITS):
-        raise ValueError(f"{path}: too many files to number their rows")
-    if len(files) > 1:
-        starts = [i << FILE_BITS for i in range(len(files))]
-        index = spark.createDataFrame(pa.table({"source_file": files, "start": starts}))
-        unlisted = F.raise_error(F.concat(F.lit("file was not listed: "), F.col("source_file")))
-        rows = rows.join(F.broadcast(index), "source_file", "left").withColumn(
-            SOURCE_ROW, F.col(SOURCE_ROW) + F.coalesce(F.col("start"), unlisted.cast("bigint"))
+    found = _surveyed(spark, path, raw, multi_line)
+    if found.breaks:
+        rows = records(found, names, SOURCE_ROW)
+    else:
+        rows = raw.select(
+            *[col(c) for c in names],
+            F.input_file_name().alias("source_file"),
+            F.col("_metadata.file_block_start").alias("split"),
+            row_in_task().alias("row"),
         )
-    landed = _with_nulls(rows.select(*[col(c) for c in names], SOURCE_ROW), names, null_tokens)
+        place = position(F.col("file"), F.col("split"), F.col("row")).alias(SOURCE_ROW)
+        rows = numbered(rows, found.index).select(*[col(c) for c in names], place)
+    landed = _with_nulls(rows, names, null_tokens)
     landed.write.mode("overwrite").parquet(target)
+    found.counts().write.mode("overwrite").parquet(f"{target.rstrip('/')}/{MANIFEST}")
     return spark.read.schema(landed.schema).parquet(target)
 
 
-def check_files(spark: SparkSession, path: str, multi_line: bool) -> None:
-    """Raise if the files of an extract have different headers, or, unless lines are read across
-    quotes, if a quoted value goes on in the next line. One pass over the text, a row per file comes back.
+def landing_counts(spark: SparkSession, target: str, names: Sequence[str]) -> dict[str, int]:
+    """Records that the reader counted in the text of each extract landed under ``target``, by extract.
+
+    They were counted before anything was parsed or stored, so they tell rows that got lost on the way.
     """
-    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
-    lines = spark.read.text(path).select(
-        "value",
-        F.input_file_name().alias("file"),
-        F.struct(F.col("_metadata.file_block_start").alias("s"), F.monotonically_increasing_id().alias("i")).alias("at"),
-        (quotes % 2 == 1).alias("odd"),
-    )
-    per_file = lines.groupBy("file").agg(F.min_by("value", "at").alias("header"), F.count_if("odd").alias("odd"))
-    summed = per_file.agg(
-        F.count_distinct("header").alias("headers"),
-        F.sum("odd").alias("odd"),
-        F.min_by("file", "header").alias("one"),
-        F.max_by("file", "header").alias("other"),
-        F.max_by("file", "odd").alias("broken"),
-    ).first()
-    if summed["headers"] > 1:
-        raise ValueError(f"{path}: headers differ, e.g. of {summed['one']} and {summed['other']}")
-    if summed["odd"] and not multi_line:
-        raise ValueError(f"{summed['broken']}: a quoted value holds a line break; read it with multi_line=True")
+    base = target.rstrip("/")
+    parts = [
+        spark.read.schema("source_file string, records bigint")
+        .parquet(f"{base}/{name}/{MANIFEST}")
+        .agg(F.coalesce(F.sum("records"), F.lit(0)).alias("records"))
+        .select(F.lit(name).alias("name"), "records")
+        for name in names
+    ]
+    return {r["name"]: r["records"] for r in union_all(parts).collect()} if parts else {}
 
 
 def land_folder(
