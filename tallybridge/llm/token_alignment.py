@@ -16,7 +16,9 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+from array import array
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -30,8 +32,10 @@ from tallybridge.llm.common import SLICE, staged, table
 #: Pairs of texts in a chunk, after which it ends with the text at hand; and the rows of one part of its dictionary.
 CHUNK_PAIRS = 1_000_000
 ENTRY_ROWS = 50_000
-#: Aligned cuts that a worker remembers; beyond, it starts afresh. Longer cuts are not remembered.
-REMEMBERED, SHORT = 150_000, 64
+#: Aligned cuts that a worker takes up before those that it has not met since are forgotten; longer cuts are not remembered.
+REMEMBERED, SHORT = 200_000, 64
+#: A group of more links is kept as distinct pairs.
+LISTED = 4096
 #: Measures of a text that occurs in at least this share of all rows are broadcast (so there are fewer than its inverse).
 FREQUENT = 1 / 1000
 
@@ -39,43 +43,59 @@ FREQUENT = 1 / 1000
 _CUT = re.compile(r"(?<=[\w!-/:-@\[-`{-~]) (?=.)", re.DOTALL)
 
 
-class Aligned:
-    """A cut's tokens: their numbers, groups and links, its groups in writing and its pairs (a id << 32 | b id)."""
+class Aligned(NamedTuple):
+    """A cut's tokens: their numbers, groups and links, its groups in writing and its pairs (a id << 32 | b id).
 
-    __slots__ = ("n_a", "n_b", "n_groups", "n_links", "written", "pairs", "uses")
+    ``pairs`` holds a pair for each link. Where these are many, ``heavy`` holds the distinct pairs and their numbers of links instead.
+    """
 
-    def __init__(self, n_a: int, n_b: int, n_groups: int, n_links: int, written: str, pairs: bytes, uses: bytes):
-        self.n_a, self.n_b, self.n_groups, self.n_links = n_a, n_b, n_groups, n_links
-        self.written, self.pairs, self.uses = written, pairs, uses
+    n_a: int
+    n_b: int
+    n_groups: int
+    n_links: int
+    written: str
+    pairs: bytes
+    heavy: tuple[np.ndarray, np.ndarray] | None = None
 
 
-def cross(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def cross(a: list[int], b: list[int]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct pairs of two id lists, and how often each pair of occurrences is one."""
-    if len(a) == len(b) == 1:
-        return a << 32 | b, np.ones(1, np.int64)
-    (a, na), (b, nb) = np.unique(a, return_counts=True), np.unique(b, return_counts=True)
-    return (a[:, None] << 32 | b[None, :]).ravel(), np.outer(na, nb).ravel()
+    (x, nx), (y, ny) = (np.unique(np.array(ids, np.int64), return_counts=True) for ids in (a, b))
+    return (x[:, None] << 32 | y[None, :]).ravel(), np.outer(nx, ny).ravel()
 
 
-def align(a: list[int], b: list[int], sizes_a: np.ndarray, sizes_b: np.ndarray) -> Aligned:
+def align(a: list[int], b: list[int], sizes_a: list[int], sizes_b: list[int]) -> Aligned:
     """Groups and links of two tokenisations of the same bytes, given each id's number of bytes."""
-    a, b = np.array(a, np.int64), np.array(b, np.int64)
-    ends_a, ends_b = np.cumsum(sizes_a[a]), np.cumsum(sizes_b[b])
-    # the last token that ends at a common offset closes the group (ids of no bytes would share an end)
-    common = np.intersect1d(ends_a, ends_b)
-    to_a, to_b = np.searchsorted(ends_a, common, "right").tolist(), np.searchsorted(ends_b, common, "right").tolist()
-    pairs, uses, written = [], [], []
-    i = j = n_links = 0
-    for x, y in zip(to_a, to_b):
-        left, right = a[i:x], b[j:y]
-        p, u = cross(left, right)
-        pairs.append(p)
-        uses.append(u)
-        n_links += (x - i) * (y - j)
-        written.append(f"{','.join(map(str, left.tolist()))}|{','.join(map(str, right.tolist()))}")
-        i, j = x, y
-    p, u = np.concatenate(pairs), np.concatenate(uses)
-    return Aligned(len(a), len(b), len(common), n_links, ";".join(written), p.tobytes(), u.tobytes())
+    pairs: list[int] = []
+    written: list[str] = []
+    large: list[tuple[list[int], list[int]]] = []
+    n_links = at_a = at_b = first_a = first_b = j = 0
+    for i, x in enumerate(a, 1):
+        at_a += sizes_a[x]
+        while at_b < at_a:
+            at_b += sizes_b[b[j]]
+            j += 1
+        if at_a != at_b:
+            continue
+        if i - first_a == 1 == j - first_b:
+            y = b[first_b]
+            pairs.append(x << 32 | y)
+            written.append(f"{x}|{y}")
+            n_links += 1
+        else:
+            left, right = a[first_a:i], b[first_b:j]
+            n_links += len(left) * len(right)
+            if len(left) * len(right) <= LISTED:
+                pairs += [u << 32 | v for u in left for v in right]
+            else:
+                large.append((left, right))
+            written.append(f"{','.join(map(str, left))}|{','.join(map(str, right))}")
+        first_a, first_b = i, j
+    heavy = None
+    if large:
+        found = [cross(left, right) for left, right in large]
+        heavy = tuple(np.concatenate(c) for c in zip(*found))
+    return Aligned(len(a), len(b), len(written), n_links, ";".join(written), array("q", pairs).tobytes(), heavy)
 
 
 def byte_symbols() -> dict[str, int]:
@@ -111,9 +131,10 @@ class Aligner:
         names = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         for i, piece in enumerate(names):
             self.bytes_b.append(bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode())
-        self.sizes_a, self.sizes_b = (np.array([len(t) for t in bs], np.int64) for bs in (self.bytes_a, self.bytes_b))
+        self.sizes_a, self.sizes_b = ([len(t) for t in bs] for bs in (self.bytes_a, self.bytes_b))
         self.cuttable = not any(x != "▁" == y for piece in names for x, y in zip(piece, piece[1:]))
         self.known: dict[str, Aligned | None] = {}
+        self.older: dict[str, Aligned | None] = {}
 
     def _tokens(self, cuts: list[str]) -> list[tuple[list[int], list[int]]]:
         a = self.a.encode_batch_fast([" " + c for c in cuts], add_special_tokens=False)
@@ -130,10 +151,12 @@ class Aligner:
     def texts(self, texts: list[str]) -> Iterator[list[Aligned] | None]:
         """The aligned cuts of each text (not empty), or None where its bytes are not those of the tokens."""
         split = [_CUT.split(t) if self.cuttable else [t] for t in texts]
-        known = self.known
-        if len(known) > REMEMBERED:
-            known.clear()
-        new = list({c for cuts in split for c in cuts if c not in known and len(c) <= SHORT})
+        if len(self.known) > REMEMBERED:
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        new = set().union(*split).difference(known)
+        known.update({c: older[c] for c in new.intersection(older)})
+        new = [c for c in new.difference(older) if len(c) <= SHORT]
         for at in range(0, len(new), 4096):
             known.update(zip(new[at : at + 4096], self._align(new[at : at + 4096])))
         for cuts in split:
@@ -153,10 +176,11 @@ def aligner_of(byte_level: str, pieces: str) -> Aligner:
 
 def measures_of(parts: list[Aligned]) -> tuple[tuple[int, int, int, int, str], np.ndarray, np.ndarray]:
     """Of a text's cuts: (n_a, n_b, n_groups, n_links, groups_sha256), its distinct pairs, and the links of each."""
-    pairs = np.frombuffer(b"".join([p.pairs for p in parts]), np.int64)
-    uses = np.frombuffer(b"".join([p.uses for p in parts]), np.int64)
-    pairs, at = np.unique(pairs, return_inverse=True)
-    uses = np.bincount(at, uses, len(pairs)).astype(np.int64)
+    pairs, uses = np.unique(np.frombuffer(b"".join([p.pairs for p in parts]), np.int64), return_counts=True)
+    heavy = [p.heavy for p in parts if p.heavy]
+    if heavy:
+        pairs, at = np.unique(np.concatenate([pairs, *(h[0] for h in heavy)]), return_inverse=True)
+        uses = np.bincount(at, np.concatenate([uses, *(h[1] for h in heavy)]), len(pairs)).astype(np.int64)
     digest = hashlib.sha256()
     for k in range(0, len(parts), 100_000):
         digest.update((";" if k else "").encode() + ";".join([p.written for p in parts[k : k + 100_000]]).encode())
