@@ -296,7 +296,103 @@ def _line(check: Column | str, source: Column, target: Column, passed: Column) -
 
 
 def _lines(rows: DataFrame, *lines: Column) -> DataFrame:
-    return rows.select(F.explode(F.array(*lines)).alias("line")).select("line.*")
+    return rows.select(F.explode(F.array_compact(F.array(*lines))).alias("line")).select("line.*")
+
+
+#: What a row of the grouped pass is about: the whole entity, one currency, or one account.
+_WHOLE, _CURRENCY, _ACCOUNT = "entity", "currency", "account"
+_COUNTS = ("source_rows", "loaded_rows", "rejected_rows", "source_unreadable", "rejected_unreadable", "seen")
+_SUMS = ("source_checksum", "target_checksum", "source_amount", "loaded_amount", "rejected_amount")
+
+
+def _side_pass(result: EntityResult, kind: str, amount: str | None) -> list[DataFrame]:
+    """Both sides of an entity, each scanned once and grouped by ``kind``: counts, checksum and amounts."""
+    entity, loaded = result.entity, F.col(STATUS) == LOADED
+    item = {"source": F.lit(None).cast("string"), "target": F.lit(None).cast("string")}
+    if kind == _CURRENCY:
+        field = entity.currency_field()
+        codes = {
+            "source": field.value(),
+            "target": F.when(loaded, col(field.target)).otherwise(field.value(_quarantined(field))),
+        }
+        item = {side: F.when(code == "", LOCAL).otherwise(code) for side, code in codes.items()}
+    elif kind == _ACCOUNT:
+        field = entity.field(entity.key_target[0])
+        item = {
+            "source": field.value(),
+            "target": F.when(loaded, col(field.target)).otherwise(field.value(_quarantined(field))),
+        }
+    one = F.lit(1).cast("bigint")
+    rows = {
+        "source": {"source_rows": one, "seen": one},
+        "target": {"loaded_rows": F.when(loaded, one), "rejected_rows": F.when(~loaded, one), "seen": one},
+    }
+    if amount is not None:
+        money = entity.field(amount)
+        rejected = _quarantined(money)
+        rows["source"]["source_amount"] = money.value().cast(MONEY)
+        rows["target"]["loaded_amount"] = F.when(loaded, col(amount).cast(MONEY))
+        rows["target"]["rejected_amount"] = F.when(~loaded, money.value(rejected).cast(MONEY))
+        rows["source"]["source_unreadable"] = money.is_bad_number().cast("bigint")
+        rows["target"]["rejected_unreadable"] = F.when(~loaded, money.is_bad_number(rejected).cast("bigint"))
+    digests = {"source": _source_digest(entity), "target": _target_digest(entity)}
+    tables = {"source": result.source, "target": result.classified}
+    kinds = [_WHOLE] if kind == _WHOLE else [_WHOLE, kind]
+    sides = []
+    for side, df in tables.items():
+        grouped = (
+            df.withColumn("digest", digests[side])
+            .groupBy(item[side].alias("item"))
+            .agg(
+                digest_sum(F.col("digest")).alias(f"{side}_checksum"),
+                *[F.sum(v).alias(n) for n, v in rows[side].items()],
+            )
+        )
+        sides.append(
+            grouped.select(
+                F.lit(entity.name).alias("entity"), F.explode(F.array(*map(F.lit, kinds))).alias("kind"), "*"
+            )
+        )
+    return sides
+
+
+def check_totals(
+    run: Migration, invoices: str = "open_invoice", ledger: str = "gl_opening_balance"
+) -> DataFrame:
+    """Everything that :func:`check_rows` compares, from one scan of each side of each entity.
+
+    A side is grouped once, by the finest item that is checked in it (currency, account or nothing). Each group counts
+    for its item and for the entity; the sums of both sides meet in one small group-by.
+    """
+    grouped = {}
+    if invoices in run.results:
+        grouped[invoices] = (_CURRENCY, "Amount")
+    if ledger in run.results:
+        grouped[ledger] = (_ACCOUNT, "Amount (LCY)")
+    sides = []
+    for name, result in run.results.items():
+        sides += _side_pass(result, *grouped.get(name, (_WHOLE, None)))
+    # an entity without a row, or a ledger without an account, is checked too
+    seeds = [(name, _WHOLE) for name in run.results]
+    seeds += [(ledger, _ACCOUNT)] if ledger in run.results else []
+    sides.append(run.spark.createDataFrame(seeds, "entity string, kind string").withColumn("item", F.lit(None).cast("string")))
+    merged = union_all(sides, partial_columns=True)
+    types = {c: "bigint" if c in _COUNTS else "decimal(28,2)" if "amount" in c else "decimal(28,0)" for c in (*_COUNTS, *_SUMS)}
+    present = [F.col(c) if c in merged.columns else F.lit(None).cast(types[c]).alias(c) for c in types]
+    merged = merged.select("entity", "kind", "item", *present)
+    items = merged.groupBy("entity", "kind", "item").agg(*[F.sum(c).cast(types[c]).alias(c) for c in types])
+    same = F.coalesce(F.col("source_amount") == F.col("loaded_amount"), F.lit(False))
+    seen = F.coalesce("seen", F.lit(0)) > 0
+    shown = F.when(F.col("kind") == _CURRENCY, F.col("item")).alias("item")
+    zero = {c: F.lit(0).cast(t) for c, t in types.items()}
+    totals = items.groupBy("entity", "kind", shown).agg(
+        *[F.coalesce(F.sum(c), zero[c]).alias(c) for c in types],
+        F.count_if(seen).alias("n_seen"),
+        F.count("source_amount").alias("n_items"),
+        F.count_if(seen & same).alias("n_match"),
+    )
+    counted = [F.when(F.col("entity") == n, F.lit(r.counted).cast("bigint")) for n, r in run.results.items() if r.counted is not None]
+    return totals.withColumn("source_rows", F.coalesce(*counted, F.col("source_rows")))
 
 
 def check_rows(
@@ -304,9 +400,15 @@ def check_rows(
 ) -> DataFrame:
     """All checks of a run as ``entity, check, source, target, passed``."""
     target_keys_text = (F.col("loaded_rows") + F.col("rejected_rows")).cast("string")
-    parts = [
-        _lines(
-            entity_totals(run),
+    kind = F.col("kind")
+    zero = F.lit(0).cast(MONEY)
+    amounts_agree = within(
+        F.col("source_amount"), F.col("loaded_amount") + F.col("rejected_amount"), TOLERANCE, strict=True
+    )
+    readable = (F.col("source_unreadable") == 0) & (F.col("rejected_unreadable") == 0)
+    seen = F.col("n_seen") > 0
+    lines = {
+        _WHOLE: [
             _line(
                 ROW_ACCOUNTING,
                 _whole("source_rows"),
@@ -319,38 +421,32 @@ def check_rows(
                 F.concat_ws(":", target_keys_text, "target_checksum"),
                 _rows_accounted() & (F.col("source_checksum") == F.col("target_checksum")),
             ),
-        )
-    ]
-    if invoices in run.results:
-        parts.append(
-            _lines(
-                amount_by_currency(run[invoices]),
-                _line(
-                    F.concat(
-                        F.lit("amount total "), F.col("currency"), F.lit(" (loaded + rejected)")
-                    ),
-                    _money("source_amount"),
-                    F.concat_ws(" + ", _money("loaded_amount"), _money("rejected_amount")),
-                    F.col("passed"),
-                ),
-            )
-        )
-    if ledger in run.results:
-        parts.append(
-            _lines(
-                _net(account_totals(run[ledger]), ledger),
-                _line(
-                    ACCOUNT_TOTALS,
-                    F.concat_ws(" ", F.col("n_accounts").cast("string"), F.lit("accounts")),
-                    F.concat_ws(" ", F.col("n_match").cast("string"), F.lit("match")),
-                    F.col("accounts_match"),
-                ),
-                _line(
-                    TRIAL_BALANCE, _money("source_net"), _money("loaded_net"), F.col("nets_to_zero")
-                ),
+        ],
+        _CURRENCY: [
+            _line(
+                F.concat(F.lit("amount total "), F.col("item"), F.lit(" (loaded + rejected)")),
+                _money("source_amount"),
+                F.concat_ws(" + ", _money("loaded_amount"), _money("rejected_amount")),
+                amounts_agree & readable,
             )
-        )
-    return union_all(parts)
+        ],
+        _ACCOUNT: [
+            _line(
+                ACCOUNT_TOTALS,
+                F.concat_ws(" ", F.col("n_items").cast("string"), F.lit("accounts")),
+                F.concat_ws(" ", F.col("n_match").cast("string"), F.lit("match")),
+                seen & (F.col("n_match") == F.col("n_seen")),
+            ),
+            _line(
+                TRIAL_BALANCE,
+                _money("source_amount"),
+                _money("loaded_amount"),
+                seen & within(F.col("loaded_amount"), zero, TOLERANCE, strict=True),
+            ),
+        ],
+    }
+    found = [F.when(kind == k, line) for k, ls in lines.items() for line in ls]
+    return _lines(check_totals(run, invoices, ledger), *found)
 
 
 def summary(checks: DataFrame) -> DataFrame:

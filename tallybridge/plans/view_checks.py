@@ -3,9 +3,9 @@
 The source side translates companies through the *distinct* company map: a company listed twice
 doubles every view row, and then shows here as a difference instead of inflating both sides.
 
-Every view and table is read once, whatever the number of checks that look at it: it is summed per
-company, the sums become rows ``check, item, side, value``, and one small group-by over all of them
-brings the two sides of each check together.
+:func:`check_views` takes any views: it sums each of them, and each table, per company, makes the sums rows ``check, item,
+side, value``, and brings the two sides of each check together in one small group-by. :func:`check_exports` gives the same
+rows for the views as they are built over the tables, and reads each table once for all checks and both sides.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tallybridge.operators.compare import union_all, within
 from tallybridge.plans.spec import col
-from tallybridge.plans.views import COMPANY, INITIAL, VIEWS
+from tallybridge.plans.views import APPLIED, COMPANY, INITIAL, VIEWS
 
 Frames = Mapping[str, DataFrame]
 
@@ -170,6 +170,11 @@ def check_views(
     if literals:
         parts.append(_literal_entries(spark, literals))
 
+    return _sides(parts)
+
+
+def _sides(parts: Sequence[DataFrame]) -> DataFrame:
+    """Both values of each check and item, and whether they agree."""
     sides = (
         union_all(parts)
         .groupBy("check", "item")
@@ -178,6 +183,130 @@ def check_views(
     return sides.withColumn("passed", within(F.col(VIEW), F.col(SOURCE), TOLERANCE))
 
 
+def _entry_sums(tables: Frames) -> DataFrame:
+    """Customer ledger and its details per company, as the views and the source side of the checks see them.
+
+    Entries and details meet in one group-by on entry and company, not in a join: each detail counts once for the
+    source side, and once for each entry of that number for the views. What has no number or company meets nothing.
+    """
+    ledger = tables["CustLedgerEntry_21"].select(
+        F.col("`EntryNo-1`").alias("entry_no"),
+        F.col(COMPANY).alias("company"),
+        F.lit(1).cast("bigint").alias("n"),
+        F.expr("CAST(`Open-36` AS BIGINT)").alias("flagged"),
+    )
+    amount = F.col("`Amount-7`")
+
+    def of(kind: str) -> Column:
+        return F.when(F.col("`EntryType-3`") == kind, amount)
+
+    details = tables["DetailedCustLedgEntry_379"].select(
+        F.col("`CustLedgerEntryNo-2`").alias("entry_no"),
+        F.col(COMPANY).alias("company"),
+        of(INITIAL).alias("initial"),
+        of(APPLIED).alias("applied"),
+        amount.alias("total"),
+        F.lit(1).cast("bigint").alias("n_details"),
+        (F.col("`EntryType-3`") == INITIAL).cast("bigint").alias("n_initial"),
+    )
+    entries = union_all([ledger, details], partial_columns=True).groupBy("entry_no", "company").agg(
+        *[F.sum(c).alias(c) for c in ("n", "flagged", "initial", "applied", "total", "n_details", "n_initial")]
+    )
+    n, named = F.coalesce("n", F.lit(0)), F.col("entry_no").isNotNull() & F.col("company").isNotNull()
+    initial, applied = (F.coalesce(F.when(named, F.col(c)), F.lit(0).cast("decimal(28,2)")) for c in ("initial", "applied"))
+    balance = F.round(initial + applied, 2)
+    opened = F.when(balance != 0, n).otherwise(0)
+    return entries.groupBy("company").agg(
+        F.sum(n).alias("n_entries"),
+        F.sum(n * initial).alias("view_initial"),
+        F.sum(opened).alias("n_open"),
+        F.sum(opened * balance).alias("view_open"),
+        F.coalesce(F.sum("flagged"), F.lit(0)).alias("n_flagged"),
+        F.coalesce(F.sum("n_initial"), F.lit(0)).alias("n_initial"),
+        F.sum("initial").alias("source_initial"),
+        F.coalesce(F.sum("n_details"), F.lit(0)).alias("n_details"),
+        F.sum("total").alias("source_open"),
+    )
+
+
+def check_exports(tables: Frames, expected_unmapped: Sequence[str] = ()) -> DataFrame:
+    """All checks of :func:`check_views` for the views as they are built over ``tables``, with each export read once.
+
+    The views translate companies row by row, but all that is checked adds up per company. So every export is
+    summed per company first, and the few sums meet the company map: the view side once for each map row of a
+    company, the source side once for each distinct one.
+    """
+    spark = tables["company_map"].sparkSession
+    one = F.lit(1)
+    sums = union_all(
+        [
+            _entry_sums(tables),
+            tables["Customer_18"].groupBy(F.col(COMPANY).alias("company")).agg(F.count(one).alias("n_customers")),
+            tables["BankAccountLedgerEntry_271"]
+            .groupBy(F.col(COMPANY).alias("company"))
+            .agg(F.count(one).alias("n_bank"), F.sum("`Amount-13`").alias("bank")),
+            tables["GLEntry_17"]
+            .groupBy(F.col(COMPANY).alias("company"))
+            .agg(F.count(one).alias("n_postings"), F.sum("`Amount-17`").alias("net")),
+        ],
+        partial_columns=True,
+    ).groupBy("company")
+    measures = (
+        "n_entries", "view_initial", "n_open", "view_open", "n_flagged", "n_initial", "source_initial", "n_details",
+        "source_open", "n_customers", "n_bank", "bank", "n_postings", "net",
+    )
+    sums = sums.agg(*[F.sum(m).alias(m) for m in measures])
+    codes = tables["company_map"].groupBy("CompanyName", "DATAAREAID").agg(F.count(one).alias("copies"))
+    rows = sums.join(codes, F.col("company") == F.col("CompanyName"), "left")
+
+    code, copies = F.col("DATAAREAID"), F.col("copies")
+
+    def entry(check: str, side: str, count: str, value: str | Column) -> Column:
+        value = F.col(value) if isinstance(value, str) else value
+        shown = value * copies if side == VIEW else value
+        return F.when(copies.isNotNull() & (F.col(count) > 0), _entry(check, code, side, shown))
+
+    entries = [
+        entry(check, side, count, value)
+        for check, side, count, value in (
+            (CUSTTABLE_ROWS, VIEW, "n_customers", "n_customers"),
+            (CUSTTABLE_ROWS, SOURCE, "n_customers", "n_customers"),
+            (CUSTTRANS_ROWS, VIEW, "n_entries", "n_entries"),
+            (CUSTTRANS_ROWS, SOURCE, "n_entries", "n_entries"),
+            (INITIAL_AMOUNT, VIEW, "n_entries", "view_initial"),
+            (INITIAL_AMOUNT, SOURCE, "n_initial", "source_initial"),
+            (OPEN_BALANCE, VIEW, "n_open", "view_open"),
+            (OPEN_BALANCE, SOURCE, "n_details", "source_open"),
+            (OPEN_ITEMS, VIEW, "n_open", "n_open"),
+            (OPEN_ITEMS, SOURCE, "n_flagged", "n_flagged"),
+            (BANK_AMOUNT, VIEW, "n_bank", "bank"),
+            (BANK_AMOUNT, SOURCE, "n_bank", "bank"),
+            (LEDGER_ZERO, VIEW, "n_postings", "net"),
+            (LEDGER_ZERO, SOURCE, "n_postings", F.lit(0)),
+        )
+    ]
+    counts = dict(zip(VIEWS, ("n_customers", "n_entries", "n_open", "n_bank", "n_postings")))
+    for view, count in counts.items():
+        missing = copies.isNotNull() & code.isNull() & (F.col(count) > 0)
+        entries.append(F.when(missing, _entry(NULL_COMPANY, F.lit(view), VIEW, F.col(count) * copies)))
+    listed = [F.coalesce(F.col(counts[v]), F.lit(0)) > 0 for v in ("CUSTTABLE", "CUSTTRANS", "BANKACCOUNTTRANS", "LEDGERTRANS")]
+    entries.append(
+        F.when(code.isNull() & (listed[0] | listed[1] | listed[2] | listed[3]), _entry(UNMAPPED, F.col("company"), VIEW, one))
+    )
+    repeated = tables["company_map"].groupBy("CompanyName").count().filter("count > 1")
+    nothing = F.lit(0)
+    literals = [_entry(NULL_COMPANY, F.lit(v), side, nothing) for v in VIEWS for side in (VIEW, SOURCE)]
+    literals += [_entry(MAP_UNIQUE, F.lit("company_map"), side, nothing) for side in (VIEW, SOURCE)]
+    literals += [_entry(UNMAPPED, F.lit(c), SOURCE, one) for c in sorted(set(expected_unmapped))]
+    return _sides(
+        [
+            _entries(rows, entries),
+            _entries(repeated, [_entry(MAP_UNIQUE, F.lit("company_map"), VIEW, one)]),
+            _literal_entries(spark, literals),
+        ]
+    )
+
+
 def check_summary(rows: DataFrame) -> DataFrame:
     """One row per check: it passes when all its rows do."""
     return rows.groupBy("check").agg(
