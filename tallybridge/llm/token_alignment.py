@@ -18,6 +18,7 @@ import os
 import re
 from array import array
 from collections.abc import Iterator
+from itertools import accumulate
 from typing import NamedTuple
 
 import numpy as np
@@ -33,69 +34,94 @@ from tallybridge.llm.common import SLICE, staged, table
 CHUNK_PAIRS = 1_000_000
 ENTRY_ROWS = 50_000
 #: Aligned cuts that a worker takes up before those that it has not met since are forgotten; longer cuts are not remembered.
-REMEMBERED, SHORT = 200_000, 64
+REMEMBERED, SHORT = 120_000, 64
+#: New cuts that are encoded as one text.
+TOGETHER = 64
 #: A group of more links is kept as distinct pairs.
 LISTED = 4096
 #: Measures of a text that occurs in at least this share of all rows are broadcast (so there are fewer than its inverse).
 FREQUENT = 1 / 1000
 
 #: A blank after a letter, digit, underscore or ASCII mark, but for the text's last character.
-_CUT = re.compile(r"(?<=[\w!-/:-@\[-`{-~]) (?=.)", re.DOTALL)
+_MARK = r"[\w!-/:-@\[-`{-~]"
+_CUT = re.compile(rf"(?<={_MARK}) (?=.)", re.DOTALL)
+_LAST = re.compile(_MARK).match
+
+
+#: Three counts in one number, so that those of many cuts are added up at once.
+_FIELD = 40
 
 
 class Aligned(NamedTuple):
-    """A cut's tokens: their numbers, groups and links, its groups in writing and its pairs (a id << 32 | b id).
+    """A cut's numbers of tokens and groups, its groups in writing and its pairs (a id << 32 | b id).
 
     ``pairs`` holds a pair for each link. Where these are many, ``heavy`` holds the distinct pairs and their numbers of links instead.
     """
 
-    n_a: int
-    n_b: int
-    n_groups: int
-    n_links: int
+    counts: int
     written: str
     pairs: bytes
     heavy: tuple[np.ndarray, np.ndarray] | None = None
 
 
-def cross(a: list[int], b: list[int]) -> tuple[np.ndarray, np.ndarray]:
+def cross(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct pairs of two id lists, and how often each pair of occurrences is one."""
-    (x, nx), (y, ny) = (np.unique(np.array(ids, np.int64), return_counts=True) for ids in (a, b))
+    (x, nx), (y, ny) = (np.unique(ids, return_counts=True) for ids in (a, b))
     return (x[:, None] << 32 | y[None, :]).ravel(), np.outer(nx, ny).ravel()
 
 
-def align(a: list[int], b: list[int], sizes_a: list[int], sizes_b: list[int]) -> Aligned:
-    """Groups and links of two tokenisations of the same bytes, given each id's number of bytes."""
-    pairs: list[int] = []
-    written: list[str] = []
-    large: list[tuple[list[int], list[int]]] = []
-    n_links = at_a = at_b = first_a = first_b = j = 0
-    for i, x in enumerate(a, 1):
-        at_a += sizes_a[x]
-        while at_b < at_a:
-            at_b += sizes_b[b[j]]
-            j += 1
-        if at_a != at_b:
-            continue
-        if i - first_a == 1 == j - first_b:
-            y = b[first_b]
-            pairs.append(x << 32 | y)
-            written.append(f"{x}|{y}")
-            n_links += 1
-        else:
-            left, right = a[first_a:i], b[first_b:j]
-            n_links += len(left) * len(right)
-            if len(left) * len(right) <= LISTED:
-                pairs += [u << 32 | v for u in left for v in right]
-            else:
-                large.append((left, right))
-            written.append(f"{','.join(map(str, left))}|{','.join(map(str, right))}")
-        first_a, first_b = i, j
-    heavy = None
-    if large:
-        found = [cross(left, right) for left, right in large]
-        heavy = tuple(np.concatenate(c) for c in zip(*found))
-    return Aligned(len(a), len(b), len(written), n_links, ";".join(written), array("q", pairs).tobytes(), heavy)
+class Vocabularies:
+    """Sizes in bytes of the ids of both tokenizers, and how each id is written: before a comma or at the end of its group."""
+
+    def __init__(self, sizes_a: list[int], sizes_b: list[int]):
+        self.sizes_a, self.sizes_b = np.array(sizes_a, np.int64), np.array(sizes_b, np.int64)
+        self.written = [f"{i}{end}" for n, ends in ((len(sizes_a), ",|"), (len(sizes_b), ",;")) for end in ends for i in range(n)]
+        self.lengths = np.array(list(map(len, self.written)), np.int64)
+
+
+def align(a: list[int], b: list[int], vocabularies: Vocabularies, ends: list[int]) -> list[Aligned]:
+    """Groups and links of two tokenisations of the same bytes, for each of the stretches that end at ``ends``, where
+    tokens of both end too."""
+    a, b, stops = np.array(a, np.int64), np.array(b, np.int64), np.array(ends, np.int64)
+    ends_a, ends_b = np.cumsum(vocabularies.sizes_a[a]), np.cumsum(vocabularies.sizes_b[b])
+    at = np.minimum(np.searchsorted(ends_b, ends_a), len(b) - 1)
+    closing = ends_b[at] == ends_a
+    # tokens of each group, and those of the groups before it
+    to_a, to_b = np.flatnonzero(closing) + 1, at[closing] + 1
+    from_a, from_b = (np.concatenate([[0], t]) for t in (to_a, to_b))
+    n_a, n_b = np.diff(from_a), np.diff(from_b)
+    groups = np.searchsorted(ends_a[closing], stops)
+    if (groups == len(to_a)).any() or (ends_a[closing][groups] != stops).any():
+        raise ValueError("a stretch does not end with tokens of both")
+    cuts = np.concatenate([[0], groups + 1])
+
+    heavy = n_a * n_b > LISTED
+    listed = np.where(heavy, 0, n_a * n_b)
+    from_link = np.concatenate([[0], np.cumsum(listed)])
+    group = np.repeat(np.arange(len(n_a)), listed)
+    place = np.arange(from_link[-1]) - from_link[group]
+    pairs = (a[from_a[group] + place // n_b[group]] << 32 | b[from_b[group] + place % n_b[group]]).tobytes()
+
+    # each group in writing: its ids of one side, then those of the other
+    of_a, of_b = np.repeat(np.arange(len(n_a)), n_a), np.repeat(np.arange(len(n_b)), n_b)
+    in_a, in_b = np.arange(len(a)), np.arange(len(b))
+    known_a, known_b = len(vocabularies.sizes_a), len(vocabularies.sizes_b)
+    codes = np.empty(len(a) + len(b), np.int64)
+    codes[in_a + from_b[of_a]] = a + known_a * (in_a + 1 == to_a[of_a])
+    codes[in_b + to_a[of_b]] = 2 * known_a + b + known_b * (in_b + 1 == to_b[of_b])
+    text = "".join(map(vocabularies.written.__getitem__, codes.tolist()))
+    letters = np.concatenate([[0], np.cumsum(vocabularies.lengths[codes])])[(from_a + from_b)[cuts]].tolist()
+    links = (8 * from_link[cuts]).tolist()
+    counts = zip(*(np.diff(f[cuts]).tolist() for f in (from_a, from_b)), np.diff(cuts).tolist())
+    out = [
+        Aligned(x << 2 * _FIELD | y << _FIELD | n, text[letters[k] : letters[k + 1] - 1], pairs[links[k] : links[k + 1]])
+        for k, (x, y, n) in enumerate(counts)
+    ]
+    for k in np.unique(np.searchsorted(cuts, np.flatnonzero(heavy), "right") - 1).tolist():
+        large = [g for g in range(cuts[k], cuts[k + 1]) if heavy[g]]
+        found = [cross(a[from_a[g] : to_a[g]], b[from_b[g] : to_b[g]]) for g in large]
+        out[k] = out[k]._replace(heavy=tuple(np.concatenate(c) for c in zip(*found)))
+    return out
 
 
 def byte_symbols() -> dict[str, int]:
@@ -131,22 +157,32 @@ class Aligner:
         names = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         for i, piece in enumerate(names):
             self.bytes_b.append(bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode())
-        self.sizes_a, self.sizes_b = ([len(t) for t in bs] for bs in (self.bytes_a, self.bytes_b))
+        self.vocabularies = Vocabularies(*([len(t) for t in bs] for bs in (self.bytes_a, self.bytes_b)))
         self.cuttable = not any(x != "▁" == y for piece in names for x, y in zip(piece, piece[1:]))
         self.known: dict[str, Aligned | None] = {}
         self.older: dict[str, Aligned | None] = {}
 
-    def _tokens(self, cuts: list[str]) -> list[tuple[list[int], list[int]]]:
-        a = self.a.encode_batch_fast([" " + c for c in cuts], add_special_tokens=False)
-        return [(x.ids, y) for x, y in zip(a, self.b.encode(cuts, num_threads=1))]
-
-    def _fits(self, cut: str, a: list[int], b: list[int]) -> bool:
-        whole = (" " + cut).encode()
-        return b"".join(map(self.bytes_a.__getitem__, a)) == whole == b"".join(map(self.bytes_b.__getitem__, b))
-
     def _align(self, cuts: list[str]) -> list[Aligned | None]:
-        """None where the tokens' bytes are not those of the text."""
-        return [align(a, b, self.sizes_a, self.sizes_b) if self._fits(c, a, b) else None for c, (a, b) in zip(cuts, self._tokens(cuts))]
+        """None where the tokens' bytes are not those of the text. Cuts are encoded together where each may follow the other."""
+        joined = [" ".join(cuts[k : k + TOGETHER]) for k in range(0, len(cuts), TOGETHER)]
+        encoded = self.a.encode_batch_fast([" " + j for j in joined], add_special_tokens=False)
+        fitting: list[tuple[list[int], list[int], list[str]]] = []
+        others: dict[str, Aligned | None] = {}
+        for k, (text, x, b) in enumerate(zip(joined, encoded, self.b.encode(joined, num_threads=1))):
+            a, group = x.ids, cuts[k * TOGETHER : (k + 1) * TOGETHER]
+            whole = (" " + text).encode()
+            if b"".join(map(self.bytes_a.__getitem__, a)) == whole == b"".join(map(self.bytes_b.__getitem__, b)):
+                fitting.append((a, b, group))
+            elif len(group) == 1:
+                others[group[0]] = None
+            else:
+                others.update((c, self._align([c])[0]) for c in group)
+        if fitting:
+            together = [c for _, _, group in fitting for c in group]
+            ends = list(accumulate(len(c.encode()) + 1 for c in together))
+            a, b = ([i for f in fitting for i in f[side]] for side in (0, 1))
+            others.update(zip(together, align(a, b, self.vocabularies, ends)))
+        return [others[c] for c in cuts]
 
     def texts(self, texts: list[str]) -> Iterator[list[Aligned] | None]:
         """The aligned cuts of each text (not empty), or None where its bytes are not those of the tokens."""
@@ -157,8 +193,10 @@ class Aligner:
         new = set().union(*split).difference(known)
         known.update({c: older[c] for c in new.intersection(older)})
         new = [c for c in new.difference(older) if len(c) <= SHORT]
-        for at in range(0, len(new), 4096):
-            known.update(zip(new[at : at + 4096], self._align(new[at : at + 4096])))
+        follows = [c for c in new if _LAST(c[-1:])]  # a blank may be put behind: see _CUT
+        for at in range(0, len(follows), 4096):
+            known.update(zip(follows[at : at + 4096], self._align(follows[at : at + 4096])))
+        known.update({c: self._align([c])[0] for c in new if c not in known})
         for cuts in split:
             parts = [known[c] if len(c) <= SHORT else self._align([c])[0] for c in cuts]
             yield None if None in parts else parts
@@ -176,16 +214,17 @@ def aligner_of(byte_level: str, pieces: str) -> Aligner:
 
 def measures_of(parts: list[Aligned]) -> tuple[tuple[int, int, int, int, str], np.ndarray, np.ndarray]:
     """Of a text's cuts: (n_a, n_b, n_groups, n_links, groups_sha256), its distinct pairs, and the links of each."""
-    pairs, uses = np.unique(np.frombuffer(b"".join([p.pairs for p in parts]), np.int64), return_counts=True)
+    pairs, uses = np.unique(np.frombuffer(b"".join([p[2] for p in parts]), np.int64), return_counts=True)
     heavy = [p.heavy for p in parts if p.heavy]
     if heavy:
         pairs, at = np.unique(np.concatenate([pairs, *(h[0] for h in heavy)]), return_inverse=True)
         uses = np.bincount(at, np.concatenate([uses, *(h[1] for h in heavy)]), len(pairs)).astype(np.int64)
     digest = hashlib.sha256()
     for k in range(0, len(parts), 100_000):
-        digest.update((";" if k else "").encode() + ";".join([p.written for p in parts[k : k + 100_000]]).encode())
-    sums = (sum(p.n_a for p in parts), sum(p.n_b for p in parts), sum(p.n_groups for p in parts), sum(p.n_links for p in parts))
-    return (*sums, digest.hexdigest()), pairs, uses
+        digest.update((";" if k else "").encode() + ";".join([p[1] for p in parts[k : k + 100_000]]).encode())
+    counts = sum([p[0] for p in parts])
+    n_a, n_b, n_groups = (counts >> shift & (1 << _FIELD) - 1 for shift in (2 * _FIELD, _FIELD, 0))
+    return (n_a, n_b, n_groups, int(uses.sum()), digest.hexdigest()), pairs, uses
 
 
 def gather(texts: DataFrame, byte_level: str, pieces: str, chunk_pairs: int = CHUNK_PAIRS) -> DataFrame:
