@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallybridge.functions.rules import MONEY
-from tallybridge.operators.checksum import digest_bucket, digest_sum, key_digest
+from tallybridge.operators.checksum import differing_keys, digest_bucket, digest_sum, key_digest
 from tallybridge.operators.compare import totals_by_side, union_all, within
 from tallybridge.operators.quarantine import LOADED, REASON, SOURCE, STATUS
 from tallybridge.plans.migration import EntityResult, Migration
@@ -159,6 +159,29 @@ def target_keys(result: EntityResult) -> DataFrame:
     )
 
 
+def key_differences(result: EntityResult) -> DataFrame:
+    """Keys that did not arrive as often as they were extracted, with ``surplus`` rows on the source side.
+
+    Goes down from the bucketed checksum: only buckets whose checksums differ are looked into, on both sides. Names of
+    buckets are two hex digits, so there are 256 at most. A lost key has a positive surplus, a doubled one a negative
+    surplus, and a changed key shows twice: as it was and as it arrived. Keys are given as text.
+    """
+    entity = result.entity
+    run = Migration(result.source.sparkSession, "", {entity.name: result})
+    failed = key_checksums(run, per_bucket=True).where("NOT passed").select("bucket").collect()
+    inside = digest_bucket(F.col("digest")).isin([r["bucket"] for r in failed])
+    extracted = [entity.field(k).key_text().alias(k) for k in entity.key_target]
+    arrived = [
+        F.when(F.col(STATUS) == LOADED, col(k).cast("string"))
+        .otherwise(entity.field(k).key_text(_quarantined(entity.field(k))))
+        .alias(k)
+        for k in entity.key_target
+    ]
+    source = result.source.withColumn("digest", _source_digest(entity)).where(inside).select(*extracted)
+    target = result.classified.withColumn("digest", _target_digest(entity)).where(inside).select(*arrived)
+    return differing_keys(source, target)
+
+
 def amount_by_currency(result: EntityResult, amount: str = "Amount") -> DataFrame:
     """Source amount per currency against loaded plus rejected amount, over all currencies seen.
 

@@ -4,7 +4,7 @@ Each view is declared once as output column -> Spark SQL expression. The declara
 the DataFrame functions and the ``CREATE OR REPLACE VIEW`` statements.
 
 Companies are translated by ``company_map``. :func:`build_views` counts its rows and broadcasts it
-while they are few; a larger one is joined by shuffle. In the created views the decision is
+while they are few; a larger one is joined by a shuffle that splits companies with many rows. In the created views the decision is
 Spark's, from the size of the stored table.
 """
 
@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallybridge.functions.rules import LOCAL_CURRENCY
+from tallybridge.operators.dimension import join_dimension
 
 COMPANY = "`$Company`"
 
@@ -126,7 +127,14 @@ def _project(rows: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     return rows.select(*[F.expr(e).alias(c) for c, e in columns.items()])
 
 
+def _mapped(base: str) -> str:
+    """Name under which a table may be given joined to the company map already."""
+    return f"{base} with company"
+
+
 def _with_company(tables: Tables, base: str) -> DataFrame:
+    if _mapped(base) in tables:
+        return tables[_mapped(base)]
     return tables[base].alias("s").join(
         tables["company_map"].alias("m"), F.expr(f"m.CompanyName = s.{COMPANY}")
     )
@@ -221,15 +229,30 @@ class LazyFrames(Mapping):
         return len(self._builders)
 
 
+def is_small(df: DataFrame, max_rows: int = MAP_ROWS) -> bool:
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = MAP_ROWS) -> DataFrame:
     """Hint ``df`` for broadcast if counting shows that it has at most ``max_rows`` rows."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    return F.broadcast(df) if is_small(df, max_rows) else df
+
+
+def _join_company(tables: Tables, base: str) -> DataFrame:
+    rows = tables[base]
+    return join_dimension(rows, tables["company_map"], COMPANY.strip("`"), "CompanyName", [rows.columns[0]])
 
 
-def build_views(tables: Tables) -> Mapping[str, DataFrame]:
-    """All views over the tables, by view name."""
+def build_views(tables: Tables, max_rows: int = MAP_ROWS) -> Mapping[str, DataFrame]:
+    """All views over the tables, by view name. A company map of more than ``max_rows`` rows is joined by
+    a shuffle in which companies with many rows are split (see ``operators.dimension``)."""
     sides = {name: partial(tables.__getitem__, name) for name in tables}
-    sides["company_map"] = lambda: broadcast_if_small(tables["company_map"])
+    if is_small(tables["company_map"], max_rows):
+        sides["company_map"] = lambda: F.broadcast(tables["company_map"])
+    else:
+        for view in (CUSTTABLE, CUSTTRANS, BANKACCOUNTTRANS, LEDGERTRANS):
+            if view.base in tables:
+                sides[_mapped(view.base)] = partial(_join_company, tables, view.base)
     measured = LazyFrames(sides)
     return LazyFrames({name: partial(view, measured) for name, view in VIEW_FUNCTIONS.items()})
 

@@ -57,6 +57,33 @@ def remove_folder(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Put a small text file in place by a rename, so that it is there whole or not at all."""
+    jvm = spark.sparkContext._jvm
+    target, fresh = (jvm.org.apache.hadoop.fs.Path(p) for p in (path, f"{path}.{uuid.uuid4().hex[:12]}"))
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = files.create(fresh)
+    out.write(bytearray(text.encode()))
+    out.close()
+    files.delete(target, False)
+    if not files.rename(fresh, target):
+        raise OSError(f"{path} could not be written")
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small text file's content, or None if there is none."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    if not target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target):
+        return None
+    return spark.read.text(path, wholetext=True).first()[0]
+
+
+def delete_file(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, False)
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Compute ``df`` once, keep it in the shared folder and cut its lineage."""
     shared_root(df.sparkSession)

@@ -8,13 +8,14 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallybridge import sinks
 from tallybridge.functions import rules
-from tallybridge.operators import profile
+from tallybridge.operators import changes, profile, profile_store
 from tallybridge.operators.compare import union_all
 from tallybridge.operators.quarantine import (
     REASON,
@@ -28,9 +29,9 @@ from tallybridge.operators.quarantine import (
 from tallybridge.plans import reconcile, view_checks, view_reports, views
 from tallybridge.plans.migration import EntityResult, Migration, migrate
 from tallybridge.plans.spec import col, load_spec, parse_spec
-from tallybridge.session import new_folder
+from tallybridge.session import materialise, new_folder
 from tallybridge.sources import exports as export_source
-from tallybridge.sources.extracts import land_folder, landing_counts, read_extract
+from tallybridge.sources.extracts import NULL_TOKENS, land_folder, landing_counts, read_extract
 from workloads.exports import (
     EXPORTS,
     OVERDUE_BEFORE,
@@ -492,6 +493,27 @@ def profile_approximate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return union_all(parts)
 
 
+@query("profile_merged")
+def profile_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Profiles of two deliveries of every table, stored and merged; counts are exact, estimates near the exact ones."""
+    folder = new_folder(spark, "profiles")
+    parts = []
+    for name, df in sorted(extracts(spark, sf_dir).items()):
+        early = F.pmod(F.xxhash64(SOURCE_ROW), F.lit(3)) == 0
+        for day, rows in (("1", df.filter(early)), ("2", df.filter(~early))):
+            profile_store.stored_profile(rows, name).write.parquet(f"{folder}/{name}/{day}")
+        stored = [spark.read.parquet(f"{folder}/{name}/{day}") for day in "12"]
+        merged = profile_store.read_profile(profile_store.merge_profiles(stored))
+        exact = profile.column_metrics(df, name).select("column", F.col("n_distinct").alias("exact"))
+        close = F.abs(F.col("n_distinct") - F.col("exact")) <= profile_store.DISTINCT_ERROR * F.col("exact")
+        parts.append(
+            merged.join(exact, "column").select(
+                "table", "column", "n_rows", "null_pct", "smallest", "largest", "n_spaces", "mixed_case", "n_bad_email", close.alias("close")
+            )
+        )
+    return union_all(parts)
+
+
 @query("profile_missing")
 def profile_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return union_all(
@@ -520,27 +542,110 @@ def profile_all_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- sources and sinks -------------------------------------------------------------------------
 
 
+def _as_text(df: DataFrame, columns: list[str]) -> Column:
+    """A row's columns as one text; what is null or empty is nothing between two separators."""
+    return F.concat_ws("|", *[F.coalesce(col(c).cast("string"), F.lit("")) for c in columns]).alias("cells")
+
+
 @query("csv_scan_nulls")
 def csv_scan_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers written as CSV with null tokens in the gaps, and read back."""
-    rows = extract(spark, sf_dir, "CUSTTABLE").drop(SOURCE_ROW)
+    """Every extract written as CSV with all null tokens in its gaps, and read back."""
     folder = new_folder(spark, "csv")
-    sinks.write_table(rows.fillna({"NAME": "N/A", "CURRENCY": "null"}), folder, "csv")
-    return read_extract(spark, folder, rows.columns)
+    tokens = F.array(*map(F.lit, NULL_TOKENS))
+    parts = []
+    for name, df in sorted(extracts(spark, sf_dir).items()):
+        columns = [c for c in df.columns if c != SOURCE_ROW]
+        filled = {
+            c: F.coalesce(col(c), F.element_at(tokens, (F.pmod(F.col(SOURCE_ROW) + i, F.lit(len(NULL_TOKENS))) + 1).cast("int")))
+            for i, c in enumerate(columns)
+        }
+        sinks.write_table(df.withColumns(filled).select(*columns), f"{folder}/{name}", "csv")
+        back = read_extract(spark, f"{folder}/{name}", columns)
+        nulls = sum((col(c).isNull().cast("int") for c in columns), F.lit(0)).alias("nulls")
+        parts.append(back.select(F.lit(name).alias("table"), nulls, _as_text(back, columns)))
+    return union_all(parts)
 
 
 @query("sink_roundtrip")
 def sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Loaded customers and rejects written as CSV and read back, blanks included."""
+    """Loaded rows and rejects of all entities with all their columns, written as CSV and read back."""
     folder = new_folder(spark, "results")
-    sinks.write_results(
-        migrated(spark, sf_dir, "customer"), f"{folder}/target", f"{folder}/rejects", "csv"
+    run = migrated(spark, sf_dir)
+    sinks.write_results(run, f"{folder}/target", f"{folder}/rejects", "csv")
+    parts = []
+    for name, result in run.results.items():
+        for side, kept, place in (("loaded", result.loaded, "target"), ("rejected", result.rejects, "rejects")):
+            columns = [c for c in kept.columns if c != REASON]
+            back = read_extract(spark, f"{folder}/{place}/{name}", kept.columns, null_tokens=())
+            reason = col(REASON) if side == "rejected" else F.lit("")
+            parts.append(
+                back.select(F.lit(name).alias("entity"), F.lit(side).alias("side"), reason.alias(REASON), _as_text(back, columns))
+            )
+    return union_all(parts)
+
+
+LEDGER_KEYS = ["EntryNo-1", "$Company"]
+ADDED_ENTRY = 10**12
+
+
+def _ledger_versions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Yesterday's customer ledger, and today's with rows deleted, corrected and added."""
+    old = export(spark, sf_dir, "CustLedgerEntry-21")
+    number, text = F.col("`EntryNo-1`"), F.col("`Description-7`")
+    corrected = F.when(number % 89 == 3, F.concat(text, F.lit(" (corrected)"))).otherwise(text)
+    kept = old.filter(number % 97 != 5).withColumn("Description-7", corrected)
+    added = old.filter(number % 101 == 7).withColumn("EntryNo-1", number + ADDED_ENTRY)
+    return old, kept.unionByName(added)
+
+
+def _ledger_rows(df: DataFrame, *more: str) -> DataFrame:
+    return df.select(
+        F.col("`EntryNo-1`").alias("entry_no"), F.col("`$Company`").alias("company"), F.col("`Description-7`").alias("description"), *more
     )
-    loaded = read_extract(spark, f"{folder}/target/customer")
-    rejects = read_extract(spark, f"{folder}/rejects/customer")
-    return loaded.select(
-        F.lit("loaded").alias("side"), F.col("`No.`").alias("account"), F.lit("").alias(REASON)
-    ).union(rejects.select(F.lit("rejected"), "ACCOUNTNUM", REASON))
+
+
+@query("change_set")
+def change_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What changed between two exports of the customer ledger: planted deletions, corrections and additions."""
+    old, new = _ledger_versions(spark, sf_dir)
+    return _ledger_rows(changes.change_set(old, new, LEDGER_KEYS), changes.CHANGE)
+
+
+@query("incremental_load")
+def incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Yesterday's ledger stored, today's changes loaded into it; the table as it is then."""
+    old, new = _ledger_versions(spark, sf_dir)
+    path = new_folder(spark, "ledger")
+    changes.write_keyed(old, path, LEDGER_KEYS)
+    found = materialise(changes.change_set(changes.read_keyed(spark, path), new, LEDGER_KEYS))
+    changes.load_changes(spark, path, found, LEDGER_KEYS)
+    return _ledger_rows(changes.read_keyed(spark, path))
+
+
+@query("key_differences")
+def key_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items of which some are lost, doubled or renamed after loading: exactly their keys."""
+    result = migrated(spark, sf_dir, "item")["item"]
+    no = F.col("`No.`")
+    kept = result.classified.filter(~no.endswith("17"))
+    renamed = kept.withColumn("No.", F.when(no.endswith("39"), F.concat(no, F.lit("X"))).otherwise(no))
+    tampered = renamed.unionByName(renamed.filter(no.endswith("28")))
+    found = reconcile.key_differences(replace(result, classified=tampered))
+    return found.select(no.alias("no"), "surplus")
+
+
+@query("resumed_migration")
+def resumed_migration(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run that breaks at the invoices and is taken up again: what it had committed is kept."""
+    sources = dict(extracts(spark, sf_dir).items())
+    folder = new_folder(spark, "migration")
+    broken = {**sources, "CUSTTRANSOPEN": sources["CUSTTRANSOPEN"].drop("AMOUNTCUR")}
+    try:
+        migrate(spark, broken, folder=folder, resume=True)
+    except KeyError:
+        pass
+    run = migrate(spark, sources, folder=folder, resume=True)
+    return reconcile.entity_summary(run).withColumn("resumed", F.col("entity").isin(*run.resumed)).drop("missing_currency")
 
 
 @query("export_roundtrip")
@@ -664,6 +769,12 @@ for _name in views.VIEW_FUNCTIONS:
     _view_query(f"view_{_name.lower()}", _name)
 
 
+@query("view_ledgertrans_shuffled")
+def view_ledgertrans_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger view with a company map that is taken for too large to broadcast."""
+    return doubles(views.build_views(exports(spark, sf_dir), max_rows=0)["LEDGERTRANS"])
+
+
 @query("company_map")
 def company_map_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The company map with the number of customers that each company brings."""
