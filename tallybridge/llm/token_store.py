@@ -26,12 +26,13 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tallybridge.llm.common import SLICE, pa_type, staged, table
+from tallybridge.llm.common import pa_type, staged, table
 from tallybridge.session import new_folder
 
 MAGIC = b"TOKS"
@@ -44,8 +45,10 @@ INDEX_KEYS = 32_768
 #: Keys of a bucket on average.
 BUCKET_KEYS = 4
 END_ID = 0
-#: Words whose ids a task remembers; beyond, it starts afresh.
-REMEMBERED = 700_000
+#: Cuts whose ids a worker takes up before it forgets those that it has not met since; new cuts that are encoded as one text.
+REMEMBERED, TOGETHER = 400_000, 64
+#: Texts are encoded together up to so many characters.
+TEXTS_CHARS = 4 << 20
 #: Longer texts are encoded in pieces of about so many characters.
 PIECE_CHARS = 1 << 20
 
@@ -59,8 +62,8 @@ class Encoder:
     """Ids of whole texts by a tokenizers file, equal to encoding each text at once.
 
     The file's pre-tokenizer starts a new token at a blank that follows anything but white space. So a text may be
-    cut there, and the ids of each cut are looked up among those seen before: natural text repeats its words. Cuts
-    that are new in a number of texts are encoded together.
+    cut there, and natural text repeats its cuts: the cuts of many texts are numbered in Arrow, the ids of each distinct one are looked
+    up among those seen before, and cuts that are new are encoded together, one behind the other.
     """
 
     def __init__(self, path: str):
@@ -68,33 +71,86 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.kind = np.dtype("<u2" if len(vocabulary) <= 1 << 16 else "<u4")
         self.code = "H" if self.kind.itemsize == 2 else "I"
         self.end = np.array([END_ID], self.kind).tobytes()
+        #: Bytes of a token: each character of its name stands for one.
+        self.sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, i in vocabulary.items():
+            self.sizes[i] = len(token)
         self.known: dict[str, bytes | None] = {}
+        self.older: dict[str, bytes | None] = {}
 
     def _raw(self, texts: list[str]) -> list[bytes]:
         code = self.code
         return [array(code, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _pieces(self, texts: list[str]) -> list[bytes]:
-        split = [t.split(" ") for t in texts]
-        heads = [cuts.pop(0) for cuts in split]
-        known = self.known
-        if len(known) > REMEMBERED:
-            known.clear()
-        new = set().union(*split).difference(known)
-        whole = [c for c in new if c and not c[-1].isspace()]
-        known.update(dict.fromkeys(new))  # None: white space before a blank, where no token starts
-        for at in range(0, len(whole), 4096):
-            known.update(zip(whole[at : at + 4096], self._raw([" " + c for c in whole[at : at + 4096]])))
-        out = []
-        for text, head, first, cuts in zip(texts, heads, self._raw(heads), split):
-            parts = [first, *map(known.__getitem__, cuts)]
-            if None in parts or (head and cuts and head[-1].isspace()):
-                out += self._raw([text])
+    def _cuts(self, cuts: list[str]) -> list[bytes]:
+        """Ids of cuts with a blank before each, none of which is empty or ends in white space."""
+        joined = ["".join([" " + c for c in cuts[k : k + TOGETHER]]) for k in range(0, len(cuts), TOGETHER)]
+        out: list[bytes] = []
+        for k, encoded in enumerate(self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)):
+            ids = np.array(encoded.ids, self.kind)
+            group = cuts[k * TOGETHER : (k + 1) * TOGETHER]
+            ends = np.cumsum([len(c.encode()) + 1 for c in group])
+            reached = np.cumsum(self.sizes[ids])
+            to = np.searchsorted(reached, ends)
+            if len(ids) and to[-1] < len(ids) and (reached[to] == ends).all():
+                raw, width = ids.tobytes(), self.kind.itemsize
+                bounds = [0, *((to + 1) * width).tolist()]
+                out += [raw[x:y] for x, y in zip(bounds, bounds[1:])]
             else:
-                out.append(b"".join(parts))
+                out += self._raw([" " + c for c in group])
+        return out
+
+    def _look_up(self, cuts: list[str]) -> list[bytes | None]:
+        """Ids of distinct cuts; None for one that is empty or ends in white space, behind which no token starts."""
+        if len(self.known) > REMEMBERED:
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        new = []
+        for c in cuts:
+            if c not in known:
+                if c in older:
+                    known[c] = older[c]
+                elif c and not c[-1].isspace():
+                    new.append(c)
+                else:
+                    known[c] = None
+        for at in range(0, len(new), 1 << 16):
+            known.update(zip(new[at : at + (1 << 16)], self._cuts(new[at : at + (1 << 16)])))
+        return list(map(known.__getitem__, cuts))
+
+    def _pieces(self, texts: list[str]) -> list[bytes]:
+        if not texts:
+            return []
+        split = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        offsets = split.offsets.to_numpy()
+        offsets, flat = offsets - offsets[0], split.flatten()
+        heads = offsets[:-1]
+        numbered = flat.dictionary_encode()
+        number = numbered.indices.to_numpy().astype(np.int64)
+        found = self._look_up(numbered.dictionary.to_pylist())
+        first = self._raw(flat.take(pa.array(heads)).to_pylist())
+        # ids of all distinct cuts, then those of the heads, which have no blank before them
+        width = self.kind.itemsize
+        sizes = np.array([len(x) // width if x else 0 for x in (*found, *first)], np.int64)
+        begins = np.cumsum(sizes) - sizes
+        ids = np.frombuffer(b"".join([x or b"" for x in (*found, *first)]), self.kind)
+        unfit = np.array([x is None for x in found], bool)[number]
+        unfit[heads] = False
+        number[heads] = len(found) + np.arange(len(heads))
+        n = sizes[number]
+        to = np.concatenate([[0], np.cumsum(n)])
+        raw = ids[np.arange(to[-1]) + np.repeat(begins[number] - to[:-1], n)].tobytes()
+        bounds = (to[offsets] * width).tolist()
+        unfit = np.add.reduceat(unfit, heads).astype(bool)
+        out = [raw[x:y] for x, y in zip(bounds, bounds[1:])]
+        for k, text in enumerate(texts):
+            at = text.find(" ")
+            if unfit[k] or (at > 0 and text[at - 1].isspace()):
+                out[k] = self._raw([text])[0]
         return out
 
     def encode(self, texts: list[str]) -> Iterator[Iterator[bytes]]:
@@ -227,10 +283,17 @@ class IndexShard:
 # ---------------------------------------------------------------- files
 
 
+def _qualified(spark: SparkSession, folder: str) -> str:
+    """The folder with its file system, as Spark resolves it: executors must not take it for one of their own disks."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return files.makeQualified(path).toString()
+
+
 def _files(root: str) -> tuple[pafs.FileSystem, str]:
-    if "://" in root or root.startswith("file:"):
-        return pafs.FileSystem.from_uri(root)
-    return pafs.LocalFileSystem(), root
+    if root.startswith("file:"):
+        return pafs.LocalFileSystem(), "/" + root.removeprefix("file:").lstrip("/")
+    return pafs.FileSystem.from_uri(root)
 
 
 class _ShardWriter:
@@ -251,6 +314,17 @@ def _hashes(df: DataFrame) -> DataFrame:
     return df.withColumns({"first": F.xxhash64("doc_id", "copy"), "second": F.xxhash64(F.lit(7), "copy", "doc_id")})
 
 
+def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch of (doc_id, text) in parts of about ``TEXTS_CHARS``."""
+    ends = np.cumsum(pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < len(ends):
+        before = ends[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, before + TEXTS_CHARS, "right")))
+        yield batch.slice(at, to - at)
+        at = to
+
+
 def write_store(docs: DataFrame, tokenizer: str, root: str, text: str = "text", shard_ids: int = SHARD_IDS, index_keys: int = INDEX_KEYS) -> None:
     """Encode the whole texts of ``docs`` and write a store into the empty folder ``root``.
 
@@ -259,6 +333,7 @@ def write_store(docs: DataFrame, tokenizer: str, root: str, text: str = "text",
     table makes a store without shards.
     """
     spark = docs.sparkSession
+    root = _qualified(spark, root)
     kind = docs.schema["doc_id"].dataType
     id_type = pa_type(kind)
     rows = docs.select("doc_id", F.coalesce(F.col(text), F.lit("")).alias("text"))
@@ -271,8 +346,7 @@ def write_store(docs: DataFrame, tokenizer: str, root: str, text: str = "text",
         shard = None
         last, copy = object(), 0
         for batch in batches:
-            for at in range(0, batch.num_rows, SLICE):
-                part = batch.slice(at, SLICE)
+            for part in _parts(batch):
                 out = []
                 texts = part.column(1).to_pylist()
                 for doc_id, pieces in zip(part.column(0).to_pylist(), encoder.encode(texts)):
@@ -344,6 +418,7 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Table]]:
 def locate(keys: DataFrame, root: str) -> DataFrame:
     """(doc_id, copy, shard, offset, n) of the keys (doc_id, copy) that the store holds, by the index alone."""
     spark = keys.sparkSession
+    root = _qualified(spark, root)
     files = spark.read.schema("part int, file string, parts int").parquet(f"{root}/index-catalog")
     number = files.agg(F.max("parts")).first()[0]
     kind = keys.schema["doc_id"].dataType
@@ -374,6 +449,7 @@ def read_store(keys: DataFrame, root: str, outputs: str, use: Callable[[Iterator
     from pyspark.sql import types as T
 
     spark = keys.sparkSession
+    root = _qualified(spark, root)
     catalog = spark.read.parquet(f"{root}/catalog").select(F.col("shard").cast("long").alias("shard"), "file", "start")
     rows = locate(keys, root).join(catalog, "shard")
     rows = rows.select("doc_id", "copy", "file", "offset", (F.col("start") + F.col("offset")).alias("start"), "n")

@@ -43,6 +43,19 @@ def test_remembered_words_are_bounded(monkeypatch):
         assert ids_of(b"".join(next(encoder.encode([text])))) == plain_ids(text)
 
 
+def test_many_texts_at_once():
+    rng = random.Random(2)
+    words = ["a", "the", "Straße", "日本", "x" * 90, "", "tab\t", "<|endoftext|>", "it's", "\n", "é", "12", "--"] + [f"new{i}" for i in range(200)]
+    texts = [" ".join(rng.choices(words, k=rng.randint(0, 60))) for _ in range(300)] + ["", " ", "  ", " a", "a "]
+    assert [ids_of(b"".join(ids)) for ids in K.Encoder(PATH).encode(texts)] == [plain_ids(t) for t in texts]
+    assert list(K.Encoder(PATH).encode([])) == []
+
+
+def test_folders_keep_their_file_system(spark, tmp_path):
+    root = K._qualified(spark, str(tmp_path))
+    assert root == f"file:{tmp_path}" and K._files(root)[1] == K._files(f"file://{tmp_path}")[1] == str(tmp_path)
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 3, 17, 1000, 20_000])
 def test_index_is_minimal_and_perfect(n):
     rng = np.random.default_rng(n)
