@@ -5,13 +5,20 @@ joined with these seeds, so that only documents and items that share a run are t
 first, matches of words that overlap no match marked before, whatever their order in the document. An item
 whose words are covered to ``COVERAGE`` or more by tiles in a document contaminates it.
 
-Words are runs of letters and digits with case ignored; every ASCII mark and white space separates words.
+Words are runs of letters and digits with case ignored; white space, marks and symbols of any script separate them. Compatible
+forms of a character (full-width letters, ligatures) are one, and characters that only steer line breaks are left out. In
+scripts that are written without blanks each character is a word.
 """
 
 from __future__ import annotations
 
+import re
+import sys
+import unicodedata
 from collections import Counter, defaultdict
 from collections.abc import Callable, Iterator
+from functools import cache
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -34,9 +41,42 @@ _BREAK[48:58] = _BREAK[97:123] = _BREAK[128:] = False
 _BLANK = bytes(32 if b else i for i, b in enumerate(_BREAK))
 
 
+# Scripts without blanks between words (Thai, Lao, Tibetan, Myanmar, Khmer, kana, Han), by code points.
+_UNSPACED = (
+    (0x0E00, 0x0EFF), (0x0F00, 0x0FFF), (0x1000, 0x109F), (0x1780, 0x17FF),
+    (0x3040, 0x30FF), (0x31F0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF),
+)
+# Soft hyphen, joiners, byte order mark and variation selectors.
+_INVISIBLE = "\u00ad\u200c\u200d\u2060\ufeff\ufe00-\ufe0f"
+
+
+def _separators() -> str:
+    """A character class of everything beyond ASCII that is a separator, a mark, a symbol or a control."""
+    ranges: list[list[int]] = []
+    for point in range(128, sys.maxunicode + 1):
+        if unicodedata.category(chr(point))[0] in "ZPSC" and not 0xD800 <= point <= 0xDFFF:
+            if ranges and ranges[-1][1] == point - 1:
+                ranges[-1][1] = point
+            else:
+                ranges.append([point, point])
+    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in ranges)
+
+
+@cache
+def _marks() -> tuple[re.Pattern, re.Pattern, re.Pattern]:
+    """Patterns for characters to leave out, to take for blanks, and to take for words of their own."""
+    unspaced = "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in _UNSPACED)
+    return re.compile(f"[{_INVISIBLE}]+"), re.compile(f"[{_separators()}]+"), re.compile(f"([{unspaced}])")
+
+
 def folded(text: str | None) -> bytes:
     """Lower-cased text with everything but letters and digits blank."""
-    return (text or "").lower().encode("utf-8", "surrogatepass").translate(_BLANK)
+    text = text or ""
+    if not text.isascii():
+        invisible, separators, unspaced = _marks()
+        text = unicodedata.normalize("NFKC", text)
+        text = unspaced.sub(r" \1 ", separators.sub(" ", invisible.sub("", text)))
+    return text.lower().encode("utf-8", "surrogatepass").translate(_BLANK)
 
 
 def _powers(base: np.uint64, n: int) -> np.ndarray:
@@ -77,29 +117,41 @@ def tiles(pattern: list, text: list, least: int) -> list[tuple[int, int, int]]:
     """Greedy tiles (position in ``pattern``, in ``text``, length) of at least ``least`` tokens.
 
     The longest maximal matches of unmarked tokens are marked first; ties go to the earliest in the pattern, then
-    in the text. Matches are extended token by token, so equal hashes alone never count.
+    in the text. Matches are extended token by token, so equal hashes alone never count. Every maximal match is found
+    once; one that meets marked tokens when its turn comes is put back as what is left of it.
     """
     used_p, used_t, out = bytearray(len(pattern)), bytearray(len(text)), []
     seeds = defaultdict(list)
     for i in range(len(text) - least + 1):
         seeds[tuple(text[i : i + least])].append(i)
-    while True:
-        best, found = least, []
-        for p in range(len(pattern) - least + 1):
-            for t in seeds.get(tuple(pattern[p : p + least]), ()):
-                n = 0
-                while p + n < len(pattern) and t + n < len(text) and pattern[p + n] == text[t + n] and not used_p[p + n] and not used_t[t + n]:
-                    n += 1
-                if n > best:
-                    best, found = n, []
-                if n == best:
-                    found.append((p, t))
-        if not found:
-            return out
-        for p, t in found:
-            if not any(used_p[p : p + best]) and not any(used_t[t : t + best]):
-                used_p[p : p + best] = used_t[t : t + best] = b"\1" * best
-                out.append((p, t, best))
+    matches = []
+    for p in range(len(pattern) - least + 1):
+        before = pattern[p - 1] if p else None
+        for t in seeds.get(tuple(pattern[p : p + least]), ()):
+            if p and t and text[t - 1] == before:
+                continue  # part of the match that begins one token earlier
+            n, most = least, min(len(pattern) - p, len(text) - t)
+            while n < most and pattern[p + n] == text[t + n]:
+                n += 1
+            matches.append((-n, p, t))
+    heapify(matches)
+    while matches:
+        n, p, t = heappop(matches)
+        n = -n
+        free = [not (used_p[p + k] or used_t[t + k]) for k in range(n)]
+        if all(free):
+            used_p[p : p + n] = used_t[t : t + n] = b"\1" * n
+            out.append((p, t, n))
+            continue
+        at = 0
+        while at < n:
+            end = at
+            while end < n and free[end]:
+                end += 1
+            if end - at >= least:
+                heappush(matches, (at - end, p + at, t + at))
+            at = end + 1
+    return out
 
 
 def _blocks(items: DataFrame, chars: int) -> Iterator[list[tuple[int, str]]]:
@@ -230,8 +282,8 @@ def contaminated(
     repeated results. Documents are read once for each block of items.
     """
     key = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {key}, item_id bigint, item_words int, covered_words int, tiles int, coverage double"
-    kind = pa_type(docs.schema["doc_id"].dataType)
+    schema = f"doc_id {key}, item_id {items.schema['item_id'].dataType.simpleString()}, item_words int, covered_words int, tiles int, coverage double"
+    kind, item_kind = pa_type(docs.schema["doc_id"].dataType), pa_type(items.schema["item_id"].dataType)
     out = docs.sparkSession.createDataFrame([], schema)
     for block in _blocks(items, block_chars):
         matcher = docs.sparkSession.sparkContext.broadcast(Matcher(block, seed, coverage))  # bounded by block_chars
@@ -248,7 +300,7 @@ def contaminated(
                         for k, covered, n in found
                     ]
                     if rows:
-                        kinds = [kind, pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.float64()]
+                        kinds = [kind, item_kind, pa.int32(), pa.int32(), pa.int32(), pa.float64()]
                         names = ["doc_id", "item_id", "item_words", "covered_words", "tiles", "coverage"]
                         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
 

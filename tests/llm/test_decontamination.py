@@ -1,5 +1,6 @@
 import random
 import re
+import time
 from collections import defaultdict
 
 import pytest
@@ -83,6 +84,45 @@ def test_copies_reordered_passages_and_marks(spark, documents):
     assert got[8, 70]["covered_words"] == 20
 
 
+def test_copies_with_marks_of_any_script(spark, documents):
+    words = ITEM.split()
+    chinese = "春眠不觉晓处处闻啼鸟夜来风雨声花落知多少"
+    rows = [
+        (1, "\u00a0".join(words)),
+        (2, "\u2014".join(words)),
+        (3, "\u201c" + "\u201d \u201c".join(words) + "\u201d"),
+        (4, "\u3000\u2028".join(w.upper() for w in words)),
+        (5, "".join(chr(ord(c) + 0xFEE0) if c.isalpha() else " " for c in ITEM)),  # full width
+        (6, " ".join(w[:2] + "\u00ad" + w[2:] for w in words)),  # soft hyphens
+        (7, "\u200b".join(words)),
+        (8, "前文。" + chinese + "后文"),
+        (9, "，".join(chinese)),
+        (10, "天地玄黄宇宙洪荒日月盈昃辰宿列张"),
+        (11, " ".join("\u00e9" + w for w in words)),
+    ]
+    items = spark.createDataFrame([("greek", ITEM), ("poem", chinese), (None, "r\u00e9sum\u00e9 na\u00efve fa\u00e7ade d\u00e9j\u00e0 vu caf\u00e9")], "item_id string, text string")
+    nfd = "re\u0301sume\u0301 nai\u0308ve fac\u0327ade de\u0301ja\u0300 vu cafe\u0301"
+    got = {(r["doc_id"], r["item_id"]) for r in D.contaminated(documents([*rows, (12, nfd)]), items).collect()}
+    assert got == {(i, "greek") for i in range(1, 8)} | {(8, "poem"), (9, "poem"), (12, None)}
+    left = D.remove_contaminated(documents(rows), items)
+    assert {r["doc_id"] for r in left.collect()} == {10, 11}
+
+
+def test_letters_and_digits_are_kept():
+    assert D.folded("Grün, ñandú №5 … «x» हिन्दी 🙂ok").split() == "grün ñandú no5 x हिन्दी ok".encode().split()
+    assert D.folded("日本語abc").split() == ["日".encode(), "本".encode(), "語".encode(), b"abc"]
+
+
+def test_a_megabyte_of_one_word_is_tiled_in_time():
+    begin = time.time()
+    item = ["word"] * 72
+    text = ["word"] * 200_000
+    found = D.tiles(item, text, 5)
+    assert found == [(0, 0, 72)] and time.time() - begin < 20
+    matcher = D.Matcher([(1, " ".join(item))], D.SEED, D.COVERAGE)
+    assert list(matcher.of([" ".join(text)])) == [[(0, 72, 1)]]
+
+
 @pytest.mark.parametrize("piece, block", [(1 << 20, 4_000_000), (300, 200)])
 def test_against_brute_force(spark, sf_dir, monkeypatch, piece, block):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
