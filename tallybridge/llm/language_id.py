@@ -36,6 +36,11 @@ FAMILY_OF = {code: family for family, codes in FAMILIES.items() for code in code
 DIMENSIONS = 8192
 #: At most so many labelled texts of each language are learned from (a documented bound of the classifier's sample).
 PER_LANGUAGE = 500
+#: A family's side of a duel has at most so many times that number of texts, dealt evenly to its languages.
+FAMILY_SHARE = 4
+#: At most so many labels are learned, those with the most different texts: duels grow with their square, and 64 labels
+#: make a model of 66 MB at most, which is what is collected and broadcast.
+MAX_LABELS = 64
 UNDETERMINED = "und"
 
 _FOLDED = np.full(256, 32, np.uint8)
@@ -63,29 +68,32 @@ def features_of(text: str) -> np.ndarray:
     return x / max(np.sqrt((x * x).sum()), 1e-9)
 
 
-def fit_duel(x: np.ndarray, y: np.ndarray, c: float = 10.0, epochs: int = 30) -> tuple[np.ndarray, float, float, float]:
+def fit_duel(at: list[np.ndarray], x: list[np.ndarray], y: np.ndarray, c: float = 10.0, epochs: int = 30) -> tuple[np.ndarray, float, float, float]:
     """Linear SVM with squared hinge loss by dual coordinate descent, classes weighted alike; then Platt's sigmoid.
 
-    Returns weights, intercept, slope and offset: the chance of class +1 is sigmoid(slope * margin + offset).
+    Row ``i`` has the values ``x[i]`` in the places ``at[i]``, and is held as that. Returns weights, intercept, slope and offset: the
+    chance of class +1 is sigmoid(slope * margin + offset).
     """
-    x = np.hstack([x, np.ones((len(x), 1))])
+    at = [np.append(i, DIMENSIONS) for i in at]  # the intercept
+    x = [np.append(v, 1.0).astype(float) for v in x]
     share = {s: max(1, (y == s).sum()) / len(y) for s in (-1, 1)}
     diagonal = np.array([share[int(s)] / c for s in y])
-    squares = (x * x).sum(1) + diagonal
-    w, alpha = np.zeros(x.shape[1]), np.zeros(len(x))
+    squares = np.array([(v * v).sum() for v in x]) + diagonal
+    w, alpha = np.zeros(DIMENSIONS + 1), np.zeros(len(x))
     order = np.random.default_rng(7)
     for _ in range(epochs):
         moved = 0.0
         for i in order.permutation(len(x)):
-            step = (1 - y[i] * (x[i] @ w) - diagonal[i] * alpha[i]) / squares[i]
+            step = (1 - y[i] * (x[i] @ w[at[i]]) - diagonal[i] * alpha[i]) / squares[i]
             new = max(0.0, alpha[i] + step)
             if new != alpha[i]:
-                w += (new - alpha[i]) * y[i] * x[i]
+                w[at[i]] += (new - alpha[i]) * y[i] * x[i]
                 moved = max(moved, abs(new - alpha[i]))
                 alpha[i] = new
         if moved < 1e-3:
             break
-    margin, target = x @ w, np.where(y > 0, (max(1, (y > 0).sum()) + 1) / (max(1, (y > 0).sum()) + 2), 1 / ((y < 0).sum() + 2))
+    margin = np.array([v @ w[i] for i, v in zip(at, x)])
+    target = np.where(y > 0, (max(1, (y > 0).sum()) + 1) / (max(1, (y > 0).sum()) + 2), 1 / ((y < 0).sum() + 2))
     slope, offset = 1.0, 0.0
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(slope * margin + offset, -30, 30)))
@@ -99,14 +107,17 @@ def fit_duel(x: np.ndarray, y: np.ndarray, c: float = 10.0, epochs: int = 30) ->
     return w[:-1], float(w[-1]), max(float(slope), 0.1), float(offset)
 
 
-def sampled(rows: DataFrame, per_language: int) -> tuple[list[str], DataFrame]:
-    """All labels of ``rows`` (text, lang), and at most ``per_language`` different texts of each, at least one.
+def sampled(rows: DataFrame, per_language: int, max_labels: int = MAX_LABELS) -> tuple[list[str], DataFrame]:
+    """The labels of ``rows`` (text, lang) that are learned, and (lang, text, rank) of at most ``per_language`` different
+    texts of each, at least one.
 
-    Copies of a text under a label count once. Texts are picked by a hash; they are read again only for the hashes picked.
+    Copies of a text under a label count once. Texts are picked by a hash; they are read again only for the hashes picked. Of
+    more than ``max_labels`` labels those with the most different texts are taken, ties in the order of their names.
     """
     keys = rows.select("lang", F.xxhash64("text").alias("h")).distinct()
     keys = staged(keys.withColumn("pick", F.pmod("h", F.lit(1 << 30)) / F.lit(float(1 << 30))), "labelled-texts")
     sizes = keys.groupBy("lang").agg(F.count("*").alias("n"), F.min("pick").alias("least"))
+    sizes = staged(sizes.orderBy(F.desc("n"), "lang").limit(max_labels), "labels")
     langs = sorted(r["lang"] for r in sizes.collect())
     order = Window.partitionBy("lang").orderBy("pick", "h")
     picked = (
@@ -114,21 +125,22 @@ def sampled(rows: DataFrame, per_language: int) -> tuple[list[str], DataFrame]:
         .where((F.col("pick") * F.col("n") < 1.5 * per_language + 20) | (F.col("pick") == F.col("least")))
         .withColumn("rank", F.row_number().over(order))
         .where(F.col("rank") <= per_language)
-        .select("lang", "h")
+        .select("lang", "h", "rank")
     )
     rows = rows.withColumn("h", F.xxhash64("text")).join(F.broadcast(picked), ["lang", "h"])
-    return langs, rows.groupBy("lang", "h").agg(F.min("text").alias("text")).select("lang", "text")
+    return langs, rows.groupBy("lang", "h").agg(F.min("text").alias("text"), F.min("rank").alias("rank")).drop("h")
 
 
-def learn(docs: DataFrame, text: str = "text", lang: str = "lang", per_language: int = PER_LANGUAGE) -> dict:
+def learn(docs: DataFrame, text: str = "text", lang: str = "lang", per_language: int = PER_LANGUAGE, max_labels: int = MAX_LABELS) -> dict:
     """Learn the duels from labelled rows; rows without text or label are passed over.
 
-    The sample is at most ``per_language`` different texts of each label, picked by a hash of the text. Each duel
-    is fitted by a task of its own. The model that comes back is bounded by the number of labels.
+    The sample is at most ``per_language`` different texts of each label, picked by a hash of the text; a duel between
+    families has at most ``FAMILY_SHARE`` times as many of each. Each duel is fitted by a task of its own. Labels beyond ``max_labels``
+    are not learned, so a column of many labels neither ends the job nor outgrows the driver.
     """
     rows = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang"))
     rows = rows.where(F.col("text").rlike(r"\p{L}") & F.col("lang").isNotNull())
-    langs, sample = sampled(rows, per_language)
+    langs, sample = sampled(rows, per_language, max_labels)
     model = {"langs": langs, "families": {}, "duels": {}}
     for code in langs:
         model["families"].setdefault(FAMILY_OF.get(code, code), []).append(code)
@@ -151,20 +163,19 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", per_language:
         for kind, a, b in duels:
             name = family if kind == "family" else code
             if name in (a, b):
-                sides.append((code, json.dumps([kind, a, b]), 1 if name == a else -1))
+                most = per_language if kind == "lang" else -(-FAMILY_SHARE * per_language // len(model["families"][family]))
+                sides.append((code, json.dumps([kind, a, b]), 1 if name == a else -1, most))
     spark = docs.sparkSession
-    sides = spark.createDataFrame(sides, "lang string, duel string, y int")
-    seen = map_text(sample, "text", "at array<int>, x array<float>", features, carry=["lang"])
+    sides = spark.createDataFrame(sides, "lang string, duel string, y int, most int")
+    seen = map_text(sample, "text", "at array<int>, x array<float>", features, carry=["lang", "rank"])
 
     def fit(rows: pd.DataFrame) -> pd.DataFrame:
-        x = np.zeros((len(rows), DIMENSIONS))
-        for i, (at, values) in enumerate(zip(rows["at"], rows["x"])):
-            x[i, np.asarray(at)] = values
-        w, b, slope, offset = fit_duel(x, rows["y"].to_numpy())
+        w, b, slope, offset = fit_duel(list(rows["at"]), list(rows["x"]), rows["y"].to_numpy())
         return pd.DataFrame([{"duel": rows["duel"].iloc[0], "w": w.astype(np.float32), "b": b, "slope": slope, "offset": offset}])
 
     fitted = (
         seen.join(F.broadcast(sides), "lang")  # a row for each label and duel
+        .where("rank <= most")
         .select("duel", "y", "at", "x")
         .groupBy("duel")
         .applyInPandas(fit, "duel string, w array<float>, b double, slope double, offset double")
@@ -202,7 +213,7 @@ def _shares(x: np.ndarray, kind: str, names: list[str], duels: dict) -> np.ndarr
 def judge_of(spark: SparkSession, model: dict) -> Callable:
     """A factory, for use in tasks, of a function from a text to its label and score."""
     families = sorted(model["families"])
-    shared = spark.sparkContext.broadcast(model)  # bounded by the number of labels
+    shared = spark.sparkContext.broadcast(model)  # bounded by MAX_LABELS
 
     def make() -> Callable:
         import regex

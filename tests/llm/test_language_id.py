@@ -120,3 +120,41 @@ def test_labels_of_copies_are_predicted(spark, documents):
     model = L.learn(documents([(i, t, c) for i, (t, c) in enumerate(pairs)]), per_language=20)
     got = {r["lang"]: r["lang_pred"] for r in L.predict(documents([(i, t, c) for i, (t, c) in enumerate(dict(pairs).items())]), model).collect()}
     assert got == {"lt": "lt", "lv": "lv"}
+
+
+def test_many_labels_have_a_bounded_model(spark, documents):
+    """A dirty column of labels: those with the most texts are learned, all documents are predicted."""
+    rng = random.Random(6)
+    codes = [f"label{i:02}" for i in range(75)]
+    words = {c: ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=5)) for _ in range(10)] for c in codes}
+    made = lambda n: [(" ".join(rng.choices(words[c], k=25)), c) for i, c in enumerate(codes) for _ in range(n(i))]
+    train = made(lambda i: 6 if i < 60 else 3)
+    model = L.learn(documents([(i, t, c) for i, (t, c) in enumerate(train)]), max_labels=60)
+    assert model["langs"] == codes[:60] and len(model["duels"]) == 60 * 59 // 2
+    assert sum(w.nbytes for w, *_ in model["duels"].values()) <= 60 * 59 // 2 * 4 * L.DIMENSIONS
+    test = made(lambda i: 1)
+    found = L.predict(documents([(i, t, c) for i, (t, c) in enumerate(test)]), model).collect()
+    assert len(found) == 75 and {r["lang_pred"] for r in found} <= set(codes[:60])
+    assert all(r["lang_pred"] == r["lang"] for r in found if r["lang"] in codes[:60])
+
+
+def test_large_families_are_bounded(spark, documents):
+    """A side of a family duel holds a bounded number of texts, however many languages the family has."""
+    codes = [*L.FAMILIES["slavic"], "en"]
+    pairs = [(f"{c} word{i} text{i * 7}", c) for c in codes for i in range(20)]
+    langs, sample = L.sampled(documents([(i, t, c) for i, (t, c) in enumerate(pairs)]).select("text", "lang"), 20)
+    most = -(-L.FAMILY_SHARE * 20 // len(L.FAMILIES["slavic"]))
+    kept = sample.where(F.col("lang").isin(*L.FAMILIES["slavic"]) & (F.col("rank") <= most))
+    assert len(langs) == 12 and kept.count() == most * 11 <= L.FAMILY_SHARE * 20 + 11
+    model = L.learn(documents([(i, t, c) for i, (t, c) in enumerate(pairs)]), per_language=20)
+    assert len([d for d in model["duels"] if d[0] == "family"]) == 1
+
+
+def test_sparse_fit_separates(spark):
+    rng = np.random.default_rng(3)
+    y = np.where(np.arange(200) % 2, 1, -1)
+    at = [np.sort(rng.choice(40, 6, replace=False)) + (100 if s > 0 else 60) for s in y]
+    x = [rng.random(6) for _ in y]
+    w, b, slope, offset = L.fit_duel(at, x, y)
+    margin = np.array([v @ w[i] + b for i, v in zip(at, x)])
+    assert w.shape == (L.DIMENSIONS,) and (np.sign(margin) == y).all() and slope > 0
