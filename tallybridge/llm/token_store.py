@@ -48,7 +48,7 @@ END_ID = 0
 #: Cuts whose ids a worker takes up before it forgets those that it has not met since; new cuts that are encoded as one text.
 REMEMBERED, TOGETHER = 400_000, 64
 #: Texts are encoded together up to so many characters.
-TEXTS_CHARS = 4 << 20
+TEXTS_CHARS = 8 << 20
 #: Longer texts are encoded in pieces of about so many characters.
 PIECE_CHARS = 1 << 20
 
@@ -79,8 +79,8 @@ class Encoder:
         self.sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, i in vocabulary.items():
             self.sizes[i] = len(token)
-        self.known: dict[str, bytes | None] = {}
-        self.older: dict[str, bytes | None] = {}
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _raw(self, texts: list[str]) -> list[bytes]:
         code = self.code
@@ -104,23 +104,28 @@ class Encoder:
                 out += self._raw([" " + c for c in group])
         return out
 
-    def _look_up(self, cuts: list[str]) -> list[bytes | None]:
-        """Ids of distinct cuts; None for one that is empty or ends in white space, behind which no token starts."""
+    def _look_up(self, cuts: list[str]) -> list[bytes]:
+        """Ids of distinct cuts; nothing for one that is empty or ends in white space, behind which no token starts."""
         if len(self.known) > REMEMBERED:
             self.known, self.older = {}, self.known
         known, older = self.known, self.older
+        found = list(map(known.get, cuts))
         new = []
-        for c in cuts:
-            if c not in known:
-                if c in older:
-                    known[c] = older[c]
-                elif c and not c[-1].isspace():
-                    new.append(c)
-                else:
-                    known[c] = None
+        for k, ids in enumerate(found):
+            if ids is None:
+                c = cuts[k]
+                ids = older.get(c)
+                if ids is None:
+                    if c and not c[-1].isspace():
+                        new.append(k)
+                        continue
+                    ids = b""
+                found[k] = known[c] = ids
         for at in range(0, len(new), 1 << 16):
-            known.update(zip(new[at : at + (1 << 16)], self._cuts(new[at : at + (1 << 16)])))
-        return list(map(known.__getitem__, cuts))
+            part = new[at : at + (1 << 16)]
+            for k, ids in zip(part, self._cuts([cuts[k] for k in part])):
+                found[k] = known[cuts[k]] = ids
+        return found
 
     def _pieces(self, texts: list[str]) -> list[bytes]:
         if not texts:
@@ -135,12 +140,13 @@ class Encoder:
         first = self._raw(flat.take(pa.array(heads)).to_pylist())
         # ids of all distinct cuts, then those of the heads, which have no blank before them
         width = self.kind.itemsize
-        sizes = np.array([len(x) // width if x else 0 for x in (*found, *first)], np.int64)
+        unfit = np.array([not x for x in found], bool)[number]
+        found += first
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // width
         begins = np.cumsum(sizes) - sizes
-        ids = np.frombuffer(b"".join([x or b"" for x in (*found, *first)]), self.kind)
-        unfit = np.array([x is None for x in found], bool)[number]
+        ids = np.frombuffer(b"".join(found), self.kind)
         unfit[heads] = False
-        number[heads] = len(found) + np.arange(len(heads))
+        number[heads] = len(found) - len(first) + np.arange(len(heads))
         n = sizes[number]
         to = np.concatenate([[0], np.cumsum(n)])
         raw = ids[np.arange(to[-1]) + np.repeat(begins[number] - to[:-1], n)].tobytes()
