@@ -69,14 +69,33 @@ def _marks() -> tuple[re.Pattern, re.Pattern, re.Pattern]:
     return re.compile(f"[{_INVISIBLE}]+"), re.compile(f"[{_separators()}]+"), re.compile(f"([{unspaced}])")
 
 
+def _folded(text: str) -> bytes:
+    invisible, separators, unspaced = _marks()
+    text = unicodedata.normalize("NFKC", text)
+    text = unspaced.sub(r" \1 ", separators.sub(" ", invisible.sub("", text)))
+    return text.lower().encode("utf-8", "surrogatepass").translate(_BLANK)
+
+
+@cache
+def _latin() -> tuple[bytes, re.Pattern]:
+    """What each character below 256 folds to where that is one such character, and a pattern for the others."""
+    folds = [_folded(chr(i)).decode() for i in range(256)]
+    single = [len(f) == 1 and ord(f) < 256 for f in folds]
+    others = b"".join(re.escape(bytes([i])) for i in range(256) if not single[i])
+    return bytes(ord(f) if one else 32 for f, one in zip(folds, single)), re.compile(b"[" + others + b"]")
+
+
 def folded(text: str | None) -> bytes:
     """Lower-cased text with everything but letters and digits blank."""
     text = text or ""
-    if not text.isascii():
-        invisible, separators, unspaced = _marks()
-        text = unicodedata.normalize("NFKC", text)
-        text = unspaced.sub(r" \1 ", separators.sub(" ", invisible.sub("", text)))
-    return text.lower().encode("utf-8", "surrogatepass").translate(_BLANK)
+    if text.isascii():
+        return text.lower().encode().translate(_BLANK)
+    try:
+        raw = text.encode("latin-1")
+    except UnicodeEncodeError:
+        return _folded(text)
+    folds, others = _latin()
+    return _folded(text) if others.search(raw) else raw.translate(folds).decode("latin-1").encode()
 
 
 def _powers(base: np.uint64, n: int) -> np.ndarray:

@@ -113,6 +113,13 @@ def test_letters_and_digits_are_kept():
     assert D.folded("日本語abc").split() == ["日".encode(), "本".encode(), "語".encode(), b"abc"]
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet=st.characters(max_codepoint=0x17F), max_size=30))
+def test_the_short_way_of_folding_is_the_long_one(text):
+    assert D.folded(text).split() == D._folded(text).split()
+    assert all(D.folded(chr(i)).split() == D._folded(chr(i)).split() for i in range(256))
+
+
 def test_a_megabyte_of_one_word_is_tiled_in_time():
     begin = time.time()
     item = ["word"] * 72
