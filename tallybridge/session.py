@@ -5,8 +5,9 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
 from concurrent.futures import Future, ThreadPoolExecutor
+from contextlib import contextmanager
 from typing import TypeVar
 
 from pyspark import inheritable_thread_target
@@ -35,9 +36,27 @@ def shared_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir().rstrip("/")
 
 
+_RECORDERS: list[list[str]] = []
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder; nothing is ever overwritten there."""
-    return f"{shared_root(spark)}/tallybridge/{label}-{uuid.uuid4().hex[:12]}"
+    folder = f"{shared_root(spark)}/tallybridge/{label}-{uuid.uuid4().hex[:12]}"
+    for made in _RECORDERS:
+        made.append(folder)
+    return folder
+
+
+@contextmanager
+def recorded() -> Iterator[list[str]]:
+    """Collects the folders that :func:`new_folder` names in the meantime, in order, so that a run can
+    delete those that nothing reads any more (:func:`remove_folder`)."""
+    made: list[str] = []
+    _RECORDERS.append(made)
+    try:
+        yield made
+    finally:
+        _RECORDERS[:] = [r for r in _RECORDERS if r is not made]
 
 
 def children(spark: SparkSession, folder: str) -> list[tuple[str, bool]]:

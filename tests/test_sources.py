@@ -3,7 +3,7 @@ import re
 import pytest
 
 from tallybridge import check_rows, migrate
-from tallybridge.session import new_folder, shared_root
+from tallybridge.session import new_folder, recorded, remove_folder, shared_root
 from tallybridge.sinks import write_checks, write_exports, write_results, write_table
 from tallybridge.sources.exports import (
     enable_change_feed,
@@ -180,6 +180,22 @@ def test_shared_folder_comes_from_the_session(spark):
     assert new_folder(spark, "x") != new_folder(spark, "x")
 
 
+def test_folders_of_a_run_can_be_deleted(spark):
+    with recorded() as outer:
+        with recorded() as inner:
+            first = new_folder(spark, "a")
+        second = new_folder(spark, "b")
+    third = new_folder(spark, "c")
+    assert (inner, outer) == ([first], [first, second]) and third not in outer
+    spark.range(3).write.parquet(first)
+    remove_folder(spark, first)
+    remove_folder(spark, second)  # was never written
+    with pytest.raises(Exception, match="(?i)not.*exist"):
+        spark.read.parquet(first)
+    with pytest.raises(ValueError, match="not made here"):
+        remove_folder(spark, shared_root(spark))
+
+
 def test_blanks_are_kept_and_empty_text_is_null(spark, tmp_path):
     df = spark.createDataFrame([(" a ", ""), ("b\t", None)], "k string, v string")
     write_table(df, str(tmp_path / "t"), "csv")
