@@ -11,6 +11,7 @@ from tallybridge.llm.language_id import keep_identified, learn
 from tallybridge.llm.packing import n_words, pack
 from tallybridge.llm.secret_scan import redact
 from tallybridge.llm.simhash_dedup import keep_one
+from tallybridge.session import recorded, remove_folder
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,8 +53,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; what a stage returns is written and read again before the next one."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over ``documents``; what a stage returns is written and read again before the next one.
+
+    Once it is written, the stage's own tables and what it read from the stage before are deleted.
+    """
+    docs, before = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with recorded() as made:
+            docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        *own, written = made
+        for folder in [*own, *before]:
+            remove_folder(spark, folder)
+        before = [written]
     return docs
