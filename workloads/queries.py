@@ -28,7 +28,7 @@ from tallybridge.operators.quarantine import (
 )
 from tallybridge.plans import reconcile, view_checks, view_reports, views
 from tallybridge.plans.migration import EntityResult, Migration, migrate
-from tallybridge.plans.spec import col, load_spec, parse_spec
+from tallybridge.plans.spec import check_source, col, load_spec, parse_spec
 from tallybridge.session import materialise, new_folder
 from tallybridge.sources import exports as export_source
 from tallybridge.sources.extracts import NULL_TOKENS, land_folder, landing_counts, read_extract
@@ -205,6 +205,29 @@ for _key, _name in (
     _map_query(_key, _name)
 
 
+@query("spec_coverage")
+def spec_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The loaded spec over all extracts: for each mapped field its source, and how many rows have a value before and after."""
+    parts = []
+    for name, entity in load_spec().items():
+        source = extract(spark, sf_dir, entity.source)
+        check_source(entity, source.columns)
+        counts = source.agg(
+            F.count(F.lit(1)).alias("rows"),
+            *[F.count(col(f.source)).alias(f"before_{i}") for i, f in enumerate(entity.fields)],
+            *[F.count(f.value()).alias(f"after_{i}") for i, f in enumerate(entity.fields)],
+        )
+        cells = [
+            F.struct(
+                F.lit(f.target).alias("target"), F.lit(f.source).alias("source"),
+                F.col(f"before_{i}").alias("before"), F.col(f"after_{i}").alias("after"),
+            )
+            for i, f in enumerate(entity.fields)
+        ]
+        parts.append(counts.select(F.lit(name).alias("entity"), "rows", F.explode(F.array(*cells)).alias("c")).select("entity", "rows", "c.*"))
+    return union_all(parts)
+
+
 def _classified(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One entity with its parents, as one lazy plan on top of the extracts."""
     spec = load_spec()
@@ -456,6 +479,25 @@ def recon_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile.summary(reconcile.check_rows(migrated(spark, sf_dir)))
 
 
+@query("gate_outcomes")
+def gate_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gate over a whole run and over one in which loaded rows are lost: checks, failures, and whether it stopped."""
+    run = migrated(spark, sf_dir)
+    vendor = replace(run["vendor"], classified=run["vendor"].classified.filter("`No.` NOT LIKE '%7'"))
+    tampered = Migration(spark, run.folder, {**run.results, "vendor": vendor})
+    parts = []
+    for name, case in (("whole", run), ("rows lost", tampered)):
+        checks = materialise(reconcile.check_rows(case))
+        try:
+            reconcile.gate(checks)
+            stopped = False
+        except reconcile.CheckFailed:
+            stopped = True
+        counts = checks.agg(F.count(F.lit(1)).alias("checks"), F.count_if(~F.col("passed")).alias("failed"))
+        parts.append(counts.select(F.lit(name).alias("run"), "checks", "failed", F.lit(stopped).alias("stopped")))
+    return union_all(parts)
+
+
 # --- profiling ---------------------------------------------------------------------------------
 
 
