@@ -21,12 +21,13 @@ def tokenizers():
     return a, sentencepiece.SentencePieceProcessor(model_file=PIECES)
 
 
+PLAIN = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+BYTE_OF = {chr(b): b for b in PLAIN} | {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in PLAIN)}
+
+
 def spelled(i, a):
     """Bytes of a byte-level id: printable bytes stand for themselves, the others for 256 and on."""
-    plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
-    rest = [b for b in range(256) if b not in plain]
-    back = {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
-    return bytes(back[c] for c in a.id_to_token(i))
+    return bytes(BYTE_OF[c] for c in a.id_to_token(i))
 
 
 def plain(texts, tokenizers):
