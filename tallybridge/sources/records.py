@@ -104,13 +104,12 @@ def _states(rows: DataFrame, keys: Sequence[str], order: str, start: Column) ->
 
 def survey(lines: DataFrame) -> DataFrame:
     """One row per split: ``inside`` (whether it starts in a quoted value), ``ends_inside``, ``records`` that start in it,
-    ``breaks`` (lines that end inside), the last record that starts in earlier splits (``carry``), the first of the
-    file (``head``) and a digest of the file's first line (``title``). Lines travel without their text.
+    ``breaks`` (lines that end inside), the last record that starts in earlier splits (``carry``) and the first of the
+    file (``head``). Lines travel without their text.
     """
     narrow = _with_function(lines).select(
         "file", "split", "row", "out_0", "out_1", "blank",
         F.octet_length("value").alias("size"),
-        F.when(F.col("split") == 0, F.xxhash64(_line_text())).alias("title"),
     )
     rows = _states(narrow, ("file", "split"), "row", F.lit(0))
     rows = rows.withColumnsRenamed({"before": "before_0", "after": "after_0"})
@@ -126,14 +125,14 @@ def survey(lines: DataFrame) -> DataFrame:
             F.min(F.when(starts, F.col("row"))).alias(f"first_{h}"),
             F.max(F.when(starts, F.col("row"))).alias(f"last_{h}"),
         ]
-    whole = rows.groupBy("file", "split").agg(*measures, F.sum(F.col("size") + 1).alias("bytes"), F.min_by("title", "row").alias("title"))
+    whole = rows.groupBy("file", "split").agg(*measures, F.sum(F.col("size") + 1).alias("bytes"))
 
     splits = _states(whole, ("file",), "split", F.lit(0))
     chosen = {
         c: F.when(F.col("before") == 0, F.col(f"{c}_0")).otherwise(F.col(f"{c}_1")) for c in ("records", "breaks", "first", "last")
     }
     splits = splits.select(
-        "file", "split", "bytes", "title",
+        "file", "split", "bytes",
         F.col("before").alias("inside"),
         F.col("after").alias("ends_inside"),
         *[v.alias(c) for c, v in chosen.items()],
@@ -153,18 +152,18 @@ def _line_text() -> Column:
 
 @dataclass(frozen=True)
 class Survey:
-    """What the text of an extract says about itself, before it is parsed."""
+    """What the text of an extract says about itself, before it is parsed. ``files`` has the records of each file; ``splits`` is
+    None where no line ends inside a quoted value."""
 
     lines: DataFrame
-    splits: DataFrame
+    splits: DataFrame | None
+    files: DataFrame
     index: DataFrame
     breaks: int
 
     def counts(self) -> DataFrame:
         """(source_file, records) of every file that holds a line; headers are not counted."""
-        heads = F.count_if(F.col("head.split") == F.col("split"))
-        found = self.splits.groupBy("file").agg((F.sum("records") - heads).alias("records"))
-        return numbered_names(found, self.index).select("source_file", "records")
+        return numbered_names(self.files, self.index).select("source_file", "records")
 
 
 def numbered_names(rows: DataFrame, index: DataFrame) -> DataFrame:
@@ -176,16 +175,30 @@ def survey_files(spark: SparkSession, path: str, files: Sequence[str]) -> Survey
     record covers more than ``MAX_RECORD`` bytes of whole splits."""
     index = file_index(spark, files)
     lines = scan_lines(spark, path, index)
-    splits = materialise(survey(lines))
 
     def name(number: int) -> str:
         return index.where(F.col("file") == number).first()["source_file"]
 
-    titles = splits.where("title is not null").agg(
-        F.count_distinct("title").alias("n"), F.min_by("file", "title").alias("one"), F.max_by("file", "title").alias("other")
+    # A file starts outside. If no line that starts outside ends inside, none starts inside: one row per file says all.
+    title = F.when(F.col("split") == 0, F.struct("row", F.xxhash64(_line_text()).alias("title")))
+    plain = _with_function(lines).groupBy("file").agg(
+        F.count_if(F.col("out_0") == 1).alias("odd"),
+        F.greatest(F.count_if(~F.col("blank")) - 1, F.lit(0)).alias("records"),
+        F.min(title).alias("head"),
+    )
+    plain = materialise(plain)
+    found = plain.agg(
+        F.coalesce(F.sum("odd"), F.lit(0)).alias("odd"),
+        F.count_distinct("head.title").alias("titles"),
+        F.min_by("file", "head.title").alias("one"),
+        F.max_by("file", "head.title").alias("other"),
     ).first()
-    if titles["n"] > 1:
-        raise ValueError(f"{path}: headers differ, e.g. of {name(titles['one'])} and {name(titles['other'])}")
+    if found["titles"] > 1:
+        raise ValueError(f"{path}: headers differ, e.g. of {name(found['one'])} and {name(found['other'])}")
+    if not found["odd"]:
+        return Survey(lines, None, plain.select("file", "records"), index, 0)
+
+    splits = materialise(survey(lines))
     ends = splits.groupBy("file").agg(F.max_by("ends_inside", "split").alias("inside")).where("inside = 1").first()
     if ends:
         raise ValueError(f"{name(ends['file'])}: a quoted value is never closed")
@@ -193,7 +206,9 @@ def survey_files(spark: SparkSession, path: str, files: Sequence[str]) -> Survey
     covered = covered.where(F.col("bytes") > MAX_RECORD).first()
     if covered:
         raise ValueError(f"{name(covered['file'])}: a record is longer than {MAX_RECORD} bytes")
-    return Survey(lines, splits, index, splits.agg(F.coalesce(F.sum("breaks"), F.lit(0))).first()[0])
+    heads = F.count_if(F.col("head.split") == F.col("split"))
+    counts = splits.groupBy("file").agg((F.sum("records") - heads).alias("records"))
+    return Survey(lines, splits, counts, index, splits.agg(F.sum("breaks")).first()[0])
 
 
 def records(found: Survey, columns: Sequence[str], row_column: str) -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 from dataclasses import replace
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,7 +30,7 @@ from tallybridge.operators.quarantine import (
 from tallybridge.plans import reconcile, view_checks, view_reports, views
 from tallybridge.plans.migration import EntityResult, Migration, migrate
 from tallybridge.plans.spec import check_source, col, load_spec, parse_spec
-from tallybridge.session import materialise, new_folder
+from tallybridge.session import materialise, new_folder, run_jobs
 from tallybridge.sources import exports as export_source
 from tallybridge.sources.extracts import NULL_TOKENS, land_folder, landing_counts, read_extract
 from workloads.exports import (
@@ -594,8 +595,8 @@ def csv_scan_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every extract written as CSV with all null tokens in its gaps, and read back."""
     folder = new_folder(spark, "csv")
     tokens = F.array(*map(F.lit, NULL_TOKENS))
-    parts = []
-    for name, df in sorted(extracts(spark, sf_dir).items()):
+
+    def one(name: str, df: DataFrame) -> DataFrame:
         columns = [c for c in df.columns if c != SOURCE_ROW]
         filled = {
             c: F.coalesce(col(c), F.element_at(tokens, (F.pmod(F.col(SOURCE_ROW) + i, F.lit(len(NULL_TOKENS))) + 1).cast("int")))
@@ -604,8 +605,10 @@ def csv_scan_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
         sinks.write_table(df.withColumns(filled).select(*columns), f"{folder}/{name}", "csv")
         back = read_extract(spark, f"{folder}/{name}", columns)
         nulls = sum((col(c).isNull().cast("int") for c in columns), F.lit(0)).alias("nulls")
-        parts.append(back.select(F.lit(name).alias("table"), nulls, _as_text(back, columns)))
-    return union_all(parts)
+        return back.select(F.lit(name).alias("table"), nulls, _as_text(back, columns))
+
+    parts = run_jobs(spark, {name: partial(one, name, df) for name, df in sorted(extracts(spark, sf_dir).items())})
+    return union_all(list(parts.values()))
 
 
 @query("sink_roundtrip")
