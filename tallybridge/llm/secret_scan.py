@@ -2,16 +2,20 @@
 
 Every run of 16 or more characters that keys are made of is a candidate. The forest judges it by its
 length, the transitions between its kinds of characters, how much of it the corpus' own dictionary covers, the
-path of its document and the words around it. It is trained on labelled findings; strings in a format that
+path of its document and the words around it. It is trained on labelled findings; where nobody has reviewed any,
+what assigns or announces a candidate labels it, and that evidence is no feature. Each candidate is then judged
+by a forest that has learned from other strings. Strings in a format that
 an issuer marks as its own (a fixed prefix and length) are secrets whatever the forest says and whatever is
 around them, unless they are a placeholder themselves. Such a string inside a run is a candidate of its own.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,10 +33,13 @@ FIELDS = r"(?s)^.*(?:[,;{}&]|<[^<>]*>)"
 _EDGE = "\x1f"
 WORD = r"[^\x20\x09-\x0D]+"
 
-FEATURES = [
-    "length", "digits", "uppers", "symbols", "distinct", "transitions", "vowel_turns", "coverage",
-    "test_path", "slashes", "announced", "assigned", "quoted", "placeholder", "words_around",
-]
+#: What the forest sees. ``words`` are numbers of buckets, which it sees as one count for each bucket. The other columns of a
+#: candidate (announced, assigned, quoted, placeholder) are evidence for labels and no features.
+FEATURES = ["length", "digits", "uppers", "symbols", "distinct", "transitions", "vowel_turns", "coverage", "test_path", "slashes", "words"]
+#: Neighbouring words are hashed into so many buckets; so many words before and after a candidate are neighbours.
+WORD_BUCKETS, WORDS_BEFORE, WORDS_AFTER = 128, 4, 2
+#: Candidates are dealt by a checksum to so many folds, and each fold is judged by what was learned from the others.
+FOLDS = 2
 #: A dictionary word is in the corpus at least so many times, has no more letters than this, and stands alone.
 DICTIONARY_COUNT, DICTIONARY_LETTERS = 5, 24
 #: At most so many labelled findings of each class are learned from (a documented bound of the classifier's sample).
@@ -53,6 +60,10 @@ def candidates(docs: DataFrame, carry: list[str], text: str = "text", path: str
         F.get(w, i).alias("w"),
         F.concat_ws(" ", F.get(w, i - 2), F.get(w, i - 1)).alias("before"),
         F.coalesce(F.get(w, i + 1), F.lit("")).alias("after"),
+        F.concat(
+            F.slice(w, F.greatest(i - WORDS_BEFORE, F.lit(0)) + 1, F.least(i, F.lit(WORDS_BEFORE))),
+            F.slice(w, i + 2, F.lit(WORDS_AFTER)),
+        ).alias("beside"),
     )
     found = F.transform(
         F.array(words),
@@ -65,7 +76,7 @@ def candidates(docs: DataFrame, carry: list[str], text: str = "text", path: str
     rows = rows.withColumns({"runs": F.regexp_extract_all("w", F.lit(CANDIDATE), F.lit(0)), "gaps": F.split("w", CANDIDATE, -1)})
     near = lambda i: F.right(F.concat(F.coalesce(F.get("gaps", i - 1), F.lit("")), F.coalesce(F.get("runs", i - 1), F.lit("")), F.get("gaps", i)), F.lit(LEAD + 1))
     placed = F.transform("runs", lambda c, i: F.struct(c.alias("candidate"), i.alias("i"), F.translate(near(i), _EDGE, "").alias("near")))
-    rows = rows.withColumn("c", F.explode(placed)).select(*carry, "path", "word", "before", "after", "c.*")
+    rows = rows.withColumn("c", F.explode(placed)).select(*carry, "path", "word", "before", "after", "beside", "c.*")
     field = F.regexp_replace("near", FIELDS, "")
     first = (F.col("i") <= 1) & (F.length("near") <= LEAD) & (F.length("field") == F.length("near"))
     rows = rows.withColumn("field", F.right(field, F.lit(LEAD)))
@@ -90,10 +101,17 @@ def candidates(docs: DataFrame, carry: list[str], text: str = "text", path: str
         lead.rlike("[=:][\"'`(\\[]*$|[=:] *[\"'`(\\[]*$").cast("double").alias("assigned"),
         lead.rlike("[\"'`]$").cast("double").alias("quoted"),
         (lead.rlike(PLACEHOLDER) | c.rlike(PLACEHOLDER) | F.col("after").rlike(PLACEHOLDER)).cast("double").alias("placeholder"),
-        (F.concat_ws(" ", "before", "after").rlike("(?i)[a-z]{3,}")).cast("double").alias("words_around"),
+        _buckets(F.concat("beside", F.regexp_extract_all(F.col("field"), F.lit("[A-Za-z]{2,}"), F.lit(0)))).alias("words"),
     )
 
 
+def _buckets(words: Column) -> Column:
+    """The buckets of words by their letters. Words that announce a key or a placeholder are left out, as they decide labels."""
+    letters = F.transform(words, lambda x: F.regexp_replace(F.lower(x), r"[^\p{L}]+", ""))
+    told = F.filter(F.arrays_zip(letters.alias("letters"), words.alias("whole")), lambda x: (F.length(x["letters"]) >= 2) & ~x["whole"].rlike(ANNOUNCES) & ~x["whole"].rlike(PLACEHOLDER))
+    return F.transform(told, lambda x: F.pmod(F.xxhash64(x["letters"]), F.lit(WORD_BUCKETS)).cast("int"))
+
+
 def _pieces(candidate: Column) -> Column:
     return F.regexp_extract_all(F.lower(candidate), F.lit("[a-z]{3,}"), F.lit(0))
 
@@ -120,14 +138,25 @@ def marked() -> Column:
 
 
 def weak_label() -> Column:
-    """A label for findings that nobody has reviewed: true for an announced, assigned string that mixes digits and
-    letters like a key; false for a placeholder, and for words or numbers that nothing announces; else null. Marked
-    formats, which are settled without the forest, are no false ones."""
-    announced = (F.col("announced") == 1) & (F.col("assigned") == 1)
-    keylike = (F.col("digits") >= 0.15) & (F.col("transitions") >= 0.2)
-    plain = (F.col("digits") == 0) | (F.col("digits") == 1)
-    false = F.when(~marked(), 0.0)
-    return F.when(F.col("placeholder") == 1, false).when(keylike & announced, 1.0).when(plain & ~announced, false)
+    """A label for findings that nobody has reviewed, from evidence that is no feature: true for a string that is assigned to
+    a name that announces a key; false for a placeholder, and for what is neither assigned nor announced; else null. Marked
+    formats, which are settled without the forest, have none."""
+    announced, assigned = F.col("announced") == 1, F.col("assigned") == 1
+    label = F.when(F.col("placeholder") == 1, 0.0).when(announced & assigned, 1.0).when(~announced & ~assigned, 0.0)
+    return F.when(~marked(), label)
+
+
+def fold() -> Column:
+    """The fold of a candidate: all copies of a string are in one."""
+    return F.pmod(F.crc32(F.col("candidate").cast("binary")), F.lit(FOLDS)).cast("int")
+
+
+def _vectors(rows: DataFrame, name: str) -> DataFrame:
+    """``rows`` with the vector ``name`` of all features, a count for each bucket of neighbouring words."""
+    counts = F.transform(F.sequence(F.lit(0), F.lit(WORD_BUCKETS - 1)), lambda b: F.size(F.filter("words", lambda x: x == b)).cast("double"))
+    rows = rows.withColumn("__counts", array_to_vector(counts))
+    plain = [f for f in FEATURES if f != "words"]
+    return VectorAssembler(inputCols=[*plain, "__counts"], outputCol=name).transform(rows).drop("__counts")
 
 
 def sampled(findings: DataFrame, label: str, per_class: int) -> DataFrame:
@@ -142,13 +171,15 @@ def train(findings: DataFrame, label: str = "label", per_class: int = PER_CLASS)
     """A forest from labelled findings (``FEATURES`` and a label of 0 or 1; null labels are passed over).
 
     The sample is bounded: the ``per_class`` different findings of each class that hash lowest; copies of a finding
-    count once. Without both classes there is no model.
+    count once. Both classes weigh the same. Without both there is no model.
     """
     sample = staged(sampled(findings, label, per_class), "labelled")
-    if sample.select("label").distinct().count() < 2:
+    sizes = dict(sample.groupBy("label").count().collect())
+    if len(sizes) < 2:
         return None
-    sample = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(sample)
-    forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED, featureSubsetStrategy="sqrt")
+    weight = F.when(F.col("label") == 1, 0.5 / sizes[1.0]).otherwise(0.5 / sizes[0.0]) * sum(sizes.values())
+    sample = _vectors(sample.withColumn("weight", weight), "features")
+    forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED, featureSubsetStrategy="onethird", weightCol="weight")
     return forest.fit(sample.coalesce(1))
 
 
@@ -156,23 +187,41 @@ def judged(found: DataFrame, model: RandomForestClassificationModel | None) -> D
     """``found`` with ``probability`` of being a secret: the forest's, 1 for marked formats. Without a model only those count."""
     if model is None:
         return found.withColumn("probability", marked().cast("double"))
-    rows = VectorAssembler(inputCols=FEATURES, outputCol="__features").transform(found)
+    rows = _vectors(found, "__features")
     model.setFeaturesCol("__features").setProbabilityCol("__probability").setRawPredictionCol("").setPredictionCol("")
     rows = model.transform(rows)
     forest = vector_to_array("__probability")[1]
     return rows.withColumn("probability", F.when(marked(), 1.0).otherwise(forest)).drop("__features", "__probability")
 
 
+def judged_across(found: DataFrame, label: str = "label") -> DataFrame:
+    """``found`` with ``probability``, each fold judged by the forest that the labelled findings of the other folds train.
+
+    Where those lack a class, the findings of all folds train it; where these do too, only marked formats count. A string
+    that is a placeholder itself, which no other string can teach, is settled by that.
+    """
+    folds = found.withColumn("__fold", fold())
+    models = [train(folds.where(F.col("__fold") != k), label) for k in range(FOLDS)]
+    if None in models:
+        whole = train(found, label)
+        models = [model or whole for model in models]
+    rows = [judged(folds.where(F.col("__fold") == k).drop("__fold"), model) for k, model in enumerate(models)]
+    return reduce(DataFrame.unionByName, rows).withColumn("probability", F.when(F.col("candidate").rlike(PLACEHOLDER), 0.0).otherwise(F.col("probability")))
+
+
 def scan(docs: DataFrame, carry: list[str], labelled: DataFrame | None = None, least: float = 0.5, text: str = "text", path: str = "source") -> DataFrame:
     """The secrets of ``docs``: ``carry``, word, candidate, probability, for candidates of probability ``least`` or more.
 
     ``labelled`` are reviewed findings (``candidate``, ``FEATURES``, ``label``); without them the corpus' own candidates are
-    labelled by ``weak_label``. Repeated rows have repeated findings.
+    labelled by ``weak_label`` and judged across folds. Repeated rows have repeated findings.
     """
     found = staged(candidates(docs, carry, text, path), "candidates")
     found = staged(covered(found, docs, text), "findings")
-    model = train(found.withColumn("label", weak_label()) if labelled is None else labelled)
-    return judged(found, model).where(F.col("probability") >= least).select(*carry, "word", "candidate", "probability")
+    if labelled is None:
+        rows = judged_across(found.withColumn("__label", weak_label()), "__label")
+    else:
+        rows = judged(found, train(labelled))
+    return rows.where(F.col("probability") >= least).select(*carry, "word", "candidate", "probability")
 
 
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:

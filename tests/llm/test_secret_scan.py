@@ -147,3 +147,54 @@ def test_copies_of_a_finding_take_one_place(spark, documents):
     finally:
         S.staged = staged
     assert seen[0].where("label = 1").distinct().count() == 20
+
+
+def test_labels_and_features_share_no_evidence():
+    assert not {"announced", "assigned", "quoted", "placeholder", "candidate", "word"} & set(S.FEATURES)
+
+
+def test_neighbouring_words_are_hashed_without_those_that_label(spark, documents):
+    texts = ["one two three four five token = KKKKKKKKKKKKKKKKKKKK six seven eight", "my-example: five FIVE, KKKKKKKKKKKKKKKKKKKK", "KKKKKKKKKKKKKKKKKKKK", '{"commit":"KKKKKKKKKKKKKKKKKKKK"}']
+    got = {r["doc_id"]: r["words"] for r in S.candidates(documents(list(enumerate(texts))), ["doc_id"]).collect()}
+    words = ["four", "five", "six", "seven", "commit"]
+    bucket = spark.createDataFrame([(w,) for w in words], "w string").select("w", F.expr(f"cast(pmod(xxhash64(w), {S.WORD_BUCKETS}) as int)")).collect()
+    bucket = {r[0]: r[1] for r in bucket}
+    assert got == {0: [bucket[w] for w in words[:4]], 1: [bucket["five"]] * 2, 2: [], 3: [bucket["commit"]]}
+
+
+def held_out(got, truth):
+    return len(got & truth) / len(got), len(got & truth) / len(truth)
+
+
+def test_words_around_tell_checksums_from_keys(spark, documents):
+    """Checksums have the shape of the keys and are told apart by what stands beside them."""
+    rng = random.Random(8)
+    rows, planted = corpus(300, 9)
+    for i in range(300):
+        words = rng.choices(WORDS, k=30)
+        words[12:13] = ["commit", key(rng), "merged", "upstream"]
+        rows.append((1000 + i, " ".join(words)))
+    docs = documents(rows)
+    found = S.staged(S.covered(S.candidates(docs, ["doc_id"]), docs), "found").withColumn("label", S.weak_label())
+    across = S.judged_across(found).where("probability >= 0.5").select("doc_id", "candidate").collect()
+    precision, recall = held_out({tuple(r) for r in across}, planted)
+    assert precision >= 0.9 and recall >= 0.9
+
+
+def test_held_out_precision_and_recall_of_the_query(spark):
+    """Each finding of the query is judged by a forest that has not seen its string; the truth is what the tables' rule plants."""
+    folder = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()
+    rule = r'token = "([0-9a-f]{40})"|password=([0-9a-f]{18})(?![0-9a-f])|(?<![A-Za-z0-9])(AKIA[0-9A-Z]{16})(?![A-Za-z0-9])'
+    truth = {(d["doc_id"], "".join(m)) for d in docs for m in re.findall(rule, d["text"] or "")}
+    got = {(r["doc_id"], r["candidate"]) for r in S.op2_secret_scan(spark, folder).collect()}
+    precision, recall = held_out(got, truth)
+    assert len(truth) > 100 and precision >= 0.98 and recall >= 0.98
+
+
+def test_without_both_classes_in_a_fold(spark, documents):
+    rng = random.Random(10)
+    secret = key(rng)
+    docs = documents([(1, f'token = "{secret}"')] + [(i, " ".join(["".join(rng.choices(WORDS, k=4)), *WORDS])) for i in range(2, 40)])
+    assert {(r["doc_id"], r["candidate"]) for r in S.scan(docs, ["doc_id"]).collect()} <= {(1, secret)}
+    assert S.scan(documents([(1, f'token = "{secret}"')]), ["doc_id"]).count() == 0
