@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallybridge.functions.rules import EMAIL_PATTERN, trim
+from tallybridge.functions.rules import EMAIL_PATTERN, WHITESPACE, trim
 from tallybridge.operators.compare import union_all
 from tallybridge.operators.profile import CODE_SUFFIX, EMAIL_PART
 from tallybridge.operators.quarantine import SOURCE_ROW
@@ -24,16 +24,30 @@ LG_REGISTERS, QUANTILE_K = 12, 200
 DISTINCT_ERROR, RANK_ERROR = 0.05, 0.03
 COUNTS = ("n_rows", "n_null", "n_spaces", "n_bad_email", "n_numbers", "n_mixed_case")
 QUANTILES = (0.25, 0.5, 0.75)
+#: Every text that a cast to double may read has this form; the cast decides. A cast of any other text fails by an exception, which takes
+#: as long as all other measures of a value together.
+NUMBER_FORM = (
+    r"^[\x00-\x20]*[+-]?(?:[0-9.]+(?:[eE][+-]?[0-9]+)?[fFdD]?|0[xX][0-9a-fA-F.]+[pP][+-]?[0-9]+[fFdD]?"
+    r"|[nN][aA][nN]|[iI][nN][fF](?:[iI][nN][iI][tT][yY])?)[\x00-\x20]*$"
+)
+
+
+def _number(value: Column) -> Column:
+    return F.when(value.rlike(NUMBER_FORM), value.try_cast("double"))
+
+
+def _has_spaces(value: Column) -> Column:
+    """Whether trimming would change the value, from its first and last character."""
+    return F.substring(value, 1, 1).isin(*WHITESPACE) | F.substring(value, -1, 1).isin(*WHITESPACE)
 
 
 def _measures(name: str, at: int) -> list[Column]:
-    value = col(name).cast("string")
-    number = value.try_cast("double")
+    value, number = F.col(f"value_{at}"), F.col(f"number_{at}")
     stripped = trim(value)
     is_number = number.isNotNull() & ~F.isnan(number)
     named = {
         "n_null": F.count_if(value.isNull()),
-        "n_spaces": F.count_if(value != stripped),
+        "n_spaces": F.count_if(_has_spaces(value)),
         "n_bad_email": F.count_if(~value.rlike(EMAIL_PATTERN)) if EMAIL_PART in name else F.lit(0).cast("bigint"),
         "n_mixed_case": F.count_if(stripped != F.upper(stripped)) if name.endswith(CODE_SUFFIX) else F.lit(0).cast("bigint"),
         "n_numbers": F.count_if(is_number),
@@ -48,7 +62,10 @@ def _measures(name: str, at: int) -> list[Column]:
 def stored_profile(df: DataFrame, table: str, order: str = SOURCE_ROW) -> DataFrame:
     """The mergeable profile of a table: one row per column, in an empty table too."""
     columns = [c for c in df.columns if c != order]
-    flat = df.agg(F.count(F.lit(1)).alias("n_rows"), *[m for i, c in enumerate(columns) for m in _measures(c, i)])
+    # numbers are read in a projection of their own, once for all measures
+    values = df.select(*[col(c).cast("string").alias(f"value_{i}") for i, c in enumerate(columns)])
+    cast = values.select("*", *[_number(F.col(f"value_{i}")).alias(f"number_{i}") for i in range(len(columns))])
+    flat = cast.agg(F.count(F.lit(1)).alias("n_rows"), *[m for i, c in enumerate(columns) for m in _measures(c, i)])
     names = ("n_null", "n_spaces", "n_bad_email", "n_mixed_case", "n_numbers", "smallest", "largest", "distinct", "numbers")
     cells = [
         F.struct(F.lit(c).alias("column"), *[F.col(f"{n}_{i}").alias(n) for n in names]) for i, c in enumerate(columns)

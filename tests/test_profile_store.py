@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from tallybridge.functions.rules import WHITESPACE, trim
 from tallybridge.operators import profile_store as P
 from tallybridge.operators.profile import column_metrics
 from workloads.extracts import extracts
@@ -71,3 +72,20 @@ def test_empty_parts_and_new_columns(spark, numbers):
 def test_no_value_is_shuffled(numbers):
     plan = P.stored_profile(numbers, "T")._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning" not in plan and plan.count("Exchange SinglePartition") == 1
+
+
+def test_a_number_is_read_once(numbers):
+    """Each value is cast once, behind a pattern: a cast that fails raises an exception inside."""
+    plan = P.stored_profile(numbers, "T")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("as double") == plan.count("CASE WHEN RLIKE(value_") == 3
+
+
+def test_numbers_and_spaces_of_odd_texts(spark):
+    heads, tails = ["", "+", "-", " ", "\t-", "\x00", "\xa0", "e", "$", "+-"], ["", "d", "F", " ", "\n", "\x1f ", "\u2003", "x", "L", "%"]
+    bodies = "1 1. .5 . 1.2.3 007 1e5 1E-5 1e+400 1e 0x1p3 0X.8P-2f 0x10 1,000 1_0 NaN nan NAN inf Inf -inf infinity INFINITY infinit \u0661 \uff11 C7 IT-1".split()
+    texts = {h + b + t for h in heads for b in [*bodies, "", "1 2"] for t in tails} | set(WHITESPACE) | {f"a{w}b" for w in WHITESPACE} | {None, "\u200b1", "a\n\nb\n"}
+    rows = spark.createDataFrame([(t,) for t in texts], "v string")
+    v = F.col("v")
+    number, spaces = P._number(v), P._has_spaces(v)
+    wrong = rows.where(~number.eqNullSafe(v.try_cast("double")) | ~spaces.eqNullSafe(v != trim(v)))
+    assert wrong.collect() == [] and rows.where(number.isNotNull()).count() > 300

@@ -540,11 +540,17 @@ def profile_approximate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def profile_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Profiles of two deliveries of every table, stored and merged; counts are exact, estimates near the exact ones."""
     folder = new_folder(spark, "profiles")
+    tables = sorted(extracts(spark, sf_dir).items())
+    early = F.pmod(F.xxhash64(SOURCE_ROW), F.lit(3)) == 0
+
+    def store(name: str, rows: DataFrame, day: str) -> None:
+        profile_store.stored_profile(rows, name).write.parquet(f"{folder}/{name}/{day}")
+
+    # side by side, as a delivery of a small table is one task
+    deliveries = [(name, df.filter(part), day) for name, df in tables for day, part in (("1", early), ("2", ~early))]
+    run_jobs(spark, {f"{name}/{day}": partial(store, name, rows, day) for name, rows, day in deliveries})
     parts = []
-    for name, df in sorted(extracts(spark, sf_dir).items()):
-        early = F.pmod(F.xxhash64(SOURCE_ROW), F.lit(3)) == 0
-        for day, rows in (("1", df.filter(early)), ("2", df.filter(~early))):
-            profile_store.stored_profile(rows, name).write.parquet(f"{folder}/{name}/{day}")
+    for name, df in tables:
         stored = [spark.read.parquet(f"{folder}/{name}/{day}") for day in "12"]
         merged = profile_store.read_profile(profile_store.merge_profiles(stored))
         exact = profile.column_metrics(df, name).select("column", F.col("n_distinct").alias("exact"))
